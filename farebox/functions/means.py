@@ -1,0 +1,26 @@
+"""Means built from sums and counts.
+
+A sum and a count can be merged, a mean cannot; keeping the two apart lets an
+operator aggregate before it joins and once more afterwards, with exactly the
+result of a single aggregation.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql.types import DecimalType
+
+
+def rounded_mean(total: Column, count: Column, kind: DecimalType) -> Column:
+    """total / count rounded half up to ``kind``; null for no rows.
+
+    The quotient of the two decimals carries 20 or more digits after the point,
+    so rounding it a second time cannot cross a tie.
+    """
+    return (total.cast(DecimalType(20, 2)) / count.cast(DecimalType(20, 0))).cast(kind)
+
+
+def truncated_mean(total: Column, count: Column) -> Column:
+    """The integer part of total / count, in integer arithmetic."""
+    quotient = total.cast("bigint").cast(DecimalType(20, 0)) / count.cast(DecimalType(20, 0))
+    return quotient.cast("int")
