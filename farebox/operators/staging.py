@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from farebox.functions.dates import moment_or_now
 from farebox.schemas import RAW, conform
 
-# Business key of each raw entity, and the column telling its deliveries apart.
+# Business key of each entity to be cleaned, and the column telling its deliveries apart.
 BUSINESS_KEYS = {
     "users": ("user_id", "created_at"),
     "routes": ("route_id", None),
     "vehicles": ("vehicle_id", None),
     "rides": ("ride_id", "end_time"),
     "payments": ("payment_id", "created_at"),
-    "vehicle_positions": ("event_id", "event_time"),
 }
 
 

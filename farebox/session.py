@@ -6,15 +6,14 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution splits skewed join partitions and coalesces small ones at
-# run time. A static broadcast is chosen by Spark only for sides whose known size
-# is below the threshold; operators hint one only where the row count is bounded.
+# Adaptive execution splits the join partitions of hot keys and merges small ones
+# at run time. Spark broadcasts only sides whose known or measured size is below
+# its threshold; operators ask for it only where the row count is bounded.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -27,6 +26,7 @@ def local_session(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
     )
     if memory:
