@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from farebox.testing import fixtures
 from farebox.operators import quality, scd2, staging
@@ -26,7 +25,7 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star schema over the fixtures in ``sf_dir``.
+    """The star schema over the raw zone derived from ``sf_dir``.
 
     A query reads the tables it builds on from storage, as the steps of a nightly
     load do. They are written once per application, into the shared folder.
@@ -34,14 +33,20 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
     name = (spark.sparkContext.applicationId, sf_dir)
     if name not in _stars:
         folder = _folder(spark)
+        entities: dict[str, DataFrame] = {}
+
+        def raw(entity: str) -> DataFrame:
+            if entity not in entities:
+                rows = fixtures.ENTITIES[entity](spark, sf_dir)
+                write_table(rows, f"{folder}/raw/{entity}", RAW[entity])
+                entities[entity] = read_raw(spark, f"{folder}/raw", entity)
+            return entities[entity]
 
         def keep(table: str, df: DataFrame) -> DataFrame:
             write_table(df, f"{folder}/{table}", SCHEMAS[table])
             return read_raw(spark, folder, table)
 
-        _stars[name] = Star(
-            lambda entity: fixtures.raw(spark, sf_dir, entity), keep, as_of=fixtures.FIRST_LOAD
-        )
+        _stars[name] = Star(raw, keep, as_of=fixtures.FIRST_LOAD)
     return _stars[name]
 
 
@@ -56,25 +61,24 @@ def _built(table: str):
 
 
 def _silver_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.clean(fixtures.redelivered_users(spark, sf_dir), "users")
+    return staging.clean(fixtures.redelivered_users(_star(spark, sf_dir).raw("users")), "users")
 
 
 def _silver_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.clean(fixtures.redelivered_rides(spark, sf_dir), "rides")
+    return staging.clean(fixtures.redelivered_rides(_star(spark, sf_dir).raw("rides")), "rides")
 
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys for users with repeated and null ids, after 1000 keys already given."""
-    users = fixtures.redelivered_users(spark, sf_dir)
-    named = users.select(F.col("user_id").cast("int").alias("user_id"), "created_at", "email")
+    users = fixtures.redelivered_users(_star(spark, sf_dir).raw("users"))
+    named = users.select("user_id", "created_at", "email")
     return assign_surrogate_key(named, "user_id", "user_sk", after=1000)
 
 
 def _dim_route_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = _star(spark, sf_dir)
     return scd2.merge_routes(
-        _star(spark, sf_dir).table("dim_route"),
-        fixtures.changed_routes(spark, sf_dir),
-        fixtures.SECOND_LOAD,
+        star.table("dim_route"), fixtures.changed_routes(star.raw("routes")), fixtures.SECOND_LOAD
     )
 
 
@@ -117,8 +121,8 @@ def _duplicate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "dim_user": (star.table("dim_user"), "user_id"),
             "fact_rides": (star.table("fact_rides"), "ride_id"),
-            "redelivered_users": (fixtures.redelivered_users(spark, sf_dir), "user_id"),
-            "redelivered_rides": (fixtures.redelivered_rides(spark, sf_dir), "ride_id"),
+            "redelivered_users": (fixtures.redelivered_users(star.raw("users")), "user_id"),
+            "redelivered_rides": (fixtures.redelivered_rides(star.raw("rides")), "ride_id"),
         }
     )
 

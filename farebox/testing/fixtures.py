@@ -43,9 +43,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def redelivered_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def redelivered_users(once: DataFrame) -> DataFrame:
     """Users, a tenth of them once more a day later, and some without an id."""
-    once = users(spark, sf_dir)
     again = once.filter(F.col("user_id") % 10 == 0).withColumns(
         {
             "created_at": F.timestamp_add("DAY", F.lit(1), F.col("created_at")),
@@ -53,7 +52,7 @@ def redelivered_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     nameless = once.filter(F.col("user_id") % 50 == 1).withColumn(
-        "user_id", F.lit(None).cast("bigint")
+        "user_id", F.lit(None).cast("int")
     )
     return once.unionByName(again).unionByName(nameless)
 
@@ -75,15 +74,11 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def changed_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changed_routes(routes: DataFrame) -> DataFrame:
     """The next snapshot: some fares raised, route 25 gone, route 26 added."""
-    fare = F.col("base_fare").cast(MONEY)
+    fare = F.col("base_fare")
     raised = F.when(F.col("route_id") % 5 == 0, fare + F.lit("5.00").cast(MONEY)).otherwise(fare)
-    later = (
-        routes(spark, sf_dir)
-        .filter(F.col("route_id") != 25)
-        .withColumn("base_fare", raised.cast(MONEY))
-    )
+    later = routes.filter(F.col("route_id") != 25).withColumn("base_fare", raised.cast(MONEY))
     added = later.sparkSession.sql(
         "SELECT 26 AS route_id, 'Brand#26' AS route_number, 'metro' AS vehicle_type, "
         "CAST(60 AS DECIMAL(10,2)) AS base_fare"
@@ -143,9 +138,8 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def redelivered_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def redelivered_rides(once: DataFrame) -> DataFrame:
     """Rides, a twentieth of them once more with a later end."""
-    once = rides(spark, sf_dir)
     again = once.filter(F.col("ride_id").cast("bigint") % 20 == 0).withColumn(
         "end_time", F.timestamp_add("MINUTE", F.lit(1), F.col("end_time"))
     )

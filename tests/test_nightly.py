@@ -23,7 +23,8 @@ def raw(spark, tmp_path_factory):
         fixtures.raw(spark, SF_DIR, entity).write.parquet(f"{root}/first/{entity}")
         if entity != "routes":
             fixtures.raw(spark, SF_DIR, entity).write.parquet(f"{root}/second/{entity}")
-    fixtures.changed_routes(spark, SF_DIR).write.parquet(f"{root}/second/routes")
+    routes = fixtures.raw(spark, SF_DIR, "routes")
+    fixtures.changed_routes(routes).write.parquet(f"{root}/second/routes")
     return str(root)
 
 
