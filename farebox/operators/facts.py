@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.functions.amounts import hundredths, rounded_mean, truncated_mean
 from farebox.functions.dates import date_sk, seconds_between
-from farebox.functions.means import rounded_mean, truncated_mean
 from farebox.operators.keys import lookup_sk
 from farebox.operators.scd2 import current_rows
 from farebox.schemas import (
@@ -52,7 +52,7 @@ def build_fact_vehicle_movement(positions: DataFrame, dim_route: DataFrame) -> D
     """
     by_number = positions.groupBy("route_number", date_sk(F.col("event_time")).alias("date_sk")).agg(
         F.count(F.lit(1)).alias("events"),
-        F.sum("speed_kmh").alias("speed_sum"),
+        F.sum(hundredths(F.col("speed_kmh"))).alias("speed_sum"),
         F.count("speed_kmh").alias("speed_count"),
         F.sum("passengers_estimated").alias("passenger_sum"),
         F.count("passengers_estimated").alias("passenger_count"),

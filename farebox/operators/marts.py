@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.functions.means import rounded_mean, truncated_mean
+from farebox.functions.amounts import amount, hundredths, rounded_mean, truncated_mean
 from farebox.operators.scd2 import current_rows
 from farebox.schemas import DASHBOARD_DAILY, TOTAL, USER_BEHAVIOR_HOURLY, conform
 
@@ -31,17 +31,30 @@ MEASURES = [
 def _describe(
     events: DataFrame, dim_user: DataFrame, dim_route: DataFrame, dim_date: DataFrame, moment: str
 ) -> DataFrame:
-    """Replace the keys of ``events`` by the attributes of a mart cell.
+    """Add the attributes of an hourly cell; unknown users, routes and days drop out.
 
-    ``events`` whose user, current route or day is unknown drop out.
+    Users come last: they are the one dimension likely to be shuffled, and with
+    them the events left by then. Adaptive execution splits a frequent traveller's
+    partition, and each task adds up its own events before the next shuffle.
+    Adding up by key before this join as well was measured to double the time, as
+    few events share an hour, a route and a user.
     """
+    routes = current_rows(dim_route).select("route_sk", "route_number", "vehicle_type")
     return (
-        events.join(current_rows(dim_route).select("route_sk", "route_number", "vehicle_type"), "route_sk")
+        events.join(routes, "route_sk")
         .join(dim_date.select("date_sk", "full_date"), "date_sk")
         .join(dim_user.select("user_sk", "user_id", "city"), "user_sk")
-        .withColumns(
-            {"hour_of_day": F.hour(moment), "day_of_week": F.dayofweek(moment)}
-        )
+        .withColumns({"hour_of_day": F.hour(moment), "day_of_week": F.dayofweek(moment)})
+    )
+
+
+def _ride_sums(fact_rides: DataFrame, *keys) -> DataFrame:
+    return fact_rides.groupBy(*keys).agg(
+        F.count("ride_id").alias("rides"),
+        F.sum(hundredths(F.col("fare_amount"))).alias("fare_sum"),
+        F.count("fare_amount").alias("fare_count"),
+        F.sum("ride_duration_sec").alias("duration_sum"),
+        F.count("ride_duration_sec").alias("duration_count"),
     )
 
 
@@ -49,19 +62,15 @@ def user_behavior_rides(
     fact_rides: DataFrame, dim_user: DataFrame, dim_route: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
     """Ride measures per cell; a ride counts in the hour it starts."""
-    rides = fact_rides.select(
-        "ride_id", "user_sk", "route_sk", "date_sk", "start_time", "ride_duration_sec", "fare_amount"
-    )
-    fares, lengths = F.sum("fare_amount"), F.sum("ride_duration_sec")
-    return (
-        _describe(rides, dim_user, dim_route, dim_date, "start_time")
-        .groupBy(*CELL)
-        .agg(
-            F.count("ride_id").alias("total_rides"),
-            fares.cast(TOTAL).alias("total_revenue"),
-            truncated_mean(lengths, F.count("ride_duration_sec")).alias("avg_duration_seconds"),
-            rounded_mean(fares, F.count("fare_amount"), TOTAL).alias("avg_fare"),
-        )
+    rides = _describe(fact_rides, dim_user, dim_route, dim_date, "start_time")
+    return _ride_sums(rides, *CELL).select(
+        *CELL,
+        F.col("rides").alias("total_rides"),
+        amount(F.col("fare_sum"), TOTAL).alias("total_revenue"),
+        truncated_mean(F.col("duration_sum"), F.col("duration_count")).alias(
+            "avg_duration_seconds"
+        ),
+        rounded_mean(F.col("fare_sum"), F.col("fare_count"), TOTAL).alias("avg_fare"),
     )
 
 
@@ -76,9 +85,7 @@ def user_behavior_payments(
 
     A payment belongs to the route of the ride it pays for.
     """
-    payments = fact_payments.select(
-        "ride_id", "user_sk", "date_sk", "created_at", "payment_method", "status"
-    ).join(fact_rides.select("ride_id", "route_sk"), "ride_id")
+    payments = fact_payments.join(fact_rides.select("ride_id", "route_sk"), "ride_id")
     return (
         _describe(payments, dim_user, dim_route, dim_date, "created_at")
         .groupBy(*CELL, "payment_method")
@@ -114,27 +121,23 @@ def dashboard_daily(
 ) -> DataFrame:
     """Rides, revenue, mean duration and mean fare per day, route and vehicle type.
 
-    Rides are added up by their keys first, so what is joined, and shuffled where
-    a dimension is too large to broadcast, are the sums and not the rides.
+    Rides are added up by their keys first: what meets the vehicles, which may be
+    too many to broadcast, are sums per day and vehicle.
     """
-    sums = fact_rides.groupBy("date_sk", "route_sk", "vehicle_sk").agg(
-        F.count("ride_id").alias("rides"),
-        F.sum("fare_amount").alias("fare_sum"),
-        F.count("fare_amount").alias("fare_count"),
-        F.sum("ride_duration_sec").alias("duration_sum"),
-        F.count("ride_duration_sec").alias("duration_count"),
-    )
+    routes = current_rows(dim_route).select("route_sk", "route_number", "vehicle_type")
     described = (
-        sums.join(current_rows(dim_route).select("route_sk", "route_number", "vehicle_type"), "route_sk")
+        _ride_sums(fact_rides, "date_sk", "route_sk", "vehicle_sk")
+        .join(routes, "route_sk")
         .join(dim_vehicle.select("vehicle_sk"), "vehicle_sk")
         .join(dim_date.select("date_sk", "full_date"), "date_sk")
     )
+    fares = F.sum("fare_sum")
     daily = described.groupBy("full_date", "route_number", "vehicle_type").agg(
         F.sum("rides").alias("total_rides"),
-        F.sum("fare_sum").alias("total_revenue"),
-        rounded_mean(F.sum("duration_sum"), F.sum("duration_count"), TOTAL).alias(
+        amount(fares, TOTAL).alias("total_revenue"),
+        rounded_mean(F.sum("duration_sum") * 100, F.sum("duration_count"), TOTAL).alias(
             "avg_duration_seconds"
         ),
-        rounded_mean(F.sum("fare_sum"), F.sum("fare_count"), TOTAL).alias("avg_fare"),
+        rounded_mean(fares, F.sum("fare_count"), TOTAL).alias("avg_fare"),
     )
     return conform(daily, DASHBOARD_DAILY)
