@@ -36,8 +36,8 @@ def _describe(
     Users come last: they are the one dimension likely to be shuffled, and with
     them the events left by then. Adaptive execution splits a frequent traveller's
     partition, and each task adds up its own events before the next shuffle.
-    Adding up by key before this join as well was measured to double the time, as
-    few events share an hour, a route and a user.
+    Adding up before this join as well took a fifth longer even with a third of
+    20 million rides by one user: few events share an hour, a route and a user.
     """
     routes = current_rows(dim_route).select("route_sk", "route_number", "vehicle_type")
     return (
