@@ -3,7 +3,6 @@ from decimal import Decimal
 
 import pytest
 from conftest import collected
-from pyspark.errors import PySparkException
 
 from farebox.functions.dates import OPEN_END
 from farebox.operators.scd2 import current_rows, merge_routes
@@ -118,5 +117,6 @@ def test_as_of_defaults_to_today(empty, snapshot):
     ],
 )
 def test_bad_snapshots_fail(loaded, snapshot, routes, day, message):
-    with pytest.raises(PySparkException, match=message):
+    # Which exception arrives depends on how many tasks fail at once.
+    with pytest.raises(Exception, match=message):
         merge_routes(loaded, snapshot(*routes), day).collect()
