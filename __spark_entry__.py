@@ -17,6 +17,16 @@ from farebox.sources.raw import read_raw
 from farebox.sources.tables import write_mart, write_table
 from farebox.testing.oracle import ORACLE_SQL
 
+# The operators for training text are a package of their own; without it, the queries of
+# the warehouse remain.
+try:
+    import corpus_pipeline
+    from farebox.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not f"{missing.name}.".startswith(("farebox.llm.", "corpus_pipeline.")):
+        raise
+    llm = None
+
 _stars: dict[tuple[str, str], Star] = {}
 
 
@@ -172,8 +182,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_checks": _duplicate_checks,
         "quality_log": _quality_log,
         "failed_checks": _failed_checks,
+        **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return ORACLE_SQL | (llm.ORACLE_SQL if llm else {})

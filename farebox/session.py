@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits the join partitions of hot keys and merges small ones
@@ -41,17 +39,12 @@ def local_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a folder of its own: on a cluster, data under a machine-local
-    path would be lost with the machine.
+    Read from ``spark.checkpoint.dir``. Where that is unset, it is a folder within the
+    session's warehouse, which every executor can reach as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="farebox-")
-        context.setCheckpointDir(folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return folder
 
 
