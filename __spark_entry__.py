@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from farebox.testing import fixtures
 from farebox.operators import quality, scd2, staging
 from farebox.operators.keys import assign_surrogate_key
+from farebox.plans.nightly import run_pipeline
 from farebox.plans.star import SCHEMAS, Star
-from farebox.schemas import RAW
+from farebox.schemas import RAW, STAGING
 from farebox.session import shared_folder
-from farebox.sources.raw import read_raw
+from farebox.sources.raw import read_or_empty, read_raw
 from farebox.sources.tables import write_mart, write_table
 from farebox.testing.oracle import ORACLE_SQL
 
@@ -70,12 +71,54 @@ def _built(table: str):
     return lambda spark, sf_dir: _star(spark, sf_dir).build(table)
 
 
-def _silver_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.clean(fixtures.redelivered_users(_star(spark, sf_dir).raw("users")), "users")
+def _silver(entity: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        delivered = fixtures.REDELIVERED[entity](_star(spark, sf_dir).raw(entity))
+        return staging.clean(delivered, entity)
 
+    return query
 
-def _silver_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.clean(fixtures.redelivered_rides(_star(spark, sf_dir).raw("rides")), "rides")
+
+def _surrogate_keys_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys for users whose ids are said to be unique."""
+    named = _star(spark, sf_dir).raw("users").select("user_id", "created_at", "email")
+    return assign_surrogate_key(named, "user_id", "user_sk", unique=True)
+
+
+def _staging_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging table after two loads."""
+    path = _folder(spark)
+    users = fixtures.users(spark, sf_dir)
+    for moment in (fixtures.LOAD_TS, fixtures.CHECK_TS):
+        staged = staging.load_staging(users, "users", moment)
+        write_table(staged, path, STAGING["users"], mode="append")
+    return spark.read.parquet(path)
+
+
+def _routes_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routes of one folder that is there and one that is not."""
+    folder = _folder(spark)
+    write_table(fixtures.routes(spark, sf_dir), f"{folder}/routes", RAW["routes"])
+    there, absent = (
+        read_or_empty(spark, f"{folder}/{name}", RAW["routes"]) for name in ("routes", "none")
+    )
+    return there.unionByName(absent)
+
+
+def _nightly(table: str):
+    """A table of the nightly load over a raw zone whose feeds repeat themselves."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _folder(spark)
+        for entity, redelivered in fixtures.REDELIVERED.items():
+            rows = redelivered(fixtures.raw(spark, sf_dir, entity))
+            write_table(rows, f"{folder}/raw/{entity}", RAW[entity])
+        run_pipeline(
+            spark, f"{folder}/raw", folder, load_ts=fixtures.LOAD_TS, tables=[table], stage=False
+        )
+        return spark.read.parquet(f"{folder}/{table}")
+
+    return query
 
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +202,10 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         **{f"stg_{entity}": _staged(entity) for entity in RAW},
-        "silver_users": _silver_users,
-        "silver_rides": _silver_rides,
+        **{f"silver_{entity}": _silver(entity) for entity in RAW},
+        "staging_appended": _staging_appended,
+        "routes_or_empty": _routes_or_empty,
+        "surrogate_keys_unique": _surrogate_keys_unique,
         "surrogate_keys": _surrogate_keys,
         "dim_user": _built("dim_user"),
         "dim_vehicle": _built("dim_vehicle"),
@@ -182,6 +227,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_checks": _duplicate_checks,
         "quality_log": _quality_log,
         "failed_checks": _failed_checks,
+        "nightly_dashboard": _nightly("dashboard_daily"),
+        "nightly_payments": _nightly("fact_payments"),
         **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 from farebox.operators.quality import failed_checks
 from farebox.plans.nightly import TABLES, run_pipeline
-from farebox.session import SETTINGS
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -19,12 +18,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="day of the route snapshot")
     parser.add_argument("--load-ts", type=dt.datetime.fromisoformat, help="time of the load, UTC")
     parser.add_argument("--tables", nargs="+", choices=TABLES, default=TABLES)
+    parser.add_argument(
+        "--may-be-missing", nargs="*", default=[], help="raw entities taken for empty if absent"
+    )
     parser.add_argument("--no-staging", dest="stage", action="store_false")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("farebox").getOrCreate()
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
     counts, log = run_pipeline(
         spark,
         options.raw,
@@ -33,6 +33,7 @@ def main(arguments: list[str] | None = None) -> None:
         load_ts=options.load_ts,
         tables=options.tables,
         stage=options.stage,
+        may_be_missing=options.may_be_missing,
     )
     counts.show(truncate=False)
     failed_checks(log).show(truncate=False)

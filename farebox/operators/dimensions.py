@@ -12,17 +12,20 @@ from farebox.operators.keys import assign_surrogate_key
 from farebox.schemas import DIM_DATE, DIM_USER, DIM_VEHICLE, conform
 
 
-def build_dim_user(users: DataFrame) -> DataFrame:
-    """Users with ``user_sk``. A user_id delivered twice stays two rows."""
+def build_dim_user(users: DataFrame, unique: bool = False) -> DataFrame:
+    """Users with ``user_sk``. A user_id delivered twice stays two rows.
+
+    Cleaned users are ``unique``: one row for each user_id, none without.
+    """
     columns = [name for name in DIM_USER.names if name != "user_sk"]
-    keyed = assign_surrogate_key(users.select(*columns), "user_id", "user_sk")
+    keyed = assign_surrogate_key(users.select(*columns), "user_id", "user_sk", unique=unique)
     return conform(keyed, DIM_USER)
 
 
-def build_dim_vehicle(vehicles: DataFrame) -> DataFrame:
-    """Vehicles with ``vehicle_sk``, without the route they run on."""
+def build_dim_vehicle(vehicles: DataFrame, unique: bool = False) -> DataFrame:
+    """Vehicles with ``vehicle_sk``, without the route they run on; ``unique`` if cleaned."""
     columns = [name for name in DIM_VEHICLE.names if name != "vehicle_sk"]
-    keyed = assign_surrogate_key(vehicles.select(*columns), "vehicle_id", "vehicle_sk")
+    keyed = assign_surrogate_key(vehicles.select(*columns), "vehicle_id", "vehicle_sk", unique=unique)
     return conform(keyed, DIM_VEHICLE)
 
 

@@ -6,24 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from farebox.functions.checks import must
 from farebox.session import cut_lineage
 
 # A bucket holds this many consecutive key values. 32-bit keys fall into at most
 # 2**32 / BUCKET_WIDTH = 42,950 buckets, plus one for null keys: that bounds the
 # table of bucket offsets, which is broadcast and summed up in one task.
 BUCKET_WIDTH = 100_000
-# Rows of one bucket are sorted by one task. Unique keys keep a bucket within
-# BUCKET_WIDTH rows; with repeated keys its size is measured against this limit.
-MAX_BUCKET_ROWS = 1_000_000
 
 
 def assign_surrogate_key(
-    df: DataFrame,
-    key: str,
-    sk: str,
-    after: Column | int = 0,
-    unique: bool = False,
-    max_bucket_rows: int = MAX_BUCKET_ROWS,
+    df: DataFrame, key: str, sk: str, after: Column | int = 0, unique: bool = False
 ) -> DataFrame:
     """Put a dense integer column ``sk`` before the columns of ``df``.
 
@@ -31,13 +24,11 @@ def assign_surrogate_key(
     last, then of the other columns. The order is total up to rows equal in every
     column, so the numbers depend on the content alone.
 
-    Callers whose integer ``key`` is unique and never null say so; any other
-    input is measured first, and numbered by ranges of the full order when one
-    key value, or null, has too many rows for a single task.
+    The caller's contract decides how. An integer ``key`` said to be ``unique``,
+    and never null, is ranked in buckets of at most BUCKET_WIDTH rows. Any other
+    key is numbered by ranges of the full order, whatever the rows are.
     """
-    bucketed = isinstance(df.schema[key].dataType, IntegerType) and (
-        unique or _largest_bucket(df, key) <= max_bucket_rows
-    )
+    bucketed = unique and isinstance(df.schema[key].dataType, IntegerType)
     position = _position_by_bucket if bucketed else _position_by_range
     numbered = position(df, key)
     start = F.lit(after) if isinstance(after, int) else after
@@ -53,11 +44,6 @@ def _bucket(key: str) -> Column:
     return F.floor(F.col(key) / F.lit(BUCKET_WIDTH)).cast("int")
 
 
-def _largest_bucket(df: DataFrame, key: str) -> int:
-    sizes = df.groupBy(_bucket(key).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
-
-
 def _offsets(df: DataFrame, group: str) -> DataFrame:
     """Per group, in ascending order with null last, the rows of all groups before."""
     before = Window.orderBy(F.col(group).asc_nulls_last()).rowsBetween(
@@ -108,8 +94,15 @@ def _position_by_range(df: DataFrame, key: str) -> DataFrame:
 def lookup_sk(facts: DataFrame, dimension: DataFrame, key: str, sk: str) -> DataFrame:
     """Add the surrogate key of each row's ``key``, null where there is none.
 
-    No row is lost. The join carries just the two key columns of the dimension;
-    whether it is broadcast follows from its measured size, and otherwise
+    No row is lost, and none multiplied: a ``key`` that occurs in more than one row of
+    ``dimension`` fails the job. The join carries just the two key columns of the
+    dimension; whether it is broadcast follows from its measured size, and otherwise
     adaptive execution splits the partitions of hot keys.
     """
-    return facts.join(dimension.select(key, sk), key, "left")
+    keys = (
+        dimension.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.min(sk).alias(sk), F.count(F.lit(1)).alias("_rows"))
+        .filter(must(F.col("_rows") == 1, f"{key} occurs in several rows of the dimension"))
+    )
+    return facts.join(keys.select(key, sk), key, "left")

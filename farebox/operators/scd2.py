@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.functions.checks import must
 from farebox.functions.dates import OPEN_END, day_or_today
 from farebox.operators.keys import assign_surrogate_key
 from farebox.schemas import DIM_ROUTE, RAW, conform
@@ -37,21 +38,24 @@ def scd2_merge(
 
     Closed versions pass through, surrogate keys never change, and new versions
     get the next free ones. A snapshot with a null or repeated key, or older than
-    a current version, fails the job.
+    a current version, fails the job, and so do two current versions of one key.
     """
     day = day_or_today(as_of)
-    # Unique from here on; the grouping and the join share one shuffle.
+    # The window and the join need the same shuffle and order.
+    rows_of_key = F.count(F.lit(1)).over(Window.partitionBy(key))
     state = (
-        snapshot.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_copies"),
-            *[F.any_value(c).alias(f"_new_{c}") for c in tracked],
+        snapshot.select(
+            key, rows_of_key.alias("_copies"), *[F.col(c).alias(f"_new_{c}") for c in tracked]
         )
-        .filter(_must(F.col(key).isNotNull(), "the snapshot has a null business key"))
-        .filter(_must(F.col("_copies") == 1, "the snapshot repeats a business key"))
+        .filter(must(F.col(key).isNotNull(), "the snapshot has a null business key"))
+        .filter(must(F.col("_copies") == 1, "the snapshot repeats a business key"))
     )
-    current = current_rows(existing).filter(
-        _must(F.col("valid_from") <= day, "the snapshot is older than a current version")
+    current = (
+        current_rows(existing)
+        .withColumn("_versions", rows_of_key)
+        .filter(must(F.col("_versions") == 1, "a business key has two current versions"))
+        .filter(must(F.col("valid_from") <= day, "the snapshot is older than a current version"))
+        .drop("_versions")
     )
     both = current.join(state, key, "full_outer")
 
@@ -91,8 +95,3 @@ def merge_routes(
     routes = conform(snapshot, RAW["routes"])
     merged = scd2_merge(existing, routes, "route_id", tracked, "route_sk", as_of)
     return conform(merged, DIM_ROUTE)
-
-
-def _must(condition: Column, message: str) -> Column:
-    """A filter that keeps every row, and fails on one that breaks the condition."""
-    return F.assert_true(condition, message).isNull()

@@ -17,6 +17,7 @@ BUSINESS_KEYS = {
     "vehicles": ("vehicle_id", None),
     "rides": ("ride_id", "end_time"),
     "payments": ("payment_id", "created_at"),
+    "vehicle_positions": ("event_id", "event_time"),
 }
 
 
@@ -30,8 +31,9 @@ def bronze_to_silver(df: DataFrame, key: str, event_time: str | None = None) ->
 
     Rows equal in time, or all rows where there is none, are told apart by their
     remaining columns in order, so the outcome does not depend on the input's.
-    Each task reduces its own rows to one per key before anything is shuffled; a
-    key repeated without end costs no more than any other.
+    Each task reduces its own rows to one per key before anything is shuffled, by
+    sorting them, as a struct's maximum has no hash aggregate; a key repeated without
+    end costs no more than any other.
     """
     others = [c for c in df.columns if c not in (key, event_time)]
     ranking = others if event_time is None else [event_time, *others]

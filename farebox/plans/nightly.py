@@ -5,13 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from farebox.functions.dates import moment_or_now
 from farebox.operators import quality
-from farebox.operators.staging import clean, load_staging
+from farebox.operators.scd2 import current_rows
+from farebox.operators.staging import BUSINESS_KEYS, clean, load_staging
 from farebox.plans.star import SCHEMAS, Star
 from farebox.schemas import QUALITY_LOG, RAW, STAGING, conform
-from farebox.sources.raw import latest_version, path_exists, read_or_empty, read_raw
+from farebox.session import apply_settings
+from farebox.sources.raw import is_complete, latest_version, read_or_empty, read_raw
 from farebox.sources.tables import write_mart, write_table
 
 # Tables in the order of the load.
@@ -26,8 +30,9 @@ TABLES = (
     "dashboard_daily",
     "user_behavior_hourly",
 )
+# The tables whose rows are counted.
 COUNTED = ("dim_user", "dim_route", "dim_vehicle", "fact_rides")
-# Fixed value: the newest ride may be a day old.
+# Our own choice: the newest ride may be a day old.
 MAX_LAG_SECONDS = 86_400
 
 
@@ -41,19 +46,24 @@ def run_pipeline(
     stage: bool = True,
     publish: Callable[[str, DataFrame], None] | None = None,
     max_lag_seconds: int = MAX_LAG_SECONDS,
+    may_be_missing: Iterable[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Load ``tables`` and check them; returns row counts and the new log rows.
 
     Each step writes its tables under ``warehouse`` and the next one scans what
     was written. Tables not asked for are taken as they are stored, and built
     where there are none. ``stage`` appends the raw entities to the staging
-    tables; ``publish`` receives every table written, to copy it to a database.
+    tables; ``publish`` receives every table written, to copy it to a database. A raw
+    entity that is not there is an error, unless it is among those that
+    ``may_be_missing``, which then are empty. Counts are those of the writes, and the
+    log is read back as it was stored.
 
     A load never overwrites the route history it starts from: dim_route gets a
     new folder per load, named after ``load_ts``, and a load begins with the
     newest complete one before its own. All else is rebuilt from the raw zone, so
     a load that broke off is simply run again.
     """
+    apply_settings(spark)
     load_ts = load_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     as_of = as_of or load_ts.date()
     wanted = set(tables)
@@ -62,7 +72,7 @@ def run_pipeline(
         raise ValueError(f"unknown tables: {', '.join(sorted(unknown))}")
 
     def raw(entity: str) -> DataFrame:
-        if entity == "vehicle_positions":
+        if entity in may_be_missing:
             return read_or_empty(spark, f"{raw_root}/{entity}", RAW[entity])
         return read_raw(spark, raw_root, entity)
 
@@ -72,46 +82,69 @@ def run_pipeline(
             write_table(staged, f"{warehouse}/stg_{entity}", STAGING[entity], mode="append")
 
     silver: dict[str, DataFrame] = {}
+    findings: list[tuple[str, str, int]] = []
 
     def cleaned(entity: str) -> DataFrame:
-        # Positions are only ever summed up: they are not worth a shuffle by event.
-        if entity == "vehicle_positions":
-            return conform(raw(entity), RAW[entity])
         if entity not in silver:
-            path = f"{warehouse}/silver_{entity}"
-            write_table(clean(raw(entity), entity), path, RAW[entity])
+            path, key = f"{warehouse}/silver_{entity}", BUSINESS_KEYS[entity][0]
+            seen = Observation()
+            nulls = F.count_if(F.col(key).isNull()).alias("nulls")
+            rows = conform(raw(entity), RAW[entity]).observe(
+                seen, F.count(F.lit(1)).alias("rows"), nulls
+            )
+            kept = write_table(clean(rows, entity), path, RAW[entity])
+            dropped = seen.get["nulls"]
+            findings.append((f"raw_{entity}", f"{key} is null", dropped))
+            findings.append((f"raw_{entity}", "duplicates", seen.get["rows"] - dropped - kept))
             silver[entity] = spark.read.parquet(path)
         return silver[entity]
 
     version = load_ts.strftime("%Y%m%dT%H%M%S%f")
     route_history = f"{warehouse}/dim_route"
 
+    written: dict[str, int] = {}
+
     def keep(name: str, df: DataFrame) -> DataFrame:
         path = f"{route_history}/version={version}" if name == "dim_route" else f"{warehouse}/{name}"
         if name == "user_behavior_hourly":
-            write_mart(df, path)
+            written[name] = write_mart(df, path)
         else:
-            write_table(df, path, SCHEMAS[name])
+            written[name] = write_table(df, path, SCHEMAS[name])
         stored = spark.read.parquet(path)
         if publish is not None:
             publish(name, stored.select(*SCHEMAS[name].names))
         return stored
 
     before = latest_version(spark, route_history, version)
-    star = Star(cleaned, keep, spark.read.parquet(before) if before else None, as_of)
+    star = Star(cleaned, keep, spark.read.parquet(before) if before else None, as_of, cleaned=True)
     for name in TABLES:
         path = before if name == "dim_route" else f"{warehouse}/{name}"
-        if name not in wanted and path and path_exists(spark, path):
+        if name not in wanted and path and is_complete(spark, path):
             star.kept[name] = spark.read.parquet(path)
     for name in TABLES:
         if name in wanted:
             star.table(name)
 
-    counts = quality.row_counts({name: star.table(name) for name in COUNTED})
-    log = check_quality(star, max_lag_seconds, load_ts)
+    stored = {name: star.table(name) for name in COUNTED}
+    counts = [(name, written.get(name) or df.count()) for name, df in stored.items()]
+    log = check_quality(star, max_lag_seconds, load_ts).unionByName(
+        _cleaning_log(spark, findings, load_ts)
+    )
     log_path = f"{warehouse}/data_quality_log"
     write_table(log, log_path, QUALITY_LOG, mode="append")
-    return counts, log
+    new = spark.read.parquet(log_path).filter(F.col("check_date") == F.lit(load_ts))
+    return spark.createDataFrame(counts, "table_name string, row_count long"), new
+
+
+def _cleaning_log(
+    spark: SparkSession, findings: list[tuple[str, str, int]], check_date: dt.datetime
+) -> DataFrame:
+    """What cleaning left out: rows without a key, and further deliveries of one."""
+    rows = [(t, kind, str(n), "FAIL" if n else "PASS") for t, kind, n in findings]
+    frame = spark.createDataFrame(
+        rows, "table_name string, check_type string, result_value string, status string"
+    )
+    return conform(frame.withColumn("check_date", moment_or_now(check_date)), QUALITY_LOG)
 
 
 def check_quality(star: Star, max_lag_seconds: int, check_date: dt.datetime | None) -> DataFrame:
@@ -122,7 +155,14 @@ def check_quality(star: Star, max_lag_seconds: int, check_date: dt.datetime | No
             {"fact_rides": (rides, ["user_sk", "route_sk"]), "dim_user": (users, ["user_id"])}
         ),
         quality.freshness({"fact_rides": (rides, "start_time")}, check_date),
-        quality.duplicate_checks({"dim_user": (users, "user_id"), "fact_rides": (rides, "ride_id")}),
+        quality.duplicate_checks(
+            {
+                "dim_user": (users, "user_id"),
+                "dim_route": (current_rows(star.table("dim_route")), "route_id"),
+                "fact_rides": (rides, "ride_id"),
+                "fact_payments": (star.table("fact_payments"), "payment_id"),
+            }
+        ),
         max_lag_seconds,
         check_date,
     )

@@ -40,6 +40,7 @@ class Star:
     the first one built from it, and returns what to build from: a scan of the
     written table in a load, so that dimensions have known sizes and are computed
     once, or the frame itself. ``routes`` holds the route versions known so far.
+    Entities are ``cleaned`` if they have one row for each key and none without.
     """
 
     def __init__(
@@ -48,11 +49,13 @@ class Star:
         keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
         routes: DataFrame | None = None,
         as_of: dt.date | None = None,
+        cleaned: bool = False,
     ):
         self.raw = raw
         self.keep = keep
         self.routes = routes
         self.as_of = as_of
+        self.cleaned = cleaned
         self.kept: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -66,10 +69,10 @@ class Star:
         return getattr(self, f"_{name}")()
 
     def _dim_user(self) -> DataFrame:
-        return dimensions.build_dim_user(self.raw("users"))
+        return dimensions.build_dim_user(self.raw("users"), self.cleaned)
 
     def _dim_vehicle(self) -> DataFrame:
-        return dimensions.build_dim_vehicle(self.raw("vehicles"))
+        return dimensions.build_dim_vehicle(self.raw("vehicles"), self.cleaned)
 
     def _dim_route(self) -> DataFrame:
         snapshot = self.raw("routes")

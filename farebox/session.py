@@ -12,14 +12,22 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Join by hashing instead of sorting where every partition of one side has
-    # turned out to be at most this large.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Values that do not fit their type are errors.
+    "spark.sql.ansi.enabled": "true",
 }
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Give a running session the settings that results depend on."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+
+
 def local_session(
-    app_name: str = "farebox", cores: int | str = "*", memory: str | None = None
+    app_name: str = "farebox",
+    cores: int | str = "*",
+    memory: str | None = None,
+    folder: str | None = None,
 ) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
@@ -31,6 +39,8 @@ def local_session(
     )
     if memory:
         builder = builder.config("spark.driver.memory", memory)
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -85,6 +85,10 @@ def write_jdbc(
     mode: str = "append",
     connections: int = 16,
 ) -> None:
-    """Write ``df`` to ``table`` of the target called ``name``."""
+    """Write ``df`` to ``table`` of the target called ``name``.
+
+    Rows are dealt out to the connections by a shuffle, so that their number does not
+    limit the tasks that compute ``df``.
+    """
     options = write_options(target(targets, name), table, connections)
-    df.write.format("jdbc").options(**options).mode(mode).save()
+    df.repartition(connections).write.format("jdbc").options(**options).mode(mode).save()

@@ -21,6 +21,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the end there."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, or no rows of ``schema`` where nothing is there.
 

@@ -146,6 +146,41 @@ def redelivered_rides(once: DataFrame) -> DataFrame:
     return once.unionByName(again)
 
 
+def redelivered_payments(once: DataFrame) -> DataFrame:
+    """Payments, a twentieth of them once more a minute later and settled."""
+    again = once.filter(F.col("ride_id").cast("bigint") % 20 == 0).withColumns(
+        {
+            "created_at": F.timestamp_add("MINUTE", F.lit(1), F.col("created_at")),
+            "status": F.lit("success"),
+        }
+    )
+    return once.unionByName(again)
+
+
+def redelivered_positions(once: DataFrame) -> DataFrame:
+    """Positions, all of them delivered twice, and some without an id."""
+    nameless = once.filter(F.col("vehicle_id") % 50 == 1).withColumn(
+        "event_id", F.lit(None).cast("string")
+    )
+    return once.unionByName(once).unionByName(nameless)
+
+
+def redelivered_copies(once: DataFrame) -> DataFrame:
+    """Every row twice."""
+    return once.unionByName(once)
+
+
+# The raw zone of a night on which feeds repeat themselves.
+REDELIVERED = {
+    "users": redelivered_users,
+    "rides": redelivered_rides,
+    "payments": redelivered_payments,
+    "vehicle_positions": redelivered_positions,
+    "routes": redelivered_copies,
+    "vehicles": redelivered_copies,
+}
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 
 def _mean(total: str, count: str, kind: str) -> str:
     """A non-negative amount in hundredths over a count, rounded half up."""
@@ -80,6 +82,12 @@ _STEPS = {
         SELECT ride_id, user_id, route_id, vehicle_id, start_time,
                end_time + INTERVAL 1 MINUTE, fare_amount
         FROM rides WHERE CAST(ride_id AS BIGINT) % 20 = 0""",
+    "redelivered_payments": """
+        SELECT * FROM payments
+        UNION ALL
+        SELECT payment_id, ride_id, user_id, amount, payment_method, 'success',
+               created_at + INTERVAL 1 MINUTE
+        FROM payments WHERE CAST(ride_id AS BIGINT) % 20 = 0""",
     "dim_user": """
         SELECT CAST(row_number() OVER (ORDER BY user_id) AS INT) AS user_sk, * FROM users""",
     "dim_vehicle": """
@@ -227,6 +235,29 @@ def _sql(select: str) -> str:
     return f"WITH {steps}\n{select}"
 
 
+def _cleaned_sql(select: str) -> str:
+    """As ``_sql``, with the star built from cleaned deliveries instead of raw tables."""
+    cleaned = {
+        "users": ("user_id", "created_at"),
+        "rides": ("ride_id", "end_time"),
+        "payments": ("payment_id", "created_at"),
+    }
+    steps = {}
+    for name, body in _STEPS.items():
+        if name == "dim_user":
+            for entity, (key, moment) in cleaned.items():
+                steps[f"silver_{entity}"] = (
+                    f"SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER "
+                    f"(PARTITION BY {key} ORDER BY {moment} DESC) AS place "
+                    f"FROM redelivered_{entity} WHERE {key} IS NOT NULL) WHERE place = 1"
+                )
+        if any(f"silver_{entity}" in steps for entity in cleaned):
+            body = re.sub(r"\b(users|rides|payments)\b", r"silver_\1", body)
+        steps[name] = body
+    joined = ",\n".join(f"{name} AS ({body})" for name, body in steps.items())
+    return f"WITH {joined}\n{select}"
+
+
 def _staged(entity: str) -> str:
     return _sql(f"SELECT *, TIMESTAMP '2024-01-09 02:00:00' AS load_ts FROM {entity}")
 
@@ -248,6 +279,18 @@ ORACLE_SQL = {
     "stg_vehicle_positions": _staged("vehicle_positions"),
     "silver_users": _latest("redelivered_users", "user_id", "created_at"),
     "silver_rides": _latest("redelivered_rides", "ride_id", "end_time"),
+    "silver_payments": _latest("redelivered_payments", "payment_id", "created_at"),
+    "silver_routes": _sql("SELECT * FROM routes"),
+    "silver_vehicles": _sql("SELECT * FROM vehicles"),
+    "silver_vehicle_positions": _sql("SELECT * FROM vehicle_positions"),
+    "surrogate_keys_unique": _sql("SELECT user_sk, user_id, created_at, email FROM dim_user"),
+    "staging_appended": _sql(
+        "SELECT *, TIMESTAMP '2024-01-09 02:00:00' AS load_ts FROM users UNION ALL "
+        "SELECT *, TIMESTAMP '2024-01-09 03:00:00' FROM users"
+    ),
+    "routes_or_empty": _sql("SELECT * FROM routes"),
+    "nightly_dashboard": _cleaned_sql("SELECT * FROM dashboard_daily"),
+    "nightly_payments": _cleaned_sql("SELECT * FROM fact_payments"),
     "surrogate_keys": _sql(
         "SELECT CAST(1000 + row_number() OVER (ORDER BY user_id NULLS LAST, created_at, email) "
         "AS INT) AS user_sk, user_id, created_at, email FROM redelivered_users"

@@ -9,8 +9,9 @@ from farebox.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("farebox-tests", cores=4)
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("intermediate"))
+    session = local_session("farebox-tests", cores=4, folder=folder)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

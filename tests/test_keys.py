@@ -47,13 +47,6 @@ def test_repeated_and_null_keys(spark, repeated, partitions):
     assert by_key(assign_surrogate_key(df, "id", "sk", after=70)) == numbered(repeated, 70)
 
 
-@pytest.mark.parametrize("partitions", [1, 13])
-def test_too_many_rows_for_a_bucket(spark, repeated, partitions):
-    df = frame(spark, repeated).repartition(partitions)
-    keyed = assign_surrogate_key(df, "id", "sk", after=70, max_bucket_rows=1000)
-    assert by_key(keyed) == numbered(repeated, 70)
-
-
 def test_copies_of_one_row_spread_over_tasks(spark, monkeypatch):
     sizes = []
     from farebox.operators import keys
@@ -70,7 +63,7 @@ def test_copies_of_one_row_spread_over_tasks(spark, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(4000).select(F.lit(5).alias("id"), F.lit("same").alias("name"))
-        keyed = assign_surrogate_key(df, "id", "sk", max_bucket_rows=100)
+        keyed = assign_surrogate_key(df, "id", "sk")
         assert [row[0] for row in by_key(keyed)] == list(range(1, 4001))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -84,20 +77,26 @@ def test_other_key_types(spark):
     assert by_key(assign_surrogate_key(wide, "id", "sk")) == [(1, -(2**50)), (2, 3), (3, 2**50)]
 
 
-def test_empty(spark):
-    for limit in (0, 1_000_000):
-        empty = spark.createDataFrame([], "id int, name string")
-        assert assign_surrogate_key(empty, "id", "sk", max_bucket_rows=limit).count() == 0
+@pytest.mark.parametrize("unique", [True, False])
+def test_empty(spark, unique):
+    empty = spark.createDataFrame([], "id int, name string")
+    assert assign_surrogate_key(empty, "id", "sk", unique=unique).count() == 0
 
 
 def test_lookup_keeps_every_row(spark):
     facts = spark.createDataFrame([("a", 1), ("b", 9), ("c", None)], "fact string, id int")
     dimension = spark.createDataFrame(
-        [(11, 1, "x"), (12, 1, "y"), (13, None, "z")], "sk int, id int, name string"
+        [(11, 1, "x"), (13, None, "z"), (14, None, "z")], "sk int, id int, name string"
     )
     assert collected(lookup_sk(facts, dimension, "id", "sk"), "fact", "sk") == [
         ("a", 11),
-        ("a", 12),
         ("b", None),
         ("c", None),
     ]
+
+
+def test_lookup_refuses_a_repeated_key(spark):
+    facts = spark.createDataFrame([("a", 1)], "fact string, id int")
+    dimension = spark.createDataFrame([(11, 1), (12, 1)], "sk int, id int")
+    with pytest.raises(Exception, match="id occurs in several rows of the dimension"):
+        lookup_sk(facts, dimension, "id", "sk").collect()

@@ -115,3 +115,55 @@ def test_command_line(spark, raw, tmp_path, capsys):
     main([f"{raw}/first", str(tmp_path), "--load-ts", "2024-01-09T02:00:00", "--tables", "dim_user"])
     shown = capsys.readouterr().out
     assert "dim_user" in shown and "route_sk is null" in shown
+
+
+def test_a_missing_feed_is_an_error_unless_allowed(spark, raw, tmp_path):
+    for entity in fixtures.ENTITIES:
+        if entity != "vehicle_positions":
+            spark.read.parquet(f"{raw}/first/{entity}").write.parquet(f"{tmp_path}/raw/{entity}")
+    load = dict(load_ts=FIRST, tables=["fact_vehicle_movement"], stage=False)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_pipeline(spark, f"{tmp_path}/raw", f"{tmp_path}/a", **load)
+    run_pipeline(
+        spark, f"{tmp_path}/raw", f"{tmp_path}/b", may_be_missing=["vehicle_positions"], **load
+    )
+    assert spark.read.parquet(f"{tmp_path}/b/fact_vehicle_movement").count() == 0
+
+
+def test_repeated_deliveries_count_once_and_are_logged(spark, raw, tmp_path):
+    for entity in fixtures.ENTITIES:
+        rows = spark.read.parquet(f"{raw}/first/{entity}")
+        if entity == "vehicle_positions":
+            rows = rows.unionByName(rows)
+        rows.write.parquet(f"{tmp_path}/raw/{entity}")
+    _, log = run_pipeline(
+        spark, f"{tmp_path}/raw", str(tmp_path / "w"), load_ts=FIRST, stage=False,
+        tables=["fact_vehicle_movement"],
+    )
+    once = spark.read.parquet(f"{raw}/first/vehicle_positions").count()
+    moved = spark.read.parquet(f"{tmp_path}/w/fact_vehicle_movement")
+    assert moved.agg(F.sum("events_count")).first()[0] == once
+    found = log.filter("table_name = 'raw_vehicle_positions' AND check_type = 'duplicates'")
+    assert collected(found, "result_value", "status") == [(str(once), "FAIL")]
+
+
+def test_a_broken_off_table_is_built_again(spark, raw, tmp_path):
+    written = []
+    load = dict(
+        load_ts=FIRST, stage=False, tables=["dim_user"],
+        publish=lambda name, df: written.append(name),
+    )
+    run_pipeline(spark, f"{raw}/first", str(tmp_path), **load)
+    (tmp_path / "fact_rides" / "_SUCCESS").unlink()
+    written.clear()
+    load["load_ts"] = SECOND
+    run_pipeline(spark, f"{raw}/first", str(tmp_path), **load)
+    assert "fact_rides" in written
+
+
+def test_settings_are_applied(spark, raw, tmp_path):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    run_pipeline(
+        spark, f"{raw}/first", str(tmp_path), load_ts=FIRST, tables=["dim_vehicle"], stage=False
+    )
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on the driver's tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -39,11 +40,15 @@ def _sorted(rows):
     return sorted(rows, key=lambda row: [(v is None, str(v)) for v in row])
 
 
+# Queries of the package for training text have tests of their own beside it.
+OWN = [name for name in sorted(entry.queries()) if not re.match(r"op\d+_|pipeline$", name)]
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, oracle, name):
     result = entry.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)

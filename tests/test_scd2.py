@@ -120,3 +120,13 @@ def test_bad_snapshots_fail(loaded, snapshot, routes, day, message):
     # Which exception arrives depends on how many tasks fail at once.
     with pytest.raises(Exception, match=message):
         merge_routes(loaded, snapshot(*routes), day).collect()
+
+
+def test_two_current_versions_of_a_key_are_refused(rows, snapshot):
+    doubled = rows(
+        DIM_ROUTE,
+        version(1, 10, "A", "bus", "40.00", JAN),
+        version(2, 10, "A", "bus", "42.00", JAN),
+    )
+    with pytest.raises(Exception, match="two current versions"):
+        merge_routes(doubled, snapshot((10, "A", "bus", "41.00")), FEB).collect()
