@@ -40,13 +40,13 @@ BLOCK_IDS = 1024
 CODED_IDS = 1 << 19
 PAD = 240
 # A file is closed after this many ids.
-FILE_IDS = 8 << 20
+FILE_IDS = 2 << 20
 READ_BYTES = 32 << 20
 MAGIC = b"S8BT0001"
 HEADER = struct.Struct("<8sIQQQ")
 
 # Pieces whose ids a process remembers, in either of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 # ---- Simple-8b ------------------------------------------------------------------------
@@ -374,7 +374,7 @@ def write_tokens(
             doc_ids.clear(), sizes.clear(), held.clear()
 
         count = 0
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 3 << 20):
             ids, cuts = coder.encode(batch.column("text"))
             doc_ids += batch.column("id").to_pylist()
             sizes.append(np.diff(cuts))
@@ -385,6 +385,8 @@ def write_tokens(
                 count = 0
         if held:
             close()
+        # The process stays for other tasks, of other operators too.
+        pa.default_memory_pool().release_unused()
         names = [field.split()[0] for field in MANIFEST.split(", ")]
         columns = list(zip(*done, strict=True)) if done else [()] * len(names)
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
