@@ -123,4 +123,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # The SQL that gives the same rows, where there is any; the others are tested against
 # brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_segments": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS payload,
+                   strlen(coalesce(html, '')) AS payload_bytes
+            FROM pages),
+        last AS (
+            SELECT payload, max(page_id) AS largest FROM sized
+            WHERE payload_bytes >= 1000 GROUP BY payload)
+        SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+               CASE WHEN largest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN largest <> page_id THEN largest END AS refers_to,
+               CAST(NULL AS VARCHAR) AS problem
+        FROM sized LEFT JOIN last USING (payload)""",
+}
