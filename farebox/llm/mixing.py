@@ -16,7 +16,7 @@ from farebox.llm.simhash import once_per_task
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 # Texts that one task rounds in a row, and residuals that one task combines.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 SEED = 7
 WHOLE = 1e-9
 
