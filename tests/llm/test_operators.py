@@ -601,3 +601,10 @@ def test_pipeline_odd_rows(spark, odd, empty):
             out = stage(spark, frame, SF_DIR)
             assert place == 4 or out.columns == frame.columns
             out.collect()
+
+
+@pytest.mark.parametrize("name", [name for name in queries.QUERIES if name[2] in "2378"])
+def test_no_nested_loops(spark, name):
+    frame = queries.QUERIES[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
