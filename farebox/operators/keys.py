@@ -99,10 +99,10 @@ def lookup_sk(facts: DataFrame, dimension: DataFrame, key: str, sk: str) -> Data
     dimension; whether it is broadcast follows from its measured size, and otherwise
     adaptive execution splits the partitions of hot keys.
     """
-    keys = (
-        dimension.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(sk).alias(sk), F.count(F.lit(1)).alias("_rows"))
-        .filter(must(F.col("_rows") == 1, f"{key} occurs in several rows of the dimension"))
+    sizes = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # One number, found beside the join, which is left as adaptive execution can split it.
+    repeated = sizes.agg(F.count_if(F.col("n") > 1)).scalar()
+    keys = dimension.select(key, sk).filter(
+        must(repeated == 0, f"{key} occurs in several rows of the dimension")
     )
-    return facts.join(keys.select(key, sk), key, "left")
+    return facts.join(keys, key, "left")

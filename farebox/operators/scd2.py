@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.checks import must
@@ -41,21 +41,22 @@ def scd2_merge(
     a current version, fails the job, and so do two current versions of one key.
     """
     day = day_or_today(as_of)
-    # The window and the join need the same shuffle and order.
-    rows_of_key = F.count(F.lit(1)).over(Window.partitionBy(key))
+    # Unique from here on; the grouping and the join share one shuffle.
     state = (
-        snapshot.select(
-            key, rows_of_key.alias("_copies"), *[F.col(c).alias(f"_new_{c}") for c in tracked]
+        snapshot.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("_copies"),
+            *[F.any_value(c).alias(f"_new_{c}") for c in tracked],
         )
         .filter(must(F.col(key).isNotNull(), "the snapshot has a null business key"))
         .filter(must(F.col("_copies") == 1, "the snapshot repeats a business key"))
     )
+    versions = current_rows(existing).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    doubled = versions.agg(F.count_if(F.col("n") > 1)).scalar()
     current = (
         current_rows(existing)
-        .withColumn("_versions", rows_of_key)
-        .filter(must(F.col("_versions") == 1, "a business key has two current versions"))
+        .filter(must(doubled == 0, "a business key has two current versions"))
         .filter(must(F.col("valid_from") <= day, "the snapshot is older than a current version"))
-        .drop("_versions")
     )
     both = current.join(state, key, "full_outer")
 
