@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import column, mixed, owners, slices, split_words, window_hashes
+from farebox.llm.common import column, mixed, slices, split_words, stored, window_hashes
+from farebox.session import cut_lineage
 
 # A repeated passage has at least this many words.
 MIN_WORDS = 50
@@ -24,6 +27,7 @@ HEAD = MIN_WORDS - SPREAD + 1
 LEFT, RIGHT = SPREAD - 1, MIN_WORDS - HEAD
 
 ROWS = "key long, after binary, before binary, id long, pos int, length int"
+COLUMNS = [field.split()[0] for field in ROWS.split(", ")]
 SPANS = "id long, first int, last int, other_id long"
 
 
@@ -43,42 +47,63 @@ def minimisers(grams: np.ndarray, spread: int) -> np.ndarray:
     return np.unique(best)
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Word hashes, where texts begin, head hashes, and the suffixes kept with their texts."""
+    words, bounds = split_words(batch.column("text"))
+    names = np.asarray(words.dictionary.to_pylist(), dtype=object)
+    tokens = np.zeros(0, np.uint64)
+    if len(names):
+        tokens = pd.util.hash_array(names, categorize=False)[words.indices.to_numpy()]
+    grams = window_hashes(tokens, GRAM)
+    places = [np.zeros(0, np.int64)]
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if hi - lo >= MIN_WORDS:
+            places.append(lo + minimisers(grams[lo : hi - GRAM + 1], SPREAD))
+    place = np.concatenate(places)
+    whose = np.searchsorted(bounds, place, side="right") - 1
+    fits = place + HEAD <= bounds[whose + 1]
+    return tokens, bounds, window_hashes(tokens, HEAD), place[fits], whose[fits]
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of every suffix."""
     for batch in slices(batches, "text"):
-        words, bounds = split_words(batch.column("text"))
-        names = np.asarray(words.dictionary.to_pylist(), dtype=object)
-        tokens = np.zeros(0, np.uint64)
-        if len(names):
-            tokens = pd.util.hash_array(names, categorize=False)[words.indices.to_numpy()]
-        grams = window_hashes(tokens, GRAM)
-        heads = window_hashes(tokens, HEAD)
-        short = np.concatenate(
-            (np.zeros(LEFT, np.uint16), (mixed(tokens) >> np.uint64(48)).astype(np.uint16),
-             np.zeros(HEAD + RIGHT, np.uint16))
-        )
-        places = [np.zeros(0, np.int64)]
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if hi - lo >= MIN_WORDS:
-                places.append(lo + minimisers(grams[lo : hi - GRAM + 1], SPREAD))
-        place = np.concatenate(places)
-        whose = np.searchsorted(bounds, place, side="right") - 1
-        fits = place + HEAD <= bounds[whose + 1]
-        place, whose = place[fits], whose[fits]
-        windows = np.lib.stride_tricks.sliding_window_view
-        # Big-endian, so that bytes sort as the words' numbers do.
-        right = windows(short, RIGHT)[place + LEFT + HEAD].astype(">u2")
-        left = windows(short, LEFT)[place][:, ::-1].astype(">u2")
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(heads[place].view(np.int64)),
-                _fixed(right),
-                _fixed(left),
-                batch.column("id").take(pa.array(whose)),
-                pa.array((place - bounds[whose]).astype(np.int32)),
-                pa.array((bounds[whose + 1] - bounds[whose]).astype(np.int32)),
-            ],
-            [field.split()[0] for field in ROWS.split(", ")],
-        )
+        _, _, heads, place, _ = _places(batch)
+        yield pa.RecordBatch.from_arrays([pa.array(heads[place].view(np.int64))], ["key"])
+
+
+def _suffixes(keys: np.ndarray, chosen: bool):
+    """Rows of the suffixes whose head is among ``keys``, or of all others."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            tokens, bounds, heads, place, whose = _places(batch)
+            wanted = np.isin(heads[place].view(np.int64), keys, invert=not chosen)
+            yield _rows(batch, tokens, bounds, heads, place[wanted], whose[wanted])
+
+    return work
+
+
+def _rows(batch, tokens, bounds, heads, place, whose) -> pa.RecordBatch:
+    short = np.concatenate(
+        (np.zeros(LEFT, np.uint16), (mixed(tokens) >> np.uint64(48)).astype(np.uint16),
+         np.zeros(HEAD + RIGHT, np.uint16))
+    )
+    windows = np.lib.stride_tricks.sliding_window_view
+    # Big-endian, so that bytes sort as the words' numbers do.
+    right = windows(short, RIGHT)[place + LEFT + HEAD].astype(">u2")
+    left = windows(short, LEFT)[place][:, ::-1].astype(">u2")
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(heads[place].view(np.int64)),
+            _fixed(right),
+            _fixed(left),
+            batch.column("id").take(pa.array(whose)),
+            pa.array((place - bounds[whose]).astype(np.int32)),
+            pa.array((bounds[whose + 1] - bounds[whose]).astype(np.int32)),
+        ],
+        COLUMNS,
+    )
 
 
 def _fixed(rows: np.ndarray) -> pa.Array:
@@ -108,8 +133,9 @@ def _agree(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare each suffix with the nearest one of another document before and after it.
 
-    Rows arrive sorted by key and what follows. Only two rows are carried from one batch
-    to the next: the last, and the last of another document under the same key.
+    Rows arrive sorted by key and one side. Carried from one batch to the next are the last
+    rows as far as they are of one document and key, which may meet the next document
+    there, and the row of another document before them.
     """
     names = ["id", "first", "last", "other_id"]
 
@@ -159,15 +185,84 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         earlier = np.concatenate([earlier, *more_a]).astype(np.int64)
         later = np.concatenate([later, *more_b]).astype(np.int64)
         yield compared(rows, earlier, later)
-        last = len(key) - 1
-        keep = [last]
-        if begin[last] > 0 and key[begin[last] - 1] == key[last]:
-            keep = [begin[last] - 1, last]
-        held = rows.take(pa.array(keep)).combine_chunks()
+        start = begin[-1]
+        if start > 0 and key[start - 1] == key[start]:
+            start -= 1
+        held = rows.slice(start).combine_chunks()
+
+
+def _nearest(rows: pa.Table, last: bool) -> pa.Table:
+    """The last row, or the first, and that of another document under its key nearest to it."""
+    if not rows.num_rows:
+        return rows
+    key, ids = rows.column("key").to_numpy(), rows.column("id").to_numpy()
+    edge = len(key) - 1 if last else 0
+    others = np.flatnonzero((key == key[edge]) & (ids != ids[edge]))
+    keep = sorted({edge, *others[-1 if last else 0 :][:1].tolist()})
+    return rows.take(pa.array(keep)).combine_chunks()
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's sorted rows, those that tasks before and after it need: four at most."""
+    first = last = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        first = _nearest(pa.concat_tables([first, rows]) if first else rows, last=False)
+        last = _nearest(pa.concat_tables([last, rows]) if last else rows, last=True)
+    for rows, ends in ((first, False), (last, True)):
+        if rows:
+            marked = rows.append_column("ends", pa.array([ends] * rows.num_rows))
+            yield from marked.combine_chunks().to_batches()
+
+
+def _spans_over_tasks(rows: DataFrame, side: str) -> DataFrame:
+    """``_spans`` of rows whose heads are too frequent to be sorted in one task each.
+
+    The whole order is dealt out by ranges, which cut a head wherever it is long. The
+    checkpoint fixes the places. At most four rows of a task, the outermost and
+    their nearest of another document, pass through the driver to the tasks beside it.
+    """
+    order = ["key", side, "id", "pos"]
+    placed = cut_lineage(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id())
+    )
+    edges = placed.mapInArrow(_edges, f"{ROWS}, part int, ends boolean").toArrow()
+    whose = 2 * edges.column("part").to_numpy() + edges.column("ends").to_numpy()
+    edges = edges.select(COLUMNS).take(pa.array(np.argsort(whose, kind="stable")))
+    whose = np.sort(whose)
+    parts = np.unique(whose // 2).tolist()
+
+    def outer(part: int, last: bool) -> pa.Table:
+        lo, hi = np.searchsorted(whose, [2 * part + last, 2 * part + last + 1])
+        return edges.slice(lo, hi - lo)
+
+    before, after = {}, {}
+    reached = edges.slice(0, 0)
+    for part in parts:
+        before[part] = reached
+        reached = _nearest(pa.concat_tables([reached, outer(part, True)]), last=True)
+    reached = edges.slice(0, 0)
+    for part in reversed(parts):
+        after[part] = reached
+        reached = _nearest(pa.concat_tables([outer(part, False), reached]), last=False)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = (batch for batch in batches if batch.num_rows)
+        for batch in full:
+            part = batch.column("part")[0].as_py()
+            own = (b.select(COLUMNS) for b in chain([batch], full))
+            yield from _spans(chain(before[part].to_batches(), own, after[part].to_batches()))
+
+    return placed.mapInArrow(work, SPANS)
 
 
 def repeated_passages(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    tasks: int | None = None,
 ) -> DataFrame:
     """(id, first, last, n_words, other_id): passages that another document has as well.
 
@@ -176,9 +271,10 @@ def repeated_passages(
     passages that overlap or touch are one. ``other_id`` is the smallest id it was found in.
     Suffixes at minimisers are sorted by what follows them, and once more by what
     precedes them, neighbours of different documents compared, and matches extended word
-    by word to both sides. Rows with
-    one id are one document, rows without an id another; null and short texts have no
-    passage.
+    by word to both sides. A head with more than one in ``tasks`` of all suffixes (default:
+    one in the session's shuffle partitions) is sorted over many tasks, any other in one;
+    the same rows are compared either way. Rows with one id are one document,
+    rows without an id another; null and short texts have no passage.
     """
     rows = docs.select(
         column(docs, id_column).cast("long").alias("id"),
@@ -187,14 +283,20 @@ def repeated_passages(
     # A number for rows without an id, put back below; ids are not that small.
     none = -(1 << 63)
     numbered = rows.withColumn("id", F.coalesce("id", F.lit(none)))
-    suffixes = numbered.mapInArrow(_suffixes, ROWS)
-    dealt = suffixes.repartition("key")
+    hot = _frequent_heads(
+        numbered, tasks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    )
     # One shuffle serves both orders.
-    by_after, by_before = (
+    dealt = numbered.mapInArrow(_suffixes(hot, chosen=False), ROWS).repartition("key")
+    sides = ("after", "before")
+    spans = [
         dealt.sortWithinPartitions("key", side, "id", "pos").mapInArrow(_spans, SPANS)
-        for side in ("after", "before")
-    )
-    return _merged(by_after.unionByName(by_before)).select(
+        for side in sides
+    ]
+    if len(hot):
+        frequent = stored(numbered.mapInArrow(_suffixes(hot, chosen=True), ROWS), "heads")
+        spans += [_spans_over_tasks(frequent, side) for side in sides]
+    return _merged(reduce(DataFrame.unionByName, spans)).select(
         F.nullif("id", F.lit(none)).alias(id_column),
         "first",
         "last",
@@ -203,6 +305,15 @@ def repeated_passages(
     )
 
 
+def _frequent_heads(numbered: DataFrame, tasks: int) -> np.ndarray:
+    """The heads, fewer than ``tasks``, that have more than one in ``tasks`` of all suffixes."""
+    heads = numbered.mapInArrow(_heads, "key long")
+    sizes = heads.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.agg(F.sum("n") / tasks).scalar()
+    found = sizes.filter(F.col("n") > share).select("key").toArrow()
+    return found.column("key").to_numpy()
+
+
 def _merged(spans: DataFrame) -> DataFrame:
     """The union of the spans of each document as separate passages.
 

@@ -390,6 +390,44 @@ def test_suffix_query(spark, documents):
     assert {d for d, _ in found} == {d for d, _ in expected}
 
 
+def test_suffix_heads_over_tasks(spark, documents):
+    """Heads sorted over many tasks give the rows of heads sorted in one each."""
+    text = documents.filter("length(text) > 1000").first().text
+    copies = [(10_000 + n, f"{text} {n} {text}") for n in range(40)]
+    docs = documents.select("doc_id", "text").union(spark.createDataFrame(copies))
+    by_head = {tuple(r) for r in suffixes.repeated_passages(docs).collect()}
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        for tasks in (1, 500, 10**9):
+            found = suffixes.repeated_passages(docs, tasks=tasks)
+            assert {tuple(r) for r in found.collect()} == by_head
+    finally:
+        spark.conf.set(merging, "true")
+
+
+def test_suffix_streak_over_batches(spark):
+    """Documents that repeat themselves for whole batches still meet the next one."""
+    pick = np.random.default_rng(3)
+
+    def text(n):
+        return " ".join(f"w{x}" for x in pick.integers(0, 10**9, n))
+
+    docs = []
+    for n in range(12):
+        passage = text(55)
+        docs += [(2 * n, f"{passage} {text(60)} " * 40), (2 * n + 1, f"{text(9)} {passage} {text(9)}")]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        frame = spark.createDataFrame(docs, "doc_id long, text string")
+        found = covered(suffixes.repeated_passages(frame))
+    finally:
+        spark.conf.set(size, before)
+    assert found == plain_repeats(docs)
+
+
 def test_suffix_passages(spark, odd, empty):
     pick = np.random.default_rng(2)
 
