@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from farebox.functions.checks import must
+from farebox.functions.checks import must, repeated
 from farebox.session import cut_lineage
 
 # A bucket holds this many consecutive key values. 32-bit keys fall into at most
@@ -99,10 +99,9 @@ def lookup_sk(facts: DataFrame, dimension: DataFrame, key: str, sk: str) -> Data
     dimension; whether it is broadcast follows from its measured size, and otherwise
     adaptive execution splits the partitions of hot keys.
     """
-    sizes = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     # One number, found beside the join, which is left as adaptive execution can split it.
-    repeated = sizes.agg(F.count_if(F.col("n") > 1)).scalar()
+    named = dimension.filter(F.col(key).isNotNull())
     keys = dimension.select(key, sk).filter(
-        must(repeated == 0, f"{key} occurs in several rows of the dimension")
+        must(repeated(named, key) == 0, f"{key} occurs in several rows of the dimension")
     )
     return facts.join(keys, key, "left")

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.functions.checks import must
+from farebox.functions.checks import must, repeated
 from farebox.functions.dates import OPEN_END, day_or_today
 from farebox.operators.keys import assign_surrogate_key
 from farebox.schemas import DIM_ROUTE, RAW, conform
+from farebox.session import cut_lineage
 
 
 def current_rows(dimension: DataFrame) -> DataFrame:
@@ -38,29 +39,31 @@ def scd2_merge(
 
     Closed versions pass through, surrogate keys never change, and new versions
     get the next free ones. A snapshot with a null or repeated key, or older than
-    a current version, fails the job, and so do two current versions of one key.
+    a current version, is an error, and so are two current versions of one key: they
+    are found right here, where both are joined and the result is checkpointed.
     """
     day = day_or_today(as_of)
-    # Unique from here on; the grouping and the join share one shuffle.
-    state = (
-        snapshot.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_copies"),
-            *[F.any_value(c).alias(f"_new_{c}") for c in tracked],
-        )
-        .filter(must(F.col(key).isNotNull(), "the snapshot has a null business key"))
-        .filter(must(F.col("_copies") == 1, "the snapshot repeats a business key"))
-    )
-    versions = current_rows(existing).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    doubled = versions.agg(F.count_if(F.col("n") > 1)).scalar()
     current = (
         current_rows(existing)
-        .filter(must(doubled == 0, "a business key has two current versions"))
+        .filter(
+            must(
+                repeated(current_rows(existing), key) == 0,
+                "a business key has two current versions",
+            )
+        )
         .filter(must(F.col("valid_from") <= day, "the snapshot is older than a current version"))
     )
-    both = current.join(state, key, "full_outer")
+    state = (
+        snapshot.select(
+            key, F.lit(True).alias("_delivered"), *[F.col(c).alias(f"_new_{c}") for c in tracked]
+        )
+        .filter(must(F.col(key).isNotNull(), "the snapshot has a null business key"))
+        .filter(must(repeated(snapshot, key) == 0, "the snapshot repeats a business key"))
+    )
+    # Joined once: the versions kept, and twice the new ones, are read from here.
+    both = cut_lineage(current.join(state, key, "full_outer"))
 
-    known, delivered = F.col(sk).isNotNull(), F.col("_copies").isNotNull()
+    known, delivered = F.col(sk).isNotNull(), F.col("_delivered").isNotNull()
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in tracked])
     changed = known & delivered & ~same
     begun_today = F.col("valid_from") == day

@@ -158,3 +158,11 @@ def test_hourly_mart_shuffles_rides_once_when_users_are_broadcast(spark, tmp_pat
         star["fact_rides"], star["dim_user"], star["dim_route"], star["dim_date"]
     )
     assert len(re.findall(r"\bExchange hashpartitioning", plan_of(rides))) == 1
+
+
+def test_history_and_snapshot_are_joined_once(spark):
+    """The join is stored; all that is left to join are the offsets of key buckets."""
+    plan = final_plan(entry.queries()["dim_route_scd2"](spark, SF_DIR))
+    assert "FullOuter" not in plan and "SortMergeJoin" not in plan
+    assert "SortAggregate" not in plan
+    assert "_new_" in plan and "Scan ExistingRDD" in plan
