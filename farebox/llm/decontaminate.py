@@ -103,23 +103,28 @@ class Templates:
         good = np.flatnonzero(enough & (whose[:count] == whose[size - 1 : size - 1 + count]))
         return good, marks[good]
 
-    def spelled(self, place: int, size: int) -> tuple[str, list[str]]:
-        """The template of a window, and the values in its slots."""
-        words, slots = [], []
+    def spelled(self, place: int, size: int) -> tuple[str, list[str], list[int]]:
+        """The template of a window, the values in its slots, and where in it they are."""
+        words, slots, offsets = [], [], []
         for at in range(place, place + size):
             value = self.values[int(self.codes[at])].as_py()
             kind = int(self.kinds[at])
             words.append(NAMES.get(kind) or value.lower())
             if kind != WORD:
                 slots.append(value)
-        return " ".join(words), slots
+                offsets.append(at - place)
+        return " ".join(words), slots, offsets
 
 
-WINDOWS = "id long, row_hash long, length int, pos int, mark long, template string, slots array<string>"
+WINDOWS = (
+    "id long, row_hash long, length int, pos int, mark long, template string, "
+    "slots array<string>, offsets array<int>"
+)
 
 
 def _rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
-    owner, length, pos, mark, template, slots = zip(*found, strict=True) if found else ((),) * 6
+    columns = zip(*found, strict=True) if found else ((),) * 7
+    owner, length, pos, mark, template, slots, offsets = columns
     taken = pa.array(owner, pa.int64())
     return pa.RecordBatch.from_arrays(
         [
@@ -130,6 +135,7 @@ def _rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
             pa.array(np.array(mark, np.uint64).view(np.int64)),
             pa.array(template, pa.string()),
             pa.array(slots, pa.list_(pa.string())),
+            pa.array(offsets, pa.list_(pa.int32())),
         ],
         [field.split()[0] for field in WINDOWS.split(", ")],
     )
@@ -213,7 +219,8 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     )
     same = [F.col(c) == F.col(f"b_{c}") for c in ("mark", "length", "template")]
     return mine.join(theirs, same).select(
-        "id", "row_hash", "pos", "slots", "item_id", "item_hash", "item_pos", "item_slots"
+        *("id", "row_hash", "pos", "slots", "offsets"),
+        *("item_id", "item_hash", "item_pos", "item_slots"),
     )
 
 
@@ -228,29 +235,18 @@ def matches(
 ) -> DataFrame:
     """(id, row_hash, item_id, share, reparameterised) for each document and item it holds.
 
-    An alignment is a fixed distance between places in document and item. It counts if
-    its slots are consistent: a value of the item stands for the same value of the
-    document wherever it occurs, and different ones for different ones. A document
-    holds an item if consistent alignments have at least ``min_share`` of its windows;
-    it is re-parameterised if any slot differs. Rows without text hold nothing; rows
+    An alignment is a fixed distance between places in document and item. In it, a
+    value of the item stands for the value of the document that it meets at most
+    places; windows in which it meets another one are left out, and if no value is ahead
+    all windows with it. Two values of the item may meet the same one. A document
+    holds an item if the windows left of its alignments are at least ``min_share`` of all;
+    it is re-parameterised if any slot of theirs differs. Rows without text hold nothing; rows
     that are equal in every column appear once, rows without an id with a null id.
     """
     windows = stored(benchmark_windows(benchmark, item_id_column, item_text_column), "windows")
     shared = stored(shared_windows(_texts(docs, id_column, text_column), windows), "shared")
     one = ["id", "row_hash", "item_id", "item_hash"]
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
-    pairs = F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("slot")
-    slots = (
-        shared.select(*one, shift, pairs)
-        .filter("slot IS NOT NULL")
-        .select(
-            *one,
-            "shift",
-            F.lower("slot.item_slots").alias("theirs"),
-            F.lower("slot.slots").alias("mine"),
-        )
-        .distinct()
-    )
     here = [*one, "shift"]
 
     def safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -261,27 +257,37 @@ def matches(
         on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
         return left.join(other, on, how).drop(*[f"_{k}" for k in keys])
 
-    clashing = [
-        slots.groupBy(*here, side).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*here)
-        for side in ("theirs", "mine")
-    ]
-    clashes = clashing[0].unionByName(clashing[1]).distinct()
-    changed = slots.filter("theirs != mine").select(*one).distinct()
-    changed = changed.withColumn("reparameterised", F.lit(True))
-    sound = safe(shared.select(*one, shift, "item_pos"), clashes, here, "left_anti")
-    covered = sound.groupBy(*one).agg(F.count_distinct("item_pos").alias("covered"))
+    lowered = [F.transform(c, F.lower).alias(c) for c in ("item_slots", "slots")]
+    aligned = shared.select(*one, shift, "item_pos", *lowered, "offsets")
+    pairs = F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("slot")
+    slots = aligned.select(*here, "item_pos", pairs).select(
+        *here,
+        "item_pos",
+        (F.col("item_pos") + F.col("slot.offsets")).alias("at"),
+        F.col("slot.item_slots").alias("theirs"),
+        F.col("slot.slots").alias("mine"),
+    )
+    votes = slots.select(*here, "at", "theirs", "mine").distinct()
+    votes = votes.groupBy(*here, "theirs", "mine").agg(F.count(F.lit(1)).alias("n"))
+    # The first and the last of the values met most often; the same one unless they are level.
+    first, last = F.min(F.struct(-F.col("n"), "mine")), F.max(F.struct("n", "mine"))
+    stands = votes.groupBy(*here, "theirs").agg(
+        F.when(first["mine"] == last["mine"], last["mine"]).alias("meant")
+    )
+    clashes = safe(slots, stands, [*here, "theirs"], "inner")
+    clashes = clashes.filter("meant IS NULL OR mine != meant").select(*here, "item_pos").distinct()
+    sound = safe(aligned, clashes, [*here, "item_pos"], "left_anti")
+    covered = sound.groupBy(*one).agg(
+        F.count_distinct("item_pos").alias("covered"),
+        F.bool_or(F.col("item_slots") != F.col("slots")).alias("reparameterised"),
+    )
     totals = windows.groupBy(
         F.col("id").alias("item_id"), F.col("row_hash").alias("item_hash")
     ).agg(F.count_distinct("pos").alias("total"))
     held = safe(covered, totals, ["item_id", "item_hash"], "inner")
     held = held.withColumn("share", F.col("covered") / F.col("total"))
-    held = safe(held.filter(F.col("share") >= min_share), changed, one, "left")
-    return held.select(
-        "id",
-        "row_hash",
-        "item_id",
-        "share",
-        F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"),
+    return held.filter(F.col("share") >= min_share).select(
+        "id", "row_hash", "item_id", "share", "reparameterised"
     )
 
 

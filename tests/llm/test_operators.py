@@ -341,6 +341,23 @@ def test_templates(spark, odd, empty):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_clashing_slots(spark):
+    """One clash costs the windows around it, and equal values may stand for different ones."""
+    twice = (
+        "In the spring of 1998 the mill by the river was sold to a group of farmers who wanted to "
+        "grind their own corn and to keep the old wheel running for all of the people in the "
+        "valley and nobody there had seen so much of it since the great flood of 1998 came."
+    )
+    balls = "a bag holds 3 red balls and 5 blue balls and one ball is drawn from it"
+    docs = spark.createDataFrame(
+        [(1, twice.replace("1998", "1997", 1)), (2, balls.replace("3", "4").replace("5", "4")),
+         (3, twice)], "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(8, twice), (9, balls)], "item_id long, text string")
+    found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "reparameterised")
+    assert found == {1: ([8], False), 2: ([9], True), 3: ([8], False)}
+
+
 def test_decontamination_query(spark):
     """Every document that has the words of an item in a row, and no other."""
     sf_dir = "/root/testdata/sf0.01"
