@@ -1,5 +1,6 @@
 """Operators against brute force on small tables."""
 
+import base64
 import collections
 import hashlib
 import math
@@ -174,6 +175,18 @@ def test_compression_bands():
     assert quality.ratios((prose[:4096] + "z" * 12288).encode(), press)[1] >= 0.75
 
 
+def test_encoded_texts(documents):
+    """Base64 in lines, alone or after as much prose, is rejected from 1 to 20 KB."""
+    pick = np.random.default_rng(2)
+    press = quality.zstandard.ZstdCompressor(level=3)
+    prose = " ".join(r.text or "" for r in documents.orderBy("doc_id").collect()).encode()
+    for size in (1024, 1354, 2000, 3919, 4053, 5000, 6144, 8192, 11_000, 17_000, 20_480):
+        code = base64.encodebytes(pick.bytes(size))
+        for data in (code[:size], prose[: size // 2] + code[: size - size // 2]):
+            ratio, outside = quality.ratios(data, press)
+            assert not (quality.in_band(size, ratio) and outside <= quality.MAX_CHUNKS_OUTSIDE), size
+
+
 # ---- Toxicity --------------------------------------------------------------------------
 
 
