@@ -20,7 +20,6 @@ from farebox.llm.common import (
     slices,
     split_words,
     stored,
-    window_hashes,
 )
 
 # Words of a template window, and those of them that must not be placeholders.
@@ -47,7 +46,13 @@ UNITS = (
 ).split()
 EDGES = "\"'`.,;:!?()[]{}<>*#&|~^_=+-/\\“”‘’«»„…–—"
 NUMBER = r"^[$€£]?[+-]?[0-9][0-9.,:/]*(st|nd|rd|th|%|[a-z]{1,3}|[$€£])?$"
-SENTENCE_END = r"[.!?:][\"')\]]*$"
+# By shape: a capital and then letters, with apostrophes, hyphens, dots or & between them.
+NAME = r"^[\p{Lu}\p{Lt}][\p{L}\p{M}]*([-'’.&‐‑][\p{L}\p{M}]+)*$"
+# A line break ends a sentence too; this stands for it.
+BREAK = "\x1e"
+SENTENCE_END = r"([.!?:][\"')\]]*|\x1e)$"
+# Windows whose forms are made at a time: each has 163 of them at most.
+FORMED = 1 << 14
 WORD, NUMERIC, UNIT, TITLE = range(4)
 # Placeholders, as the hashes that stand for them in a window.
 MARKS = mixed(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -59,17 +64,20 @@ class Templates:
 
     Words lose punctuation at their ends and are lower-cased; those that have
     nothing else are left out. A number has a digit and may carry a unit or ending; a
-    unit follows a number; a name is a capitalised word that does not begin a sentence.
+    unit follows a number; a name is a capitalised word. One that begins a sentence may
+    be a name or a plain word (``maybe``).
     """
 
     def __init__(self, texts: pa.Array):
-        words, bounds = split_words(texts)
+        words, bounds = split_words(
+            pc.replace_substring_regex(texts, r"[\n\v\f\r]", f" {BREAK} ")
+        )
         raw = words.dictionary
-        trimmed = pc.utf8_trim(raw, characters=EDGES)
+        trimmed = pc.utf8_trim(raw, characters=EDGES + BREAK)
         lower = pc.utf8_lower(trimmed)
         kind = np.full(len(raw), WORD, np.int8)
-        title = pc.and_(pc.utf8_is_title(trimmed), pc.utf8_is_alpha(trimmed))
-        kind[title.to_numpy(zero_copy_only=False)] = TITLE
+        title = pc.match_substring_regex(trimmed, NAME).to_numpy(zero_copy_only=False)
+        kind[title] = TITLE
         kind[pc.is_in(lower, pa.array(UNITS)).to_numpy(zero_copy_only=False)] = UNIT
         numeric = pc.match_substring_regex(lower, NUMBER)
         kind[numeric.to_numpy(zero_copy_only=False)] = NUMERIC
@@ -87,28 +95,50 @@ class Templates:
         self.codes, self.values = codes[real], trimmed
         self.kinds = kind[self.codes]
         after_number = np.concatenate(([False], self.kinds[:-1] == NUMERIC))
-        self.kinds[(self.kinds == UNIT) & ~after_number[: len(self.kinds)]] = WORD
-        self.kinds[(self.kinds == TITLE) & first[real]] = WORD
-        self.tokens = np.where(
-            self.kinds == WORD, hashes[self.codes] if len(real) else 0, MARKS[self.kinds]
-        ).astype(np.uint64)
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the windows inside one text with enough plain words, and their hashes."""
-        marks = window_hashes(self.tokens, size)
+        loose = (self.kinds == UNIT) & ~after_number[: len(self.kinds)]
+        self.kinds[loose] = np.where(title[self.codes[loose]], TITLE, WORD)
+        self.maybe = (self.kinds == TITLE) & first[real]
+        self.kinds[self.maybe] = WORD
+        plain = hashes[self.codes] if len(real) else np.zeros(0, np.uint64)
+        self.tokens = np.where(self.kinds == WORD, plain, MARKS[self.kinds]).astype(np.uint64)
+
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places, forms and hashes of the windows inside one text with enough plain words.
+
+        A form has a bit for each word of the window that begins a sentence and is taken
+        for a name; a window comes in all forms that leave it enough plain words.
+        """
+        count, need = len(self.tokens) - size + 1, min(size, MIN_LITERALS)
+        if count <= 0:
+            return
         whose = owners(self.bounds)
-        plain = np.concatenate(([0], np.cumsum(self.kinds == WORD)))
-        count = len(marks)
-        enough = plain[size : size + count] - plain[:count] >= min(size, MIN_LITERALS)
-        good = np.flatnonzero(enough & (whose[:count] == whose[size - 1 : size - 1 + count]))
-        return good, marks[good]
-
-    def spelled(self, place: int, size: int) -> tuple[str, list[str], list[int]]:
+        inside = whose[:count] == whose[size - 1 :]
+        known = np.concatenate(([0], np.cumsum(self.kinds == WORD)))
+        known = known[size:] - known[:count]
+        factors = mixed(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
+        every = np.flatnonzero(inside & (known >= need))
+        for start in range(0, len(every), FORMED):
+            places = every[start : start + FORMED]
+            forms, plain = np.zeros(len(places), np.uint8), known[places]
+            sums = np.zeros(len(places), np.uint64)
+            for offset in range(size):
+                sums += self.tokens[places + offset] * factors[offset]
+            for offset in range(size):
+                also = np.flatnonzero(self.maybe[places + offset] & (plain > need))
+                if len(also):
+                    change = MARKS[TITLE] - self.tokens[places[also] + offset]
+                    sums = np.concatenate((sums, sums[also] + change * factors[offset]))
+                    forms = np.concatenate((forms, forms[also] | np.uint8(1 << offset)))
+                    plain = np.concatenate((plain, plain[also] - 1))
+                    places = np.concatenate((places, places[also]))
+            yield places, forms, mixed(sums)
+
+    def spelled(self, place: int, size: int, form: int) -> tuple[str, list[str], list[int]]:
         """The template of a window, the values in its slots, and where in it they are."""
         words, slots, offsets = [], [], []
         for at in range(place, place + size):
             value = self.values[int(self.codes[at])].as_py()
-            kind = int(self.kinds[at])
+            kind = TITLE if form >> (at - place) & 1 else int(self.kinds[at])
             words.append(NAMES.get(kind) or value.lower())
             if kind != WORD:
                 slots.append(value)
@@ -158,14 +188,14 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str) ->
             sizes = np.diff(made.bounds)
             found = []
             for size in sorted({min(int(n), WINDOW) for n in sizes if n >= SHORTEST}):
-                places, marks = made.windows(size)
-                whose = owners(made.bounds)[places]
-                fits = (sizes[whose] == size) if size < WINDOW else (sizes[whose] >= WINDOW)
-                for place, owner, mark in zip(
-                    places[fits].tolist(), whose[fits].tolist(), marks[fits].tolist(), strict=True
-                ):
-                    pos = place - int(made.bounds[owner])
-                    found.append((owner, size, pos, mark, *made.spelled(place, size)))
+                for places, forms, marks in made.windows(size):
+                    whose = owners(made.bounds)[places]
+                    fits = (sizes[whose] == size) if size < WINDOW else (sizes[whose] >= WINDOW)
+                    for place, owner, form, mark in zip(
+                        *(x[fits].tolist() for x in (places, whose, forms, marks)), strict=True
+                    ):
+                        pos = place - int(made.bounds[owner])
+                        found.append((owner, size, pos, mark, *made.spelled(place, size, form)))
             yield _rows(batch, found)
 
     return _texts(benchmark, id_column, text_column).mapInArrow(work, WINDOWS)
@@ -197,16 +227,16 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
             made = Templates(batch.column("text"))
             found = []
             for size in lengths:
-                places, marks = made.windows(size)
-                at = marks % np.uint64(BITMAP_BITS)
-                hit = (known[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
-                places, marks = places[hit == 1], marks[hit == 1]
-                whose = owners(made.bounds)[places]
-                for place, owner, mark in zip(
-                    places.tolist(), whose.tolist(), marks.tolist(), strict=True
-                ):
-                    pos = place - int(made.bounds[owner])
-                    found.append((owner, size, pos, mark, *made.spelled(place, size)))
+                for places, forms, marks in made.windows(size):
+                    at = marks % np.uint64(BITMAP_BITS)
+                    hit = (known[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                    whose = owners(made.bounds)[places[hit]]
+                    for place, owner, form, mark in zip(
+                        places[hit].tolist(), whose.tolist(), forms[hit].tolist(),
+                        marks[hit].tolist(), strict=True,
+                    ):
+                        pos = place - int(made.bounds[owner])
+                        found.append((owner, size, pos, mark, *made.spelled(place, size, form)))
             yield _rows(batch, found)
 
     mine = docs.mapInArrow(work, WINDOWS)

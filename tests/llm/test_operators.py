@@ -371,6 +371,29 @@ def test_clashing_slots(spark):
     assert found == {1: ([8], False), 2: ([9], True), 3: ([8], False)}
 
 
+def test_name_shapes(spark):
+    """Names by their shape, also where they begin a sentence; headings end a sentence."""
+    clips = "Natalia sold 48 clips to her friends in April. Natalia then sold half as many in May."
+    shapes = (
+        "So it was that Janet's mother and Jean-Luc met old McDonald of the USA near the bridge. "
+        "Janet's father had not."
+    )
+    other = {"Janet": "Ruth", "Jean-Luc": "Anne-Marie", "McDonald": "O'Brien", "USA": "UK"}
+    renamed = shapes
+    for name, new in other.items():
+        renamed = renamed.replace(name, new)
+    sky = "What color is the sky?"
+    docs = spark.createDataFrame(
+        [(1, clips.replace("Natalia", "Sofia")), (2, renamed), (3, f"A question\n{sky}"),
+         (4, f"Then she asked: “{sky}”"), (5, f"Then she asked {sky}"), (6, sky.lower())],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(7, clips), (8, shapes), (9, sky)], "item_id long, text string")
+    found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "share")
+    one = ([9], 1.0)
+    assert found == {1: ([7], 1.0), 2: ([8], 1.0), 3: one, 4: one, 5: one, 6: one}
+
+
 def test_decontamination_query(spark):
     """Every document that has the words of an item in a row, and no other."""
     sf_dir = "/root/testdata/sf0.01"
