@@ -20,14 +20,14 @@ from farebox.llm.common import (
     slices,
     split_words,
     stored,
+    window_hashes,
 )
 
-# Words of a template window, and those of them that must not be placeholders.
+# Words of a template window, and those of them that must not be placeholders. A text of a
+# benchmark shorter than a window is one window. Windows with fewer such words are looked
+# for as they are, with the values in their slots.
 WINDOW = 8
 MIN_LITERALS = 4
-# A text of a benchmark shorter than a window is one window; under this length it is too
-# short to be told from ordinary speech and is not searched for.
-SHORTEST = 5
 # The share of an item's windows that a document must have.
 MIN_SHARE = 0.5
 # Windows of documents are looked up in a bitmap of the benchmark's windows first. It has
@@ -56,6 +56,8 @@ FORMED = 1 << 14
 WORD, NUMERIC, UNIT, TITLE = range(4)
 # Placeholders, as the hashes that stand for them in a window.
 MARKS = mixed(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+# Tells hashes of literal windows from those of templates.
+LITERAL = np.uint64(0xA0761D6478BD642F)
 NAMES = {NUMERIC: "<number>", UNIT: "<unit>", TITLE: "<name>"}
 
 
@@ -99,8 +101,8 @@ class Templates:
         self.kinds[loose] = np.where(title[self.codes[loose]], TITLE, WORD)
         self.maybe = (self.kinds == TITLE) & first[real]
         self.kinds[self.maybe] = WORD
-        plain = hashes[self.codes] if len(real) else np.zeros(0, np.uint64)
-        self.tokens = np.where(self.kinds == WORD, plain, MARKS[self.kinds]).astype(np.uint64)
+        self.plain = hashes[self.codes].astype(np.uint64) if len(real) else np.zeros(0, np.uint64)
+        self.tokens = np.where(self.kinds == WORD, self.plain, MARKS[self.kinds]).astype(np.uint64)
 
     def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Places, forms and hashes of the windows inside one text with enough plain words.
@@ -133,7 +135,20 @@ class Templates:
                     places = np.concatenate((places, places[also]))
             yield places, forms, mixed(sums)
 
-    def spelled(self, place: int, size: int, form: int) -> tuple[str, list[str], list[int]]:
+    def literal_windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places and hashes of all windows inside one text, and which lack a form.
+
+        The hashes are of the words as they are, lower-cased, and differ from those of
+        ``windows``. A window lacks a form that leaves it too few plain words.
+        """
+        sums = window_hashes(self.plain, size)
+        whose = owners(self.bounds)
+        places = np.flatnonzero(whose[: len(sums)] == whose[size - 1 : size - 1 + len(sums)])
+        sure = np.concatenate(([0], np.cumsum((self.kinds == WORD) & ~self.maybe)))
+        poor = sure[places + size] - sure[places] < min(size, MIN_LITERALS)
+        return places, mixed(sums[places] ^ LITERAL), poor
+
+    def spelled(self, place: int, size: int, form: int) -> tuple[str, list[str], list[int], bool]:
         """The template of a window, the values in its slots, and where in it they are."""
         words, slots, offsets = [], [], []
         for at in range(place, place + size):
@@ -143,18 +158,25 @@ class Templates:
             if kind != WORD:
                 slots.append(value)
                 offsets.append(at - place)
-        return " ".join(words), slots, offsets
+        return " ".join(words), slots, offsets, False
+
+    def literal(self, place: int, size: int) -> tuple[str, list[str], list[int], bool]:
+        """A window as it is, in place of its template; it has no slots."""
+        values = (self.values[int(code)].as_py() for code in self.codes[place : place + size])
+        return " ".join(values).lower(), [], [], True
 
 
 WINDOWS = (
     "id long, row_hash long, length int, pos int, mark long, template string, "
-    "slots array<string>, offsets array<int>"
+    "slots array<string>, offsets array<int>, literal boolean"
 )
 
+JOINED = ("mark", "length", "template", "literal")
+
 
 def _rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*found, strict=True) if found else ((),) * 7
-    owner, length, pos, mark, template, slots, offsets = columns
+    columns = zip(*found, strict=True) if found else ((),) * 8
+    owner, length, pos, mark, template, slots, offsets, literal = columns
     taken = pa.array(owner, pa.int64())
     return pa.RecordBatch.from_arrays(
         [
@@ -166,6 +188,7 @@ def _rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
             pa.array(template, pa.string()),
             pa.array(slots, pa.list_(pa.string())),
             pa.array(offsets, pa.list_(pa.int32())),
+            pa.array(literal, pa.bool_()),
         ],
         [field.split()[0] for field in WINDOWS.split(", ")],
     )
@@ -180,14 +203,17 @@ def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Every template window of the benchmark; an item of fewer words is one window."""
+    """Every window of the benchmark; an item of fewer words is one window.
+
+    Windows come as templates, and as they are if a form of theirs has too few plain words.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             made = Templates(batch.column("text"))
             sizes = np.diff(made.bounds)
             found = []
-            for size in sorted({min(int(n), WINDOW) for n in sizes if n >= SHORTEST}):
+            for size in sorted({min(int(n), WINDOW) for n in sizes if n}):
                 for places, forms, marks in made.windows(size):
                     whose = owners(made.bounds)[places]
                     fits = (sizes[whose] == size) if size < WINDOW else (sizes[whose] >= WINDOW)
@@ -196,13 +222,21 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str) ->
                     ):
                         pos = place - int(made.bounds[owner])
                         found.append((owner, size, pos, mark, *made.spelled(place, size, form)))
+                places, marks, poor = made.literal_windows(size)
+                whose = owners(made.bounds)[places]
+                poor &= (sizes[whose] == size) if size < WINDOW else (sizes[whose] >= WINDOW)
+                for place, owner, mark in zip(
+                    places[poor].tolist(), whose[poor].tolist(), marks[poor].tolist(), strict=True
+                ):
+                    pos = place - int(made.bounds[owner])
+                    found.append((owner, size, pos, mark, *made.literal(place, size)))
             yield _rows(batch, found)
 
     return _texts(benchmark, id_column, text_column).mapInArrow(work, WINDOWS)
 
 
-def bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """A bit for each window hash of the benchmark, and the window lengths (five at most)."""
+def bitmap(windows: DataFrame) -> tuple[np.ndarray, list[tuple[int, bool]]]:
+    """A bit for each window hash of the benchmark, and its lengths and kinds (16 at most)."""
     word = F.pmod("mark", F.lit(BITMAP_BITS))
     # One row per 64 bits that are set at all, so 2**20 at most.
     rows = (
@@ -213,12 +247,12 @@ def bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
     bits = np.zeros(BITMAP_BITS // 64, np.uint64)
     for at, value in rows:
         bits[at] = value & 0xFFFFFFFFFFFFFFFF
-    return bits, [row[0] for row in windows.select("length").distinct().collect()]
+    return bits, [tuple(row) for row in windows.select("length", "literal").distinct().collect()]
 
 
 def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """The windows of ``docs`` (id, row_hash, text) whose template the benchmark has."""
-    bits, lengths = bitmap(windows)
+    bits, kinds = bitmap(windows)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +260,13 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             made = Templates(batch.column("text"))
             found = []
-            for size in lengths:
-                for places, forms, marks in made.windows(size):
+            for size, literal in kinds:
+                if literal:
+                    places, marks, _ = made.literal_windows(size)
+                    groups = [(places, np.zeros(len(places), np.uint8), marks)]
+                else:
+                    groups = made.windows(size)
+                for places, forms, marks in groups:
                     at = marks % np.uint64(BITMAP_BITS)
                     hit = (known[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
                     whose = owners(made.bounds)[places[hit]]
@@ -236,7 +275,10 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
                         marks[hit].tolist(), strict=True,
                     ):
                         pos = place - int(made.bounds[owner])
-                        found.append((owner, size, pos, mark, *made.spelled(place, size, form)))
+                        spelled = (
+                            made.literal(place, size) if literal else made.spelled(place, size, form)
+                        )
+                        found.append((owner, size, pos, mark, *spelled))
             yield _rows(batch, found)
 
     mine = docs.mapInArrow(work, WINDOWS)
@@ -245,11 +287,11 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
         F.col("row_hash").alias("item_hash"),
         F.col("pos").alias("item_pos"),
         F.col("slots").alias("item_slots"),
-        *[F.col(c).alias(f"b_{c}") for c in ("mark", "length", "template")],
+        *[F.col(c).alias(f"b_{c}") for c in JOINED],
     )
-    same = [F.col(c) == F.col(f"b_{c}") for c in ("mark", "length", "template")]
+    same = [F.col(c) == F.col(f"b_{c}") for c in JOINED]
     return mine.join(theirs, same).select(
-        *("id", "row_hash", "pos", "slots", "offsets"),
+        *("id", "row_hash", "pos", "slots", "offsets", "literal"),
         *("item_id", "item_hash", "item_pos", "item_slots"),
     )
 
@@ -269,7 +311,8 @@ def matches(
     value of the item stands for the value of the document that it meets at most
     places; windows in which it meets another one are left out, and if no value is ahead
     all windows with it. Two values of the item may meet the same one. A document
-    holds an item if the windows left of its alignments are at least ``min_share`` of all;
+    holds an item if the windows left of its alignments are at least ``min_share`` of all,
+    or those that are templates of all such windows, so that values may differ in the others;
     it is re-parameterised if any slot of theirs differs. Rows without text hold nothing; rows
     that are equal in every column appear once, rows without an id with a null id.
     """
@@ -288,7 +331,7 @@ def matches(
         return left.join(other, on, how).drop(*[f"_{k}" for k in keys])
 
     lowered = [F.transform(c, F.lower).alias(c) for c in ("item_slots", "slots")]
-    aligned = shared.select(*one, shift, "item_pos", *lowered, "offsets")
+    aligned = shared.select(*one, shift, "item_pos", *lowered, "offsets", "literal")
     pairs = F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("slot")
     slots = aligned.select(*here, "item_pos", pairs).select(
         *here,
@@ -309,13 +352,18 @@ def matches(
     sound = safe(aligned, clashes, [*here, "item_pos"], "left_anti")
     covered = sound.groupBy(*one).agg(
         F.count_distinct("item_pos").alias("covered"),
+        F.count_distinct(F.when(~F.col("literal"), F.col("item_pos"))).alias("typed"),
         F.bool_or(F.col("item_slots") != F.col("slots")).alias("reparameterised"),
     )
     totals = windows.groupBy(
         F.col("id").alias("item_id"), F.col("row_hash").alias("item_hash")
-    ).agg(F.count_distinct("pos").alias("total"))
+    ).agg(
+        F.count_distinct("pos").alias("total"),
+        F.count_distinct(F.when(~F.col("literal"), F.col("pos"))).alias("templates"),
+    )
     held = safe(covered, totals, ["item_id", "item_hash"], "inner")
-    held = held.withColumn("share", F.col("covered") / F.col("total"))
+    shares = F.col("covered") / F.col("total"), F.try_divide("typed", "templates")
+    held = held.withColumn("share", F.greatest(*shares))
     return held.filter(F.col("share") >= min_share).select(
         "id", "row_hash", "item_id", "share", "reparameterised"
     )

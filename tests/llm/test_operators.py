@@ -394,6 +394,22 @@ def test_name_shapes(spark):
     assert found == {1: ([7], 1.0), 2: ([8], 1.0), 3: one, 4: one, 5: one, 6: one}
 
 
+def test_windows_of_few_words(spark):
+    """Short items, and such as have many numbers, are found as they are."""
+    sums = "What is 15 plus 27?"
+    table = "1 2 3 4 5 6 total 7 8 9 10 11 12 13 sum 14 15 16"
+    docs = spark.createDataFrame(
+        [(1, f"The book says: {sums} Nobody knew."), (2, f"Here\n{table}\nit ends"),
+         (3, "then Name that river, he said"), (4, sums.replace("15", "16")),
+         (5, table.replace("7", "5")), (6, "name the river")], "doc_id long, text string",
+    )
+    items = spark.createDataFrame(
+        [(7, sums), (8, table), (9, "Name that river.")], "item_id long, text string"
+    )
+    found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "share")
+    assert found == {1: ([7], 1.0), 2: ([8], 1.0), 3: ([9], 1.0)}
+
+
 def test_decontamination_query(spark):
     """Every document that has the words of an item in a row, and no other."""
     sf_dir = "/root/testdata/sf0.01"
