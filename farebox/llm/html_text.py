@@ -17,7 +17,8 @@ from farebox.llm.common import column, slices
 # page also one that was cut off.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|object|svg|textarea|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<svg\b[^>]*/>"
+    r"|<(script|style|noscript|template|iframe|object|svg|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -35,6 +36,8 @@ CONTAINERS = set(
 )
 ARTICLE = {"article", "main"}
 BOILERPLATE = set("aside button dialog footer form header menu nav".split())
+# Whose classes and ids are about the whole page or article.
+WHOLE = {"html", "body"} | ARTICLE
 # Words in classes and ids that tell such parts where the element does not.
 MARKERS = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
@@ -53,16 +56,20 @@ class Block:
     linked: int
     # 1 inside an article, -1 in a part that is none, 0 elsewhere.
     place: int
+    # The outermost part outside articles that a marker made one, by its place in the page.
+    marked: int | None = None
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _place(name: str, attributes: str, around: int) -> int:
+def _place(name: str, attributes: str, around: int, ignored: bool = False) -> int:
     """Where the content of an element is, given where the element is."""
     if around < 0:
         return around
+    if ignored or name in WHOLE:
+        attributes = ""
     named = " ".join(filter(None, (part for m in NAMED.findall(attributes) for part in m)))
     marks = MARKERS.intersection(re.findall(r"[a-z]+", named.lower())) if named else set()
     if around > 0:
@@ -74,19 +81,21 @@ def _place(name: str, attributes: str, around: int) -> int:
     return 1 if name in ARTICLE else 0
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, ignored: frozenset[int] = frozenset()) -> list[Block]:
     """The blocks of a page in order, those without a word left out.
 
     Character references are decoded and runs of white space become one space. Tags
-    may be missing or cut off.
+    may be missing or cut off. Markers of the tags that begin at ``ignored`` do not count.
     """
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, int | None]] = []
     open_names: dict[str, int] = {}
     pieces: list[str] = []
     linked = 0
     in_link = False
     place = own = 0
+    marked: int | None = None
+    own_marked: int | None = None
 
     def text(raw: str) -> None:
         nonlocal linked
@@ -100,7 +109,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         words = "".join(pieces).split()
         if words:
-            out.append(Block(" ".join(words), len(words), min(linked, len(words)), own))
+            out.append(Block(" ".join(words), len(words), min(linked, len(words)), own, own_marked))
         pieces.clear()
         linked = 0
 
@@ -122,20 +131,22 @@ def blocks(page: str) -> list[Block]:
             close()
             in_link = False
             if not leaving:
-                inner = _place(name, token[4], place)
+                inner = _place(name, token[4], place, token.start() in ignored)
+                by_marker = inner < 0 == place and name not in BOILERPLATE
+                own_marked = token.start() if by_marker else marked
                 if name in CONTAINERS:
-                    stack.append((name, place))
+                    stack.append((name, place, marked))
                     open_names[name] = open_names.get(name, 0) + 1
-                    place = inner
+                    place, marked = inner, own_marked
                 own = inner
             else:
                 if open_names.get(name):
                     while True:
-                        top, place = stack.pop()
+                        top, place, marked = stack.pop()
                         open_names[top] -= 1
                         if top == name:
                             break
-                own = place
+                own, own_marked = place, marked
     text(page[end:])
     close()
     return out
@@ -234,10 +245,28 @@ def judge(tree, rows: np.ndarray) -> np.ndarray:
 
 
 def main_text(page: str, tree) -> str:
+    """The blocks that the tree takes for main text.
+
+    Where there is none, the marked part with most words is taken for a wrapper of the
+    page: its own markers are ignored, and those of the parts in it count. So are
+    further ones while they hold most of the page's words.
+    """
     found = blocks(page)
     if not found:
         return ""
     kept = judge(tree, table(found))
+    ignored: frozenset[int] = frozenset()
+    while not kept.any():
+        sizes: dict[int, int] = {}
+        for block in found:
+            if block.marked is not None:
+                sizes[block.marked] = sizes.get(block.marked, 0) + block.words
+        largest = max(sizes, key=sizes.get, default=None)
+        if largest is None or ignored and 2 * sizes[largest] <= sum(b.words for b in found):
+            break
+        ignored |= {largest}
+        found = blocks(page, ignored)
+        kept = judge(tree, table(found))
     return "\n".join(block.text for block, good in zip(found, kept, strict=True) if good)
 
 

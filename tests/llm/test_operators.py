@@ -589,6 +589,24 @@ def test_page_text():
     assert html_text.main_text("", tree) == ""
 
 
+def test_page_wrappers():
+    """Markers on the page, an article or a wrapper do not cost the whole text."""
+    tree = html_text.grow(html_text.LABELLED[:, :-1], html_text.LABELLED[:, -1])
+    text = " ".join(f"word{n}" for n in range(60))
+    body = f"<p>{text}</p><div class='comments'><p>First of all {text}</p></div>"
+    for page in (
+        f"<body class='home has-sidebar'><article>{body}</article>",
+        f"<html class='no-js cookie-ok'><article>{body}</article>",
+        f"<article class='post comments-open'>{body}</article>",
+        f"<div id=content class='with-sidebar'>{body}</div><footer>x</footer>",
+        f"<div class='with-sidebar'><main>{body}</main></div>",
+        f"<div class='with-sidebar'><div class='share-enabled'>{body}</div></div>",
+        f"<html><head><title>T</title><script>'<p>'</script><body><article>{body}</article>",
+        f"<article><svg class=x /><p>{text}</p></article>",
+    ):
+        assert html_text.main_text(page, tree) == text, page
+
+
 def test_page_query(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     found = by_id(queries.QUERIES["op10_page_text"](spark, SF_DIR), "page_id", "text", "n_chars")
