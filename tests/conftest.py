@@ -25,10 +25,3 @@ def rows(spark):
         return spark.createDataFrame(list(values), schema)
 
     return make
-
-
-def collected(df, *columns):
-    """All rows as plain tuples, in a fixed order."""
-    frame = df.select(*columns) if columns else df
-    values = [tuple(row) for row in frame.collect()]
-    return sorted(values, key=lambda row: [(v is not None, str(v)) for v in row])

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import collected
+from helpers import collected
 
 from farebox.functions.dates import OPEN_END
 from farebox.operators.dimensions import build_dim_date, build_dim_user, build_dim_vehicle

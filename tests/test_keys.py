@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import collected
+from helpers import collected
 from pyspark.sql import functions as F
 
 from farebox.operators.keys import BUCKET_WIDTH, assign_surrogate_key, lookup_sk

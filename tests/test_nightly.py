@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import collected
+from helpers import collected
 from pyspark.sql import functions as F
 
 from farebox.__main__ import main

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import collected
+from helpers import collected
 
 from farebox.operators.quality import (
     duplicate_checks,

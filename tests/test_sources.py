@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import collected
+from helpers import collected
 from pyspark.sql import functions as F
 
 from farebox.schemas import DIM_VEHICLE, FACT_PAYMENTS, FACT_RIDES, USER_BEHAVIOR_HOURLY

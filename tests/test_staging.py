@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import collected
+from helpers import collected
 from pyspark.errors import PySparkException
 
 from farebox.operators.staging import bronze_to_silver, clean, load_staging
