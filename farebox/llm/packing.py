@@ -61,6 +61,8 @@ def best_fit(
 
     ``rule`` is "norm" or "dot". Of equally good sequences the oldest is taken.
     """
+    if rule not in ("norm", "dot"):
+        raise ValueError(f"unknown rule: {rule}")
     limits, weights = capacities.limits(), capacities.weights
     # Whole numbers below 2**53 are exact in a double: what fits is decided by the numbers.
     lengths = np.asarray(lengths, np.float64)
