@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from farebox.llm.common import column, slices
 
@@ -165,13 +166,14 @@ def _texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def with_index(docs: DataFrame, name: str, text_column: str = "text") -> DataFrame:
     """``docs`` with the rank index of each text in a further binary column, to be stored."""
-    schema = docs.schema.add(name, "binary")
+    schema = StructType([*docs.schema.fields, StructField(name, BinaryType())])
+    names = schema.names
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_column):
             built = RankIndex.fitted(*boundaries(*_texts(batch.column(text_column))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(built.stored(), pa.binary())], [*docs.columns, name]
+                [*batch.columns, pa.array(built.stored(), pa.binary())], names
             )
 
     return docs.mapInArrow(index, schema)
