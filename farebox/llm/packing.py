@@ -138,8 +138,11 @@ def placed(pieces: DataFrame, capacities: Capacities, rule: str = "norm") -> Dat
         groups = max(1, math.ceil(count / GROUP))
         # Each round deals anew, and in numbers of sequences no other round uses.
         dealt = F.pmod(F.xxhash64("row", "piece", F.lit(number)), F.lit(groups))
+        # As many tasks as the cluster's shuffles have, however few bytes the lengths are.
+        tasks = min(groups, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         packed = stored(
             rest.withColumn("group", dealt + F.lit(number << 40))
+            .repartition(tasks, "group")
             .groupBy("group")
             .applyInArrow(_packed_group(capacities, rule), _PLACED),
             "placed",
@@ -170,8 +173,9 @@ def pieces(
 ) -> DataFrame:
     """(row, doc_id, piece, start, length, ids) of every document, cut where it is too long.
 
-    ``ids`` are little-endian unsigned 32-bit integers, those of the text and ``end_id``.
-    ``row`` tells documents apart, whatever their ids; it is not the same in every run.
+    ``ids`` are those of the text and ``end_id``, as little-endian unsigned integers of 16
+    bits where the vocabulary has no greater ones, else of 32. ``row`` tells documents apart,
+    whatever their ids; it is not the same in every run.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -181,6 +185,7 @@ def pieces(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(tokenizer_path)
+        kind = np.dtype("<u2" if max(len(coder.last) - 1, end_id) < 1 << 16 else "<u4")
         for batch in slices(batches, "text", ENCODED):
             ids, cuts = coder.encode(batch.column("text"))
             # The encoder marks the end of each text by an id of its own.
@@ -192,9 +197,7 @@ def pieces(
             start = piece * longest
             length = np.minimum(sizes[owner] - start, longest)
             # The pieces lie one after another.
-            data = pa.py_buffer(ids.astype("<u4").tobytes())
-            ends = pa.py_buffer(np.concatenate(([0], np.cumsum(length) * 4)).astype(np.int32))
-            values = pa.Array.from_buffers(pa.binary(), len(length), [None, ends, data])
+            values = _runs(ids.astype(kind), np.concatenate(([0], np.cumsum(length))))
             chosen = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -238,13 +241,44 @@ def sequences(
     places = placed(cut, capacities, rule)
     # A sequence has at most ``capacities.tokens`` pieces, since each has an id.
     part = F.struct("offset", "length", "doc_id", "piece", "start", "ids")
-    joined = (
+    return (
         cut.join(places, ["row", "piece"])
         .groupBy("sequence_id")
         .agg(F.sort_array(F.collect_list(part)).alias("parts"))
+        .mapInArrow(_assembled, f"sequence_id long, ids binary, parts array<struct<{_PARTS}>>")
     )
-    return joined.select(
-        "sequence_id",
-        F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), "")).alias("ids"),
-        F.transform("parts", lambda p: p.dropFields("ids")).alias("parts"),
+
+
+_PARTS = "offset:bigint,length:bigint,doc_id:bigint,piece:int,start:bigint"
+
+
+def _runs(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the runs of ids between the cuts."""
+    ends = pa.py_buffer((cuts * ids.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(
+        pa.binary(), len(cuts) - 1, [None, ends, pa.py_buffer(ids.tobytes())]
     )
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of each sequence's parts, which are in order, put together as 32 bits."""
+    for batch in batches:
+        parts = batch.column("parts")
+        flat = parts.flatten()
+        cuts = parts.offsets.to_numpy().astype(np.int64)
+        cuts -= cuts[0]
+        lengths = flat.field("length").to_numpy()
+        bounds = np.concatenate(([0], np.cumsum(lengths)))[cuts]
+        data = b"".join(flat.field("ids").to_pylist())
+        wide = len(data) > 2 * bounds[-1]
+        ids = np.frombuffer(data, "<u4" if wide else "<u2").astype("<u4")
+        names = [field.split(":")[0] for field in _PARTS.split(",")]
+        kept = pa.StructArray.from_arrays([flat.field(name) for name in names], names)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("sequence_id"),
+                _runs(ids, bounds),
+                pa.ListArray.from_arrays(cuts.astype(np.int32), kept),
+            ],
+            ["sequence_id", "ids", "parts"],
+        )
