@@ -6,9 +6,9 @@ every capacity: to the one where least is left afterwards (the weighted squared
 residual capacities), or where the piece and the residual capacities have the least weighted
 dot product, so that room is kept where a piece asks little. Longest pieces come first.
 
-Pieces are dealt at random to groups of about GROUP pieces, each packed by one task. A
-sequence with more than LOOSE of its tokens free is taken apart, and the pieces of all such
-sequences are dealt and packed again, in fewer groups; what the last round leaves stays.
+Pieces are dealt at random, ids and all, to groups of a bounded size, and one task packs a
+group. A sequence with more than LOOSE of its tokens free is taken apart, and the pieces of
+all such sequences are dealt and packed again; what the last round leaves stays.
 """
 
 from __future__ import annotations
@@ -26,12 +26,15 @@ from farebox.llm.common import column, slices, stored
 from farebox.llm.tokens import tokenizer
 
 END_ID = 1
-# Pieces packed together. A group wastes about one sequence, of GROUP / 10 or so.
-GROUP = 32_768
+# A group is made for each so many documents or bytes of text, whichever are more.
+GROUP = 8192
+GROUP_BYTES = 64 << 20
 # The free share of a sequence's tokens from which on its pieces are packed again.
 LOOSE = 0.02
 ROUNDS = 3
 ENCODED = 3 << 20
+# Sequences whose ids are widened at once.
+WIDENED = 1024
 
 
 @dataclass(frozen=True)
@@ -100,62 +103,108 @@ def best_fit(
     return chosen, places
 
 
+_PARTS = "offset:bigint,length:bigint,doc_id:bigint,piece:int,start:bigint"
+_NAMES = [field.split(":")[0] for field in _PARTS.split(",")]
+_PACKED = f"sequence_id long, loose boolean, ids binary, parts array<struct<{_PARTS}>>"
+
+
 def _packed_group(capacities: Capacities, rule: str):
     def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("length", "descending"), ("row", "ascending"), ("piece", "ascending")])
         lengths = group.column("length").to_numpy()
+        # Ties in a fixed order, so that a task that runs again packs alike.
+        order = np.lexsort(
+            (group.column("piece").to_numpy(), group.column("row").to_numpy(), -lengths)
+        )
+        lengths = lengths[order]
         chosen, places = best_fit(lengths, capacities, rule)
-        used = np.bincount(chosen, lengths, chosen.max() + 1 if len(chosen) else 0)
+        used = np.bincount(chosen, lengths, chosen.max(initial=-1) + 1)
         loose = capacities.tokens - used > LOOSE * capacities.tokens
-        name = (group.column("group").to_numpy() << 20) + chosen
+        within = np.lexsort((places, chosen))
+        parts = group.take(pa.array(order[within]))
+        kept = [pa.array(places[within], pa.int64())]
+        kept += [parts.column(name).combine_chunks() for name in _NAMES[1:]]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(chosen, minlength=len(used)))))
+        ids = b"".join(parts.column("ids").to_pylist())
+        width = len(ids) // max(1, int(lengths.sum()))
+        ends = np.concatenate(([0], np.cumsum(used))).astype(np.int64) * width
+        first = group.column("group")[0].as_py() << 20
         return pa.table(
             {
-                "row": group.column("row"),
-                "piece": group.column("piece"),
-                "length": group.column("length"),
-                "sequence_id": pa.array(name, pa.int64()),
-                "offset": pa.array(places, pa.int64()),
-                "loose": pa.array(loose[chosen], pa.bool_()),
+                "sequence_id": pa.array(first + np.arange(len(used)), pa.int64()),
+                "loose": pa.array(loose, pa.bool_()),
+                "ids": _runs(ids, ends),
+                "parts": pa.ListArray.from_arrays(
+                    cuts.astype(np.int32), pa.StructArray.from_arrays(kept, _NAMES)
+                ),
             }
         )
 
     return pack
 
 
-_PLACED = "row long, piece int, length long, sequence_id long, offset long, loose boolean"
+def _runs(data: bytes, ends: np.ndarray) -> pa.Array:
+    """The runs of some bytes between the given places."""
+    places = pa.py_buffer(ends.astype(np.int32))
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends) - 1, [None, places, pa.py_buffer(data)]
+    )
+
+
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of some sequences, with rows made of their sequences and places there."""
+    for batch in batches:
+        rows = []
+        for sequence in batch.to_pylist():
+            width = len(sequence["ids"]) // sum(part["length"] for part in sequence["parts"])
+            for part in sequence["parts"]:
+                lo = part["offset"] * width
+                ids = sequence["ids"][lo : lo + part["length"] * width]
+                name = (sequence["sequence_id"] * 4099 + part["offset"]) % (1 << 62)
+                rows.append({"row": name, **{n: part[n] for n in _NAMES[1:]}, "ids": ids})
+        kinds = pa.schema(
+            [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32())]
+            + [("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]
+        )
+        yield pa.RecordBatch.from_pylist(rows, kinds)
 
 
-def placed(pieces: DataFrame, capacities: Capacities, rule: str = "norm") -> DataFrame:
-    """(row, piece, sequence_id, offset) for pieces (row, piece, length), whole numbers.
+def packed(
+    pieces: DataFrame, groups: int, capacities: Capacities, rule: str = "norm"
+) -> DataFrame:
+    """(sequence_id, ids, parts) for ``pieces`` (row, doc_id, piece, start, length, ids).
 
-    A pair of row and piece names one piece. None may be longer than a sequence holds.
+    Row and piece only deal the pieces out, best if no two have the same. None may be longer
+    than a sequence holds. Parts are in their order, and ``ids`` are as wide as the pieces'.
     """
-    rest = pieces.select("row", "piece", F.col("length").cast("long").alias("length"))
-    final = []
-    last_groups = None
+    found = []
     for number in range(ROUNDS):
-        count = rest.count()
-        groups = max(1, math.ceil(count / GROUP))
         # Each round deals anew, and in numbers of sequences no other round uses.
         dealt = F.pmod(F.xxhash64("row", "piece", F.lit(number)), F.lit(groups))
-        # As many tasks as the cluster's shuffles have, however few bytes the lengths are.
+        # Groups of few bytes still go to as many tasks as the cluster's shuffles have.
         tasks = min(groups, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        packed = stored(
-            rest.withColumn("group", dealt + F.lit(number << 40))
+        made = stored(
+            pieces.withColumn("group", dealt + F.lit(number << 32))
             .repartition(tasks, "group")
             .groupBy("group")
-            .applyInArrow(_packed_group(capacities, rule), _PLACED),
-            "placed",
+            .applyInArrow(_packed_group(capacities, rule), _PACKED),
+            "packed",
         )
-        settled = last_groups == groups or groups == 1 or number == ROUNDS - 1
-        final.append(packed if settled else packed.filter(~F.col("loose")))
-        if settled:
+        if groups == 1 or number == ROUNDS - 1:
+            found.append(made)
+            break
+        found.append(made.filter(~F.col("loose")))
+        loose = made.filter("loose")
+        count, tokens = loose.agg(
+            F.sum(F.size("parts")), F.sum(F.octet_length("ids"))
+        ).first()
+        if count is None:
             break
-        rest, last_groups = packed.filter("loose").select("row", "piece", "length"), groups
-    whole = final[0]
-    for part in final[1:]:
+        groups = max(math.ceil(count / GROUP), math.ceil(tokens / GROUP_BYTES))
+        pieces = loose.mapInArrow(_taken_apart, _PIECES)
+    whole = found[0]
+    for part in found[1:]:
         whole = whole.unionByName(part)
-    return whole.select("row", "piece", "sequence_id", "offset")
+    return whole.drop("loose")
 
 
 # ---- Documents ------------------------------------------------------------------------
@@ -197,7 +246,8 @@ def pieces(
             start = piece * longest
             length = np.minimum(sizes[owner] - start, longest)
             # The pieces lie one after another.
-            values = _runs(ids.astype(kind), np.concatenate(([0], np.cumsum(length))))
+            ends = np.concatenate(([0], np.cumsum(length))) * kind.itemsize
+            values = _runs(ids.astype(kind).tobytes(), ends)
             chosen = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -213,7 +263,7 @@ def pieces(
         # The process stays for other tasks, of other operators too.
         pa.default_memory_pool().release_unused()
 
-    return stored(rows.mapInArrow(encode, _PIECES), "pieces")
+    return rows.mapInArrow(encode, _PIECES)
 
 
 def sequences(
@@ -237,48 +287,28 @@ def sequences(
     columns are not looked at.
     """
     capacities = capacities or Capacities()
+    count, size = docs.agg(
+        F.count(F.lit(1)), F.sum(F.octet_length(column(docs, text_column).cast("string")))
+    ).first()
+    groups = max(1, math.ceil(count / GROUP), math.ceil((size or 0) / GROUP_BYTES))
     cut = pieces(docs, tokenizer_path, capacities.longest(), end_id, id_column, text_column)
-    places = placed(cut, capacities, rule)
-    # A sequence has at most ``capacities.tokens`` pieces, since each has an id.
-    part = F.struct("offset", "length", "doc_id", "piece", "start", "ids")
-    return (
-        cut.join(places, ["row", "piece"])
-        .groupBy("sequence_id")
-        .agg(F.sort_array(F.collect_list(part)).alias("parts"))
-        .mapInArrow(_assembled, f"sequence_id long, ids binary, parts array<struct<{_PARTS}>>")
+    return packed(cut, groups, capacities, rule).mapInArrow(
+        _widened, f"sequence_id long, ids binary, parts array<struct<{_PARTS}>>"
     )
 
 
-_PARTS = "offset:bigint,length:bigint,doc_id:bigint,piece:int,start:bigint"
-
-
-def _runs(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """The bytes of the runs of ids between the cuts."""
-    ends = pa.py_buffer((cuts * ids.itemsize).astype(np.int32))
-    return pa.Array.from_buffers(
-        pa.binary(), len(cuts) - 1, [None, ends, pa.py_buffer(ids.tobytes())]
-    )
-
-
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of each sequence's parts, which are in order, put together as 32 bits."""
-    for batch in batches:
-        parts = batch.column("parts")
-        flat = parts.flatten()
-        cuts = parts.offsets.to_numpy().astype(np.int64)
-        cuts -= cuts[0]
-        lengths = flat.field("length").to_numpy()
-        bounds = np.concatenate(([0], np.cumsum(lengths)))[cuts]
-        data = b"".join(flat.field("ids").to_pylist())
-        wide = len(data) > 2 * bounds[-1]
-        ids = np.frombuffer(data, "<u4" if wide else "<u2").astype("<u4")
-        names = [field.split(":")[0] for field in _PARTS.split(",")]
-        kept = pa.StructArray.from_arrays([flat.field(name) for name in names], names)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("sequence_id"),
-                _runs(ids, bounds),
-                pa.ListArray.from_arrays(cuts.astype(np.int32), kept),
-            ],
-            ["sequence_id", "ids", "parts"],
-        )
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences with ids of 32 bits."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, WIDENED):
+            batch = whole.slice(lo, WIDENED)
+            parts = batch.column("parts")
+            lengths = parts.flatten().field("length").to_numpy()
+            cuts = parts.offsets.to_numpy().astype(np.int64)
+            bounds = np.concatenate(([0], np.cumsum(lengths)))[cuts - cuts[0]]
+            data = b"".join(batch.column("ids").to_pylist())
+            ids = np.frombuffer(data, "<u4" if len(data) > 2 * bounds[-1] else "<u2")
+            wide = _runs(ids.astype("<u4").tobytes(), bounds * 4)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sequence_id"), wide, parts], ["sequence_id", "ids", "parts"]
+            )

@@ -58,40 +58,49 @@ def test_best_fit_is_the_plain_one(lengths, documents, cost, rule):
     )
 
 
+def pieces_of(spark, lengths):
+    values = [(n, n, 0, 0, length, bytes(2 * length)) for n, length in enumerate(lengths)]
+    return spark.createDataFrame(
+        values, "row long, doc_id long, piece int, start long, length long, ids binary"
+    ).repartition(5)
+
+
+def placements(sequences, lengths):
+    """Per sequence its (offset, length); every piece is in one."""
+    found = {r.sequence_id: [(p.offset, p.length) for p in r.parts] for r in sequences}
+    assert len(found) == len(sequences)
+    ids = sorted(p.doc_id for r in sequences for p in r.parts)
+    assert ids == list(range(len(lengths)))
+    assert all(p.length == lengths[p.doc_id] for r in sequences for p in r.parts)
+    for parts in found.values():
+        at = 0
+        for offset, length in parts:
+            assert offset == at
+            at += length
+    return found
+
+
 def test_every_capacity_holds(spark):
     random.seed(3)
-    values = [(n, 0, random.choice([1, 2, 3, 30, 31, 50])) for n in range(3_000)]
-    pieces = spark.createDataFrame(values, "row long, piece int, length long")
+    lengths = [random.choice([1, 2, 3, 30, 31, 50]) for _ in range(3_000)]
     capacities = packing.Capacities(64, 12, 3_000)
-    lengths = {n: length for n, _, length in values}
     for rule in ("norm", "dot"):
-        held = collections.defaultdict(list)
-        for r in packing.placed(pieces, capacities, rule).collect():
-            held[r.sequence_id].append((r.offset, lengths[r.row]))
-        assert sum(map(len, held.values())) == len(values)
-        for parts in held.values():
+        packed = packing.packed(pieces_of(spark, lengths), 3, capacities, rule)
+        for parts in placements(packed.collect(), lengths).values():
             assert len(parts) <= 12 and sum(n * n for _, n in parts) <= 3_000
-            at = 0
-            for offset, length in sorted(parts):
-                assert offset == at
-                at += length
-            assert at <= 64
+            assert sum(n for _, n in parts) <= 64
 
 
 def test_rounds_pack_loose_sequences_again(spark, monkeypatch):
     random.seed(4)
-    values = [(n, 0, random.randint(1, 60)) for n in range(2_000)]
-    pieces = spark.createDataFrame(values, "row long, piece int, length long")
-    capacities = packing.Capacities(64, 64, 4096)
-    whole = packing.placed(pieces, capacities).select("sequence_id").distinct().count()
-    monkeypatch.setattr(packing, "GROUP", 60)
-    rows = packing.placed(pieces, capacities).collect()
-    assert len({r.row for r in rows}) == len(rows) == 2_000
-    filled = collections.Counter()
-    for r in rows:
-        filled[r.sequence_id] += values[r.row][2]
-    assert max(filled.values()) <= 64
-    assert len(filled) <= 1.06 * whole
+    lengths = [random.randint(1, 60) for _ in range(2_000)]
+    pieces, capacities = pieces_of(spark, lengths), packing.Capacities(64, 64, 4096)
+    whole = packing.packed(pieces, 1, capacities).count()
+    once = packing.packed(pieces, 30, capacities).collect()
+    monkeypatch.setattr(packing, "ROUNDS", 1)
+    single = packing.packed(pieces, 30, capacities).count()
+    assert whole <= len(placements(once, lengths)) <= single
+    assert len(once) <= 1.03 * whole
 
 
 def plain_ids(text):
