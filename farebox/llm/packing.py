@@ -27,8 +27,8 @@ from farebox.llm.tokens import tokenizer
 
 END_ID = 1
 # A group is made for each so many documents or bytes of text, whichever are more.
-GROUP = 8192
-GROUP_BYTES = 64 << 20
+GROUP = 4096
+GROUP_BYTES = 24 << 20
 # The free share of a sequence's tokens from which on its pieces are packed again.
 LOOSE = 0.02
 ROUNDS = 3
