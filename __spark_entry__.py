@@ -15,6 +15,7 @@ from farebox.plans.star import SCHEMAS, Star
 from farebox.schemas import RAW, STAGING
 from farebox.session import shared_folder
 from farebox.sources.raw import read_or_empty, read_raw
+from farebox.sources.store import Store
 from farebox.sources.tables import write_mart, write_table
 from farebox.testing.oracle import ORACLE_SQL
 
@@ -114,7 +115,7 @@ def _nightly(table: str):
         run_pipeline(
             spark, f"{folder}/raw", folder, load_ts=fixtures.LOAD_TS, tables=[table], stage=False
         )
-        return spark.read.parquet(f"{folder}/{table}")
+        return Store(spark, folder).read(table, SCHEMAS[table])
 
     return query
 

@@ -6,27 +6,44 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from farebox.functions.dates import date_sk
-from farebox.operators.keys import assign_surrogate_key
+from farebox.operators.keys import assign_surrogate_key, keep_surrogate_keys
 from farebox.schemas import DIM_DATE, DIM_USER, DIM_VEHICLE, conform
 
 
-def build_dim_user(users: DataFrame, unique: bool = False) -> DataFrame:
+def build_dim_user(
+    users: DataFrame, unique: bool = False, known: DataFrame | None = None, after: int = 0
+) -> DataFrame:
     """Users with ``user_sk``. A user_id delivered twice stays two rows.
 
-    Cleaned users are ``unique``: one row for each user_id, none without.
+    Cleaned users are ``unique``: one row for each user_id, none without. They keep the keys
+    ``known`` from earlier loads, if given, and new users get those after ``after``.
     """
-    columns = [name for name in DIM_USER.names if name != "user_sk"]
-    keyed = assign_surrogate_key(users.select(*columns), "user_id", "user_sk", unique=unique)
-    return conform(keyed, DIM_USER)
+    return _dimension(users, DIM_USER, "user_id", unique, known, after)
 
 
-def build_dim_vehicle(vehicles: DataFrame, unique: bool = False) -> DataFrame:
-    """Vehicles with ``vehicle_sk``, without the route they run on; ``unique`` if cleaned."""
-    columns = [name for name in DIM_VEHICLE.names if name != "vehicle_sk"]
-    keyed = assign_surrogate_key(vehicles.select(*columns), "vehicle_id", "vehicle_sk", unique=unique)
-    return conform(keyed, DIM_VEHICLE)
+def build_dim_vehicle(
+    vehicles: DataFrame, unique: bool = False, known: DataFrame | None = None, after: int = 0
+) -> DataFrame:
+    """Vehicles with ``vehicle_sk``, without the route they run on; otherwise as users."""
+    return _dimension(vehicles, DIM_VEHICLE, "vehicle_id", unique, known, after)
+
+
+def _dimension(
+    rows: DataFrame,
+    schema: StructType,
+    key: str,
+    unique: bool,
+    known: DataFrame | None,
+    after: int,
+) -> DataFrame:
+    sk, *columns = schema.names
+    named = rows.select(*columns)
+    if known is None:
+        return conform(assign_surrogate_key(named, key, sk, after, unique), schema)
+    return conform(keep_surrogate_keys(named, known, key, sk, after), schema)
 
 
 def build_dim_date(*moments: DataFrame) -> DataFrame:

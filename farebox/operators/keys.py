@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from farebox.functions.checks import must, repeated
+from farebox.functions.checks import must
 from farebox.session import cut_lineage
 
 # A bucket holds this many consecutive key values. 32-bit keys fall into at most
@@ -16,21 +18,30 @@ BUCKET_WIDTH = 100_000
 
 
 def assign_surrogate_key(
-    df: DataFrame, key: str, sk: str, after: Column | int = 0, unique: bool = False
+    df: DataFrame,
+    key: str,
+    sk: str,
+    after: Column | int = 0,
+    unique: bool = False,
+    first: str | None = None,
 ) -> DataFrame:
     """Put a dense integer column ``sk`` before the columns of ``df``.
 
-    Rows are numbered after + 1, after + 2, … in the order of ``key``, nulls
-    last, then of the other columns. The order is total up to rows equal in every
-    column, so the numbers depend on the content alone.
+    Rows are numbered after + 1, after + 2, … in the order of ``first``, if it is given,
+    then of ``key``, nulls last, then of the other columns. The order is total up to rows
+    equal in every column, so the numbers depend on the content alone.
 
     The caller's contract decides how. An integer ``key`` said to be ``unique``,
-    and never null, is ranked in buckets of at most BUCKET_WIDTH rows. Any other
-    key is numbered by ranges of the full order, whatever the rows are.
+    and never null, is ranked in buckets of at most BUCKET_WIDTH rows; it is to be unique
+    for each value of ``first``, of which there are few. Any other key is numbered by
+    ranges of the full order, whatever the rows are.
     """
-    bucketed = unique and isinstance(df.schema[key].dataType, IntegerType)
-    position = _position_by_bucket if bucketed else _position_by_range
-    numbered = position(df, key)
+    if unique and isinstance(df.schema[key].dataType, IntegerType):
+        numbered = _position_by_bucket(df, key, first)
+    elif first is None:
+        numbered = _position_by_range(df, key)
+    else:
+        raise ValueError("an order before the key needs a unique integer key")
     start = F.lit(after) if isinstance(after, int) else after
     return numbered.select((start + F.col("_position")).cast("int").alias(sk), *df.columns)
 
@@ -44,26 +55,28 @@ def _bucket(key: str) -> Column:
     return F.floor(F.col(key) / F.lit(BUCKET_WIDTH)).cast("int")
 
 
-def _offsets(df: DataFrame, group: str) -> DataFrame:
-    """Per group, in ascending order with null last, the rows of all groups before."""
-    before = Window.orderBy(F.col(group).asc_nulls_last()).rowsBetween(
+def _offsets(df: DataFrame, *groups: str) -> DataFrame:
+    """Per group, in ascending order with nulls last, the rows of all groups before."""
+    before = Window.orderBy(*[F.col(g).asc_nulls_last() for g in groups]).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
     return sizes.select(
-        F.col(group).alias("_group"),
+        *[F.col(g).alias(f"_of{g}") for g in groups],
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
 
 
-def _position_by_bucket(df: DataFrame, key: str) -> DataFrame:
+def _position_by_bucket(df: DataFrame, key: str, first: str | None = None) -> DataFrame:
     rows = df.withColumn("_bucket", _bucket(key))
-    offsets = _offsets(rows, "_bucket")
-    inside = Window.partitionBy("_bucket").orderBy(*_full_order(df, key))
+    groups = ["_bucket"] if first is None else [first, "_bucket"]
+    offsets = _offsets(rows, *groups)
+    inside = Window.partitionBy(*groups).orderBy(*_full_order(df, key))
     ranked = rows.withColumn("_rank", F.row_number().over(inside))
-    return ranked.join(
-        F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_group"))
-    ).withColumn("_position", F.col("_before") + F.col("_rank"))
+    met = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_of{g}")) for g in groups])
+    return ranked.join(F.broadcast(offsets), met).withColumn(
+        "_position", F.col("_before") + F.col("_rank")
+    )
 
 
 def _position_by_range(df: DataFrame, key: str) -> DataFrame:
@@ -87,21 +100,44 @@ def _position_by_range(df: DataFrame, key: str) -> DataFrame:
     # One row per partition.
     offsets = _offsets(in_place, "_partition")
     return in_place.join(
-        F.broadcast(offsets), F.col("_partition") == F.col("_group")
+        F.broadcast(offsets), F.col("_partition") == F.col("_of_partition")
     ).withColumn("_position", F.col("_before") + F.col("_rank"))
 
 
-def lookup_sk(facts: DataFrame, dimension: DataFrame, key: str, sk: str) -> DataFrame:
+def keep_surrogate_keys(
+    df: DataFrame, known: DataFrame, key: str, sk: str, after: Column | int
+) -> DataFrame:
+    """Put ``sk`` before the columns of ``df``, the same number for a ``key`` in every load.
+
+    ``known`` has the (key, sk) of all loads before, and ``after`` is the last number given.
+    Only keys that are not known get new ones, in their order; ``df`` itself is never ranked.
+    A ``key`` is unique in ``df``, and never null.
+    """
+    fresh = df.join(known, key, "left_anti").select(key)
+    given = assign_surrogate_key(fresh, key, sk, after, unique=True)
+    keys = known.select(key, sk).unionByName(given)
+    return df.join(keys, key).select(sk, *df.columns)
+
+
+def lookup_sk(
+    facts: DataFrame, dimension: DataFrame, key: str, sk: str, unique: bool = False
+) -> DataFrame:
     """Add the surrogate key of each row's ``key``, null where there is none.
 
     No row is lost, and none multiplied: a ``key`` that occurs in more than one row of
-    ``dimension`` fails the job. The join carries just the two key columns of the
-    dimension; whether it is broadcast follows from its measured size, and otherwise
-    adaptive execution splits the partitions of hot keys.
+    ``dimension`` fails the job, unless the caller has made sure that it is ``unique``. The
+    join carries just the two key columns of the dimension; whether it is broadcast follows
+    from its measured size, and otherwise adaptive execution splits the partitions of hot
+    keys.
     """
-    # One number, found beside the join, which is left as adaptive execution can split it.
-    named = dimension.filter(F.col(key).isNotNull())
-    keys = dimension.select(key, sk).filter(
-        must(repeated(named, key) == 0, f"{key} occurs in several rows of the dimension")
-    )
+    keys = dimension.filter(F.col(key).isNotNull()).select(key, sk)
+    if not unique:
+        # Grouped by the join's own key: the dimension is read and shuffled once.
+        once = F.count(F.lit(1)) == 1
+        keys = (
+            keys.groupBy(key)
+            .agg(F.first(sk).alias(sk), once.alias("_once"))
+            .filter(must(F.col("_once"), f"{key} occurs in several rows of the dimension"))
+            .drop("_once")
+        )
     return facts.join(keys, key, "left")

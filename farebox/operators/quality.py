@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.dates import moment_or_now, seconds_between
@@ -65,16 +65,17 @@ def duplicate_checks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def quality_log(
-    nulls: DataFrame,
-    lags: DataFrame,
-    duplicates: DataFrame,
+    nulls: DataFrame | None,
+    lags: DataFrame | None,
+    duplicates: DataFrame | None,
     max_lag_seconds: int,
     check_date: dt.datetime | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """All check results as log rows: PASS or FAIL.
 
     A count passes at 0, a lag up to ``max_lag_seconds``; the lag of an empty
-    table is unknown and fails.
+    table is unknown and fails. Checks that were not made are None.
     """
 
     def entries(checks: DataFrame, check_type: Column, result: str, limit: int) -> DataFrame:
@@ -86,14 +87,16 @@ def quality_log(
             F.when(passed, "PASS").otherwise("FAIL").alias("status"),
         )
 
-    results = _union(
-        [
-            entries(nulls, F.col("check_type"), "null_count", 0),
-            entries(lags, F.lit("freshness"), "data_lag", max_lag_seconds),
-            entries(duplicates, F.lit("duplicates"), "duplicate_count", 0),
-        ]
-    )
-    return conform(results.withColumn("check_date", moment_or_now(check_date)), QUALITY_LOG)
+    made = [
+        (nulls, F.col("check_type"), "null_count", 0),
+        (lags, F.lit("freshness"), "data_lag", max_lag_seconds),
+        (duplicates, F.lit("duplicates"), "duplicate_count", 0),
+    ]
+    results = [entries(*check) for check in made if check[0] is not None]
+    if not results:
+        return spark.createDataFrame([], QUALITY_LOG)
+    dated = _union(results).withColumn("check_date", moment_or_now(check_date))
+    return conform(dated, QUALITY_LOG)
 
 
 def failed_checks(log: DataFrame) -> DataFrame:

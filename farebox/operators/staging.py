@@ -20,6 +20,9 @@ BUSINESS_KEYS = {
     "vehicle_positions": ("event_id", "event_time"),
 }
 
+# The moment that a fact's day is taken from, for entities that are kept by day.
+DAY_OF = {"rides": "start_time", "payments": "created_at", "vehicle_positions": "event_time"}
+
 
 def load_staging(raw: DataFrame, table: str, load_ts: dt.datetime | None = None) -> DataFrame:
     """``raw`` in the types of staging table ``table``, stamped with ``load_ts``."""
@@ -48,3 +51,20 @@ def bronze_to_silver(df: DataFrame, key: str, event_time: str | None = None) ->
 def clean(raw: DataFrame, table: str) -> DataFrame:
     """``bronze_to_silver`` of a raw entity under its declared types and key."""
     return bronze_to_silver(conform(raw, RAW[table]), *BUSINESS_KEYS[table])
+
+
+def cleaning_findings(raw: DataFrame, table: str) -> dict[str, int]:
+    """How many rows of a raw entity there are, and how many have no key.
+
+    In an aggregate of its own, which reads the key column alone: counting on the way through
+    another job would count a task that runs again twice.
+    """
+    key = BUSINESS_KEYS[table][0]
+    return (
+        conform(raw, RAW[table])
+        .agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls")
+        )
+        .first()
+        .asDict()
+    )

@@ -5,18 +5,26 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from farebox.functions.dates import moment_or_now
+from farebox.functions.dates import date_sk, moment_or_now
 from farebox.operators import quality
-from farebox.operators.scd2 import current_rows
-from farebox.operators.staging import BUSINESS_KEYS, clean, load_staging
+from farebox.operators.scd2 import current_rows, merge_route_snapshots
+from farebox.operators.staging import (
+    BUSINESS_KEYS,
+    DAY_OF,
+    clean,
+    cleaning_findings,
+    load_staging,
+)
 from farebox.plans.star import SCHEMAS, Star
-from farebox.schemas import QUALITY_LOG, RAW, STAGING, conform
+from farebox.schemas import INT, KEYS, QUALITY_LOG, RAW, STAGING, conform
 from farebox.session import apply_settings
-from farebox.sources.raw import is_complete, latest_version, read_or_empty, read_raw
-from farebox.sources.tables import write_mart, write_table
+from farebox.sources.raw import read_or_empty, read_raw
+from farebox.sources.store import WHOLE, Load, Store
+from farebox.sources.tables import day_layout, write_mart
 
 # Tables in the order of the load.
 TABLES = (
@@ -32,8 +40,139 @@ TABLES = (
 )
 # The tables whose rows are counted.
 COUNTED = ("dim_user", "dim_route", "dim_vehicle", "fact_rides")
+# Facts that are kept by day, and the entity that each has a row of.
+BY_DAY = {"fact_rides": "rides", "fact_payments": "payments"}
 # Our own choice: the newest ride may be a day old.
 MAX_LAG_SECONDS = 86_400
+OPEN = "is_current=true"
+
+# Cleaned entities as they are stored: those with a day have it, and are kept by it.
+SILVER = {
+    entity: RAW[entity] if entity not in DAY_OF else StructType([*RAW[entity], StructField("date_sk", INT)])
+    for entity in RAW
+}
+
+
+class Warehouse:
+    """One load's view of the warehouse: its steps write parts, ``finish`` commits them."""
+
+    def __init__(self, spark: SparkSession, root: str, load_ts: dt.datetime, as_of: dt.date):
+        self.spark = spark
+        self.store = Store(spark, root)
+        self.load: Load = self.store.begin(load_ts.strftime("%Y%m%dT%H%M%S%f"))
+        self.load_ts = load_ts
+        self.as_of = as_of
+        self.rows: dict[str, int] = {}
+        self.written: list[str] = []
+
+    def read(self, table: str) -> DataFrame:
+        return self.load.read(table, SCHEMAS[table])
+
+    # ---- dimensions
+
+    def known_keys(self, name: str) -> tuple[DataFrame, int]:
+        """The keys given by loads before this one, and the last of them."""
+        before = self.load.before
+        parts = list(before.parts(f"keys_{name}").values())
+        known = self.store.read_parts(f"keys_{name}", KEYS[name], parts)
+        return known, before.last_keys.get(name, 0)
+
+    def keep_keys(self, name: str) -> None:
+        """Add what this load has given to the stored keys."""
+        _, after = self.known_keys(name)
+        key, sk = KEYS[name].names
+        new = self.read(name).filter(F.col(sk) > after).select(key, sk)
+        rows, parts = self.load.write(f"keys_{name}", new, KEYS[name])
+        earlier = self.load.before.parts(f"keys_{name}")
+        self.load.tables[f"keys_{name}"] = {**earlier, self.load.name: parts[WHOLE]}
+        self.load.last_keys[name] = after + rows
+
+    def route_versions(self, snapshots: DataFrame | dict[dt.date, DataFrame]) -> DataFrame:
+        """Open versions after the snapshots, and those that they close; reads open ones only."""
+        before = self.load.before
+        labels = [OPEN] if OPEN in before.parts("dim_route") else []
+        current = self.store.read("dim_route", SCHEMAS["dim_route"], before, labels)
+        if not isinstance(snapshots, dict):
+            snapshots = {self.as_of: snapshots}
+        return merge_route_snapshots(current, snapshots, before.last_keys.get("dim_route", 0))
+
+    def keep_routes(self, versions: DataFrame) -> int:
+        """Replace the open versions and add the closed ones to those closed before."""
+        before, schema = self.load.before, SCHEMAS["dim_route"]
+        rows, parts = self.load.write("dim_route", versions, schema, ["is_current"])
+        closed = {n: p for n, p in before.parts("dim_route").items() if n != OPEN}
+        if "is_current=false" in parts:
+            closed[f"closed by {self.load.name}"] = parts.pop("is_current=false")
+        self.load.tables["dim_route"] = {**closed, **parts}
+        # The newest key is that of an open version.
+        newest = self.store.read_parts("dim_route", schema, list(parts.values()))
+        last = newest.agg(F.max("route_sk")).first()[0]
+        self.load.last_keys["dim_route"] = last or before.last_keys.get("dim_route", 0)
+        return rows
+
+    # ---- all tables
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table and read it back."""
+        if name == "dim_route":
+            self.rows[name] = self.keep_routes(df)
+        elif name == "user_behavior_hourly":
+            self.rows[name] = write_mart(df, self.load.path(name))
+            self.load.adopt(name)
+        elif name in BY_DAY:
+            laid = day_layout(df, "date_sk")
+            self.rows[name], parts = self.load.write(name, laid, SCHEMAS[name], ["date_sk"])
+            self.load.tables[name] = parts
+            expected = self.rows.get(f"silver_{BY_DAY[name]}")
+            if expected not in (None, self.rows[name]):
+                raise RuntimeError(f"{name} has {self.rows[name]} rows for {expected}")
+        else:
+            self.rows[name] = self.load.replace(name, df, SCHEMAS[name])
+        if name in KEYS:
+            self.keep_keys(name)
+        self.written.append(name)
+        return self.read(name)
+
+    def keep_silver(self, entity: str, df: DataFrame) -> DataFrame:
+        table, schema = f"silver_{entity}", SILVER[entity]
+        if entity in DAY_OF:
+            day = date_sk(F.col(DAY_OF[entity]))
+            laid = day_layout(df.withColumn("date_sk", day), "date_sk")
+            self.rows[table], parts = self.load.write(table, laid, schema, ["date_sk"])
+            self.load.tables[table] = parts
+        else:
+            self.rows[table] = self.load.replace(table, df, schema)
+        return self.load.read(table, schema)
+
+    def newest_rides(self) -> DataFrame:
+        """The rides of the last day there is, found by the names of the parts."""
+        parts = self.load.tables.get("fact_rides", self.load.last.parts("fact_rides"))
+        days = [label for label in parts if not label.endswith("__HIVE_DEFAULT_PARTITION__")]
+        chosen = [parts[max(days)]] if days else []
+        return self.store.read_parts("fact_rides", SCHEMAS["fact_rides"], chosen)
+
+    def counts(self) -> DataFrame:
+        """The rows of the counted tables that were loaded or are stored."""
+        found = []
+        for name in COUNTED:
+            if self.load.has(name):
+                # Of dim_route a load writes the open versions and those it closes.
+                known = None if name == "dim_route" else self.rows.get(name)
+                found.append((name, self.read(name).count() if known is None else known))
+        return self.spark.createDataFrame(found, "table_name string, row_count long")
+
+    def finish(
+        self, log: DataFrame, publish: Callable[[str, DataFrame], None] | None, database: str | None
+    ) -> DataFrame:
+        """Store the log, commit, and hand the tables on; returns the load's log rows."""
+        self.load.append("data_quality_log", log, QUALITY_LOG)
+        state = self.load.commit()
+        for name in self.written:
+            if publish is not None:
+                publish(name, self.store.read(name, SCHEMAS[name], state))
+            if database is not None and set(state.parts(name)) == {WHOLE}:
+                self.store.register(database, name, state)
+        return self.store.read("data_quality_log", QUALITY_LOG, state, [self.load.name])
 
 
 def run_pipeline(
@@ -47,29 +186,30 @@ def run_pipeline(
     publish: Callable[[str, DataFrame], None] | None = None,
     max_lag_seconds: int = MAX_LAG_SECONDS,
     may_be_missing: Iterable[str] = (),
+    database: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load ``tables`` and check them; returns row counts and the new log rows.
 
-    Each step writes its tables under ``warehouse`` and the next one scans what
-    was written. Tables not asked for are taken as they are stored, and built
-    where there are none. ``stage`` appends the raw entities to the staging
-    tables; ``publish`` receives every table written, to copy it to a database. A raw
-    entity that is not there is an error, unless it is among those that
-    ``may_be_missing``, which then are empty. Counts are those of the writes, and the
-    log is read back as it was stored.
-
-    A load never overwrites the route history it starts from: dim_route gets a
-    new folder per load, named after ``load_ts``, and a load begins with the
-    newest complete one before its own. All else is rebuilt from the raw zone, so
-    a load that broke off is simply run again.
+    Each step writes its tables under ``warehouse`` and the next one scans what was written;
+    readers see all of it at once, by the commit at the end, or nothing (``sources.store``).
+    Tables not asked for are taken as they are stored, and built where there are none. Counts
+    and checks cover what was loaded or is stored. ``stage`` adds the raw entities to the
+    staging tables. ``publish`` receives every table written once it is committed, to copy it
+    to a database, and tables written whole are put into the catalog's ``database``. A raw
+    entity that is not there is an error, unless it is among those that ``may_be_missing``,
+    which then are empty.
+
+    A load is named by ``load_ts``. Run again, it starts from the route history and the keys
+    that it found the first time, and replaces what it added to staging and the log. A load
+    that broke off is simply run again.
     """
     apply_settings(spark)
     load_ts = load_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-    as_of = as_of or load_ts.date()
     wanted = set(tables)
     unknown = wanted - set(TABLES)
     if unknown:
         raise ValueError(f"unknown tables: {', '.join(sorted(unknown))}")
+    house = Warehouse(spark, warehouse, load_ts, as_of or load_ts.date())
 
     def raw(entity: str) -> DataFrame:
         if entity in may_be_missing:
@@ -79,61 +219,40 @@ def run_pipeline(
     if stage:
         for entity in RAW:
             staged = load_staging(raw(entity), entity, load_ts)
-            write_table(staged, f"{warehouse}/stg_{entity}", STAGING[entity], mode="append")
+            house.load.append(f"stg_{entity}", staged, STAGING[entity])
 
     silver: dict[str, DataFrame] = {}
     findings: list[tuple[str, str, int]] = []
 
     def cleaned(entity: str) -> DataFrame:
         if entity not in silver:
-            path, key = f"{warehouse}/silver_{entity}", BUSINESS_KEYS[entity][0]
-            seen = Observation()
-            nulls = F.count_if(F.col(key).isNull()).alias("nulls")
-            rows = conform(raw(entity), RAW[entity]).observe(
-                seen, F.count(F.lit(1)).alias("rows"), nulls
-            )
-            kept = write_table(clean(rows, entity), path, RAW[entity])
-            dropped = seen.get["nulls"]
-            findings.append((f"raw_{entity}", f"{key} is null", dropped))
-            findings.append((f"raw_{entity}", "duplicates", seen.get["rows"] - dropped - kept))
-            silver[entity] = spark.read.parquet(path)
+            silver[entity] = house.keep_silver(entity, clean(raw(entity), entity))
+            found = cleaning_findings(raw(entity), entity)
+            dropped, kept = found["nulls"], house.rows[f"silver_{entity}"]
+            findings.append((f"raw_{entity}", f"{BUSINESS_KEYS[entity][0]} is null", dropped))
+            findings.append((f"raw_{entity}", "duplicates", found["rows"] - dropped - kept))
         return silver[entity]
 
-    version = load_ts.strftime("%Y%m%dT%H%M%S%f")
-    route_history = f"{warehouse}/dim_route"
-
-    written: dict[str, int] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        path = f"{route_history}/version={version}" if name == "dim_route" else f"{warehouse}/{name}"
-        if name == "user_behavior_hourly":
-            written[name] = write_mart(df, path)
-        else:
-            written[name] = write_table(df, path, SCHEMAS[name])
-        stored = spark.read.parquet(path)
-        if publish is not None:
-            publish(name, stored.select(*SCHEMAS[name].names))
-        return stored
-
-    before = latest_version(spark, route_history, version)
-    star = Star(cleaned, keep, spark.read.parquet(before) if before else None, as_of, cleaned=True)
+    star = Star(
+        cleaned,
+        house.keep,
+        as_of=house.as_of,
+        cleaned=True,
+        route_versions=house.route_versions,
+        known_keys=house.known_keys,
+    )
     for name in TABLES:
-        path = before if name == "dim_route" else f"{warehouse}/{name}"
-        if name not in wanted and path and is_complete(spark, path):
-            star.kept[name] = spark.read.parquet(path)
+        if name not in wanted and house.load.has(name):
+            star.kept[name] = house.read(name)
     for name in TABLES:
         if name in wanted:
             star.table(name)
 
-    stored = {name: star.table(name) for name in COUNTED}
-    counts = [(name, written.get(name) or df.count()) for name, df in stored.items()]
-    log = check_quality(star, max_lag_seconds, load_ts).unionByName(
+    counts = house.counts()
+    log = check_quality(house, max_lag_seconds).unionByName(
         _cleaning_log(spark, findings, load_ts)
     )
-    log_path = f"{warehouse}/data_quality_log"
-    write_table(log, log_path, QUALITY_LOG, mode="append")
-    new = spark.read.parquet(log_path).filter(F.col("check_date") == F.lit(load_ts))
-    return spark.createDataFrame(counts, "table_name string, row_count long"), new
+    return counts, house.finish(log, publish, database)
 
 
 def _cleaning_log(
@@ -147,22 +266,28 @@ def _cleaning_log(
     return conform(frame.withColumn("check_date", moment_or_now(check_date)), QUALITY_LOG)
 
 
-def check_quality(star: Star, max_lag_seconds: int, check_date: dt.datetime | None) -> DataFrame:
-    """The log rows of one check of the stored tables."""
-    rides, users = star.table("fact_rides"), star.table("dim_user")
+def check_quality(house: Warehouse, max_lag_seconds: int) -> DataFrame:
+    """The log rows of one check of those tables that were loaded or are stored."""
+
+    def there(**checks):
+        return {name: check() for name, check in checks.items() if house.load.has(name)}
+
+    nulls = there(
+        fact_rides=lambda: (house.read("fact_rides"), ["user_sk", "route_sk"]),
+        dim_user=lambda: (house.read("dim_user"), ["user_id"]),
+    )
+    lags = there(fact_rides=lambda: (house.newest_rides(), "start_time"))
+    duplicates = there(
+        dim_user=lambda: (house.read("dim_user"), "user_id"),
+        dim_route=lambda: (current_rows(house.read("dim_route")), "route_id"),
+        fact_rides=lambda: (house.read("fact_rides"), "ride_id"),
+        fact_payments=lambda: (house.read("fact_payments"), "payment_id"),
+    )
     return quality.quality_log(
-        quality.null_checks(
-            {"fact_rides": (rides, ["user_sk", "route_sk"]), "dim_user": (users, ["user_id"])}
-        ),
-        quality.freshness({"fact_rides": (rides, "start_time")}, check_date),
-        quality.duplicate_checks(
-            {
-                "dim_user": (users, "user_id"),
-                "dim_route": (current_rows(star.table("dim_route")), "route_id"),
-                "fact_rides": (rides, "ride_id"),
-                "fact_payments": (star.table("fact_payments"), "payment_id"),
-            }
-        ),
+        quality.null_checks(nulls) if nulls else None,
+        quality.freshness(lags, house.load_ts) if lags else None,
+        quality.duplicate_checks(duplicates) if duplicates else None,
         max_lag_seconds,
-        check_date,
+        house.load_ts,
+        house.spark,
     )

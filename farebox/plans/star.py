@@ -47,15 +47,17 @@ class Star:
         self,
         raw: Callable[[str], DataFrame],
         keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
-        routes: DataFrame | None = None,
         as_of: dt.date | None = None,
         cleaned: bool = False,
+        route_versions: Callable[[DataFrame], DataFrame] | None = None,
+        known_keys: Callable[[str], tuple[DataFrame | None, int]] = lambda name: (None, 0),
     ):
         self.raw = raw
         self.keep = keep
-        self.routes = routes
         self.as_of = as_of
         self.cleaned = cleaned
+        self.route_versions = route_versions or self._first_versions
+        self.known_keys = known_keys
         self.kept: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -69,17 +71,19 @@ class Star:
         return getattr(self, f"_{name}")()
 
     def _dim_user(self) -> DataFrame:
-        return dimensions.build_dim_user(self.raw("users"), self.cleaned)
+        known = self.known_keys("dim_user")
+        return dimensions.build_dim_user(self.raw("users"), self.cleaned, *known)
 
     def _dim_vehicle(self) -> DataFrame:
-        return dimensions.build_dim_vehicle(self.raw("vehicles"), self.cleaned)
+        known = self.known_keys("dim_vehicle")
+        return dimensions.build_dim_vehicle(self.raw("vehicles"), self.cleaned, *known)
 
     def _dim_route(self) -> DataFrame:
-        snapshot = self.raw("routes")
-        routes = self.routes
-        if routes is None:
-            routes = snapshot.sparkSession.createDataFrame([], DIM_ROUTE)
-        return scd2.merge_routes(routes, snapshot, self.as_of)
+        return self.route_versions(self.raw("routes"))
+
+    def _first_versions(self, snapshot: DataFrame) -> DataFrame:
+        none = snapshot.sparkSession.createDataFrame([], DIM_ROUTE)
+        return scd2.merge_routes(none, snapshot, self.as_of)
 
     def _dim_date(self) -> DataFrame:
         return dimensions.build_dim_date(
@@ -92,10 +96,13 @@ class Star:
             self.table("dim_user"),
             self.table("dim_route"),
             self.table("dim_vehicle"),
+            self.cleaned,
         )
 
     def _fact_payments(self) -> DataFrame:
-        return facts.build_fact_payments(self.raw("payments"), self.table("dim_user"))
+        return facts.build_fact_payments(
+            self.raw("payments"), self.table("dim_user"), self.cleaned
+        )
 
     def _fact_vehicle_movement(self) -> DataFrame:
         return facts.build_fact_vehicle_movement(

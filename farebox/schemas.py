@@ -83,6 +83,12 @@ DIM_ROUTE = _table(
 DIM_VEHICLE = _table(vehicle_sk=INT, vehicle_id=INT, license_plate=STR, capacity=INT)
 DIM_DATE = _table(date_sk=INT, full_date=DAY, year=INT, month=INT, day=INT, day_of_week=INT)
 
+# The surrogate keys given to business keys by all loads so far.
+KEYS = {
+    "dim_user": _table(user_id=INT, user_sk=INT),
+    "dim_vehicle": _table(vehicle_id=INT, vehicle_sk=INT),
+}
+
 FACT_RIDES = _table(
     ride_id=STR,
     user_sk=INT,
@@ -112,6 +118,17 @@ FACT_VEHICLE_MOVEMENT = _table(
     events_count=LONG,
 )
 
+# What fact_vehicle_movement is made of, kept by day.
+MOVEMENT_SUMS = _table(
+    route_number=STR,
+    date_sk=INT,
+    events=LONG,
+    speed_sum=LONG,
+    speed_count=LONG,
+    passenger_sum=LONG,
+    passenger_count=LONG,
+)
+
 USER_BEHAVIOR_HOURLY = _table(
     full_date=DAY,
     hour_of_day=INT,

@@ -17,13 +17,8 @@ def read_raw(spark: SparkSession, root: str, table: str, file_format: str = "par
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _resolve(spark, path)
-    return file_system.exists(hadoop_path)
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written to the end there."""
-    return path_exists(spark, f"{path}/_SUCCESS")
+    system, hadoop_path = file_system(spark, path)
+    return system.exists(hadoop_path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -36,27 +31,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.createDataFrame([], schema)
 
 
-def latest_version(spark: SparkSession, path: str, before: str) -> str | None:
-    """The newest completely written ``version=…`` folder of a table, if any.
-
-    Versions compare as text and only those smaller than ``before`` count.
-    """
-    file_system, hadoop_path = _resolve(spark, path)
-    if not file_system.exists(hadoop_path):
-        return None
-    complete = []
-    for status in file_system.listStatus(hadoop_path):
-        folder = status.getPath()
-        version = folder.getName().removeprefix("version=")
-        if version == folder.getName() or version >= before:
-            continue
-        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-        if file_system.exists(marker):
-            complete.append(version)
-    return f"{path}/version={max(complete)}" if complete else None
-
-
-def _resolve(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path

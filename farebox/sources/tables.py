@@ -57,6 +57,15 @@ def mart_layout(mart: DataFrame) -> DataFrame:
     )
 
 
+def day_layout(facts: DataFrame, day: str) -> DataFrame:
+    """Rows as partitions ready to be written to a folder for each ``day``.
+
+    Brought together by day and rebalanced: adaptive execution splits a heavy day over
+    several tasks and merges light ones, so that there are few files and none is huge.
+    """
+    return facts.hint("rebalance", day)
+
+
 def write_mart(mart: DataFrame, path: str) -> int:
     """Write the hourly mart: one folder per month, sorted files inside."""
     written = Observation()
