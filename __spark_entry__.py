@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farebox.testing import fixtures
 from farebox.operators import quality, scd2, staging
+from farebox.operators.dimensions import build_dim_user
 from farebox.operators.keys import assign_surrogate_key
-from farebox.plans.nightly import run_pipeline
+from farebox.plans.increment import run_increment
+from farebox.plans.nightly import Warehouse, run_pipeline
 from farebox.plans.star import SCHEMAS, Star
 from farebox.schemas import RAW, STAGING
 from farebox.session import shared_folder
@@ -120,6 +122,78 @@ def _nightly(table: str):
     return query
 
 
+def _delivered(rows: dict[str, DataFrame], folder: str) -> str:
+    """A raw zone with some entities."""
+    for entity, df in rows.items():
+        write_table(df, f"{folder}/{entity}", RAW[entity])
+    return folder
+
+
+def _kept_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users after two loads, the second with new ids between those known."""
+    folder = _folder(spark)
+    users = fixtures.raw(spark, sf_dir, "users")
+    nights = {fixtures.LOAD_TS: users.filter("user_id % 3 <> 0"), fixtures.NEXT_LOAD_TS: users}
+    for night, (load_ts, rows) in enumerate(nights.items()):
+        raw = _delivered({"users": rows}, f"{folder}/raw{night}")
+        run_pipeline(spark, raw, folder, load_ts=load_ts, tables=["dim_user"], stage=False)
+    return Store(spark, folder).read("dim_user", SCHEMAS["dim_user"])
+
+
+def _after_broken_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users after a load, one that broke off behind the users, and one of vehicles."""
+    folder = _folder(spark)
+    users = fixtures.raw(spark, sf_dir, "users")
+    vehicles = fixtures.raw(spark, sf_dir, "vehicles")
+    raw = _delivered({"users": users, "vehicles": vehicles}, f"{folder}/raw")
+    run_pipeline(spark, raw, folder, load_ts=fixtures.LOAD_TS, tables=["dim_user"], stage=False)
+    broken = Warehouse(spark, folder, fixtures.CHECK_TS, fixtures.FIRST_LOAD)
+    moved = broken.keep_silver("users", staging.clean(fixtures.redelivered_users(users), "users"))
+    broken.keep("dim_user", build_dim_user(moved, True, *broken.known_keys("dim_user")))
+    load_ts = fixtures.NEXT_LOAD_TS
+    run_pipeline(spark, raw, folder, load_ts=load_ts, tables=["dim_vehicle"], stage=False)
+    return Store(spark, folder).read("dim_user", SCHEMAS["dim_user"])
+
+
+def _staging_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged users after a load that was run twice."""
+    folder = _folder(spark)
+    raw = _delivered({"users": fixtures.users(spark, sf_dir)}, f"{folder}/raw")
+    others = [entity for entity in RAW if entity != "users"]
+    for _ in range(2):
+        run_pipeline(
+            spark, raw, folder, load_ts=fixtures.LOAD_TS, tables=["dim_user"], may_be_missing=others
+        )
+    return Store(spark, folder).read("stg_users", STAGING["users"])
+
+
+def _increment(table: str):
+    """A fact after a night's delivery was merged into that of the night before."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _folder(spark)
+        first, second = fixtures.split_deliveries(spark, sf_dir)
+        nights = {fixtures.LOAD_TS: first, fixtures.NEXT_LOAD_TS: second}
+        for night, (load_ts, rows) in enumerate(nights.items()):
+            raw = _delivered(rows, f"{folder}/raw{night}")
+            run_increment(spark, raw, folder, as_of=fixtures.FIRST_LOAD, load_ts=load_ts)
+        return Store(spark, folder).read(table, SCHEMAS[table])
+
+    return query
+
+
+def _route_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of routes after the snapshots of three days, merged at once."""
+    routes = _star(spark, sf_dir).raw("routes")
+    snapshots = {
+        fixtures.FIRST_LOAD: routes,
+        fixtures.SECOND_LOAD: fixtures.changed_routes(routes),
+        fixtures.THIRD_LOAD: routes,
+    }
+    none = spark.createDataFrame([], SCHEMAS["dim_route"])
+    return scd2.merge_route_snapshots(none, snapshots, after=0)
+
+
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys for users with repeated and null ids, after 1000 keys already given."""
     users = fixtures.redelivered_users(_star(spark, sf_dir).raw("users"))
@@ -206,11 +280,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "routes_or_empty": _routes_or_empty,
         "surrogate_keys_unique": _surrogate_keys_unique,
         "surrogate_keys": _surrogate_keys,
+        "surrogate_keys_kept": _kept_keys,
+        "dim_user_after_broken_load": _after_broken_load,
+        "staging_repeated": _staging_repeated,
         "dim_user": _built("dim_user"),
         "dim_vehicle": _built("dim_vehicle"),
         "dim_date": _built("dim_date"),
         "dim_route_first_load": _built("dim_route"),
         "dim_route_scd2": _dim_route_scd2,
+        "dim_route_three_snapshots": _route_snapshots,
         "current_routes": _current_routes,
         "fact_rides": _built("fact_rides"),
         "fact_payments": _built("fact_payments"),
@@ -226,6 +304,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_checks": _duplicate_checks,
         "quality_log": _quality_log,
         "failed_checks": _failed_checks,
+        "increment_rides": _increment("fact_rides"),
+        "increment_payments": _increment("fact_payments"),
+        "increment_movement": _increment("fact_vehicle_movement"),
         "nightly_dashboard": _nightly("dashboard_daily"),
         "nightly_payments": _nightly("fact_payments"),
         **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),

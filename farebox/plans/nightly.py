@@ -162,17 +162,22 @@ class Warehouse:
         return self.spark.createDataFrame(found, "table_name string, row_count long")
 
     def finish(
-        self, log: DataFrame, publish: Callable[[str, DataFrame], None] | None, database: str | None
+        self,
+        log: DataFrame | None,
+        publish: Callable[[str, DataFrame], None] | None,
+        database: str | None,
     ) -> DataFrame:
         """Store the log, commit, and hand the tables on; returns the load's log rows."""
-        self.load.append("data_quality_log", log, QUALITY_LOG)
+        if log is not None:
+            self.load.append("data_quality_log", log, QUALITY_LOG)
         state = self.load.commit()
         for name in self.written:
             if publish is not None:
                 publish(name, self.store.read(name, SCHEMAS[name], state))
             if database is not None and set(state.parts(name)) == {WHOLE}:
                 self.store.register(database, name, state)
-        return self.store.read("data_quality_log", QUALITY_LOG, state, [self.load.name])
+        labels = [self.load.name] if log is not None else []
+        return self.store.read("data_quality_log", QUALITY_LOG, state, labels)
 
 
 def run_pipeline(

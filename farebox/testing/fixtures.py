@@ -14,6 +14,9 @@ LOAD_TS = dt.datetime(2024, 1, 9, 2, 0)
 CHECK_TS = dt.datetime(2024, 1, 9, 3, 0)
 FIRST_LOAD = dt.date(2024, 1, 1)
 SECOND_LOAD = dt.date(2024, 2, 1)
+THIRD_LOAD = dt.date(2024, 3, 1)
+NEXT_LOAD_TS = dt.datetime(2024, 1, 10, 2, 0)
+FIRST_DAYS = dt.date(2024, 1, 4)
 MAX_LAG_SECONDS = 86_400
 
 
@@ -170,6 +173,35 @@ def redelivered_copies(once: DataFrame) -> DataFrame:
     return once.unionByName(once)
 
 
+def split_deliveries(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """What two nights deliver.
+
+    The first lacks a third of the users and all but the first days' rides and payments; of
+    these days, every tenth is late. The second brings the rest, late rows of the first days
+    among it, and every twentieth ride and payment once more, corrected.
+    """
+    every = {entity: raw(spark, sf_dir, entity) for entity in ENTITIES}
+    late = F.col("ride_id").cast("bigint") % 10 == 7
+    again = F.col("ride_id").cast("bigint") % 20 == 0
+    early = {
+        "rides": F.to_date("start_time") <= FIRST_DAYS,
+        "payments": F.to_date("created_at") <= FIRST_DAYS,
+    }
+    corrected = {
+        "rides": redelivered_rides(every["rides"]),
+        "payments": redelivered_payments(every["payments"]),
+    }
+    known = F.col("user_id") % 3 != 0
+    first = {**every, "users": every["users"].filter(known)}
+    second = {"users": every["users"].filter(~known)}
+    for entity, is_early in early.items():
+        first[entity] = every[entity].filter(is_early & ~late)
+        second[entity] = every[entity].filter(~is_early | late).unionByName(
+            corrected[entity].filter(again)
+        )
+    return [first, second]
+
+
 # The raw zone of a night on which feeds repeat themselves.
 REDELIVERED = {
     "users": redelivered_users,

@@ -12,6 +12,15 @@ def _mean(total: str, count: str, kind: str) -> str:
     return f"CAST(CAST({cents} AS DECIMAL(20,0)) * 0.01 AS {kind})"
 
 
+def _newest(deliveries: str, key: str, moment: str) -> str:
+    """The latest delivery of each key."""
+    return (
+        f"SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY {key} ORDER BY {moment} DESC) AS place "
+        f"FROM {deliveries} WHERE {key} IS NOT NULL) WHERE place = 1"
+    )
+
+
 _OPEN_END = "DATE '9999-12-31'"
 
 # Steps in order; each may use the ones before it.
@@ -121,6 +130,28 @@ _STEPS = {
                route_id, route_number, vehicle_type, base_fare,
                DATE '2024-02-01', {_OPEN_END}, TRUE
         FROM new_versions""",
+    "dim_user_kept": """
+        SELECT CAST(row_number() OVER (ORDER BY user_id % 3 = 0, user_id) AS INT) AS user_sk, *
+        FROM users""",
+    "route_states": """
+        SELECT *, DATE '2024-01-01' AS valid_from FROM routes
+        UNION ALL SELECT *, DATE '2024-02-01' FROM changed_routes
+        UNION ALL SELECT *, DATE '2024-03-01' FROM routes""",
+    "route_changes": """
+        SELECT * EXCLUDE (place, earlier)
+        FROM (SELECT *, row_number() OVER run AS place,
+                     lag((route_number, vehicle_type, base_fare)) OVER run AS earlier
+              FROM route_states
+              WINDOW run AS (PARTITION BY route_id ORDER BY valid_from))
+        WHERE place = 1 OR (route_number, vehicle_type, base_fare) IS DISTINCT FROM earlier""",
+    "dim_route_three": f"""
+        SELECT CAST(row_number() OVER (ORDER BY valid_from, route_id) AS INT) AS route_sk,
+               route_id, route_number, vehicle_type, base_fare, valid_from,
+               coalesce(CAST(lead(valid_from) OVER run - INTERVAL 1 DAY AS DATE), {_OPEN_END})
+                   AS valid_to,
+               lead(valid_from) OVER run IS NULL AS is_current
+        FROM route_changes
+        WINDOW run AS (PARTITION BY route_id ORDER BY valid_from)""",
     "dim_date": """
         SELECT CAST(strftime(full_date, '%Y%m%d') AS INT) AS date_sk, full_date,
                CAST(year(full_date) AS INT) AS year, CAST(month(full_date) AS INT) AS month,
@@ -151,6 +182,19 @@ _STEPS = {
         FROM vehicle_positions p
              LEFT JOIN dim_route d ON d.route_number = p.route_number AND d.is_current
         GROUP BY ALL""",
+    "increment_rides": f"""
+        SELECT ride_id, user_sk, route_sk, vehicle_sk, start_time, end_time,
+               CAST(date_diff('second', start_time, end_time) AS INT) AS ride_duration_sec,
+               fare_amount, CAST(strftime(start_time, '%Y%m%d') AS INT) AS date_sk
+        FROM ({_newest("redelivered_rides", "ride_id", "end_time")}) r
+             LEFT JOIN dim_user_kept u ON u.user_id = r.user_id
+             LEFT JOIN dim_route d ON d.route_id = r.route_id AND d.is_current
+             LEFT JOIN dim_vehicle v ON v.vehicle_id = r.vehicle_id""",
+    "increment_payments": f"""
+        SELECT payment_id, ride_id, user_sk, amount, payment_method, status, p.created_at,
+               CAST(strftime(p.created_at, '%Y%m%d') AS INT) AS date_sk
+        FROM ({_newest("redelivered_payments", "payment_id", "created_at")}) p
+             LEFT JOIN dim_user_kept u ON u.user_id = p.user_id""",
     "user_behavior_rides": f"""
         SELECT full_date, CAST(hour(start_time) AS INT) AS hour_of_day,
                CAST(dayofweek(start_time) + 1 AS INT) AS day_of_week,
@@ -246,11 +290,7 @@ def _cleaned_sql(select: str) -> str:
     for name, body in _STEPS.items():
         if name == "dim_user":
             for entity, (key, moment) in cleaned.items():
-                steps[f"silver_{entity}"] = (
-                    f"SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER "
-                    f"(PARTITION BY {key} ORDER BY {moment} DESC) AS place "
-                    f"FROM redelivered_{entity} WHERE {key} IS NOT NULL) WHERE place = 1"
-                )
+                steps[f"silver_{entity}"] = _newest(f"redelivered_{entity}", key, moment)
         if any(f"silver_{entity}" in steps for entity in cleaned):
             body = re.sub(r"\b(users|rides|payments)\b", r"silver_\1", body)
         steps[name] = body
@@ -263,11 +303,7 @@ def _staged(entity: str) -> str:
 
 
 def _latest(deliveries: str, key: str, moment: str) -> str:
-    return _sql(
-        f"SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY {key} ORDER BY {moment} DESC) AS place "
-        f"FROM {deliveries} WHERE {key} IS NOT NULL) WHERE place = 1"
-    )
+    return _sql(_newest(deliveries, key, moment))
 
 
 ORACLE_SQL = {
@@ -289,6 +325,11 @@ ORACLE_SQL = {
         "SELECT *, TIMESTAMP '2024-01-09 03:00:00' FROM users"
     ),
     "routes_or_empty": _sql("SELECT * FROM routes"),
+    "surrogate_keys_kept": _sql("SELECT * FROM dim_user_kept"),
+    "dim_user_after_broken_load": _sql("SELECT * FROM dim_user"),
+    "staging_repeated": _staged("users"),
+    "dim_route_three_snapshots": _sql("SELECT * FROM dim_route_three"),
+    "increment_movement": _sql("SELECT * FROM fact_vehicle_movement"),
     "nightly_dashboard": _cleaned_sql("SELECT * FROM dashboard_daily"),
     "nightly_payments": _cleaned_sql("SELECT * FROM fact_payments"),
     "surrogate_keys": _sql(
@@ -317,6 +358,8 @@ ORACLE_SQL = {
             "fact_rides",
             "fact_payments",
             "fact_vehicle_movement",
+            "increment_rides",
+            "increment_payments",
             "user_behavior_rides",
             "user_behavior_payments",
             "user_behavior_hourly",
