@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.testing import fixtures
 from farebox.operators import quality, scd2, staging
@@ -14,9 +15,9 @@ from farebox.operators.keys import assign_surrogate_key
 from farebox.plans.increment import run_increment
 from farebox.plans.nightly import Warehouse, run_pipeline
 from farebox.plans.star import SCHEMAS, Star
-from farebox.schemas import RAW, STAGING
+from farebox.schemas import CHECKED, RAW, REJECTED, STAGING
 from farebox.session import shared_folder
-from farebox.sources.raw import read_or_empty, read_raw
+from farebox.sources.raw import footer_scan, read_or_empty, read_raw
 from farebox.sources.store import Store
 from farebox.sources.tables import write_mart, write_table
 from farebox.testing.oracle import ORACLE_SQL
@@ -30,6 +31,7 @@ except ImportError:
     llm = None
 
 _stars: dict[tuple[str, str], Star] = {}
+_first_nights: dict[tuple[str, str], str] = {}
 
 
 def _folder(spark: SparkSession) -> str:
@@ -167,21 +169,56 @@ def _staging_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Store(spark, folder).read("stg_users", STAGING["users"])
 
 
+def _first_night(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse after the first of two nights, loaded once per application."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _first_nights:
+        folder = _folder(spark)
+        for night, rows in enumerate(fixtures.split_deliveries(spark, sf_dir)):
+            _delivered(rows, f"{folder}/raw{night}")
+        run_increment(
+            spark, f"{folder}/raw0", folder, as_of=fixtures.FIRST_LOAD, load_ts=fixtures.LOAD_TS
+        )
+        _first_nights[name] = folder
+    return _first_nights[name]
+
+
 def _increment(table: str):
     """A fact after a night's delivery was merged into that of the night before."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = _folder(spark)
-        first, second = fixtures.split_deliveries(spark, sf_dir)
-        nights = {fixtures.LOAD_TS: first, fixtures.NEXT_LOAD_TS: second}
-        for night, (load_ts, rows) in enumerate(nights.items()):
-            raw = _delivered(rows, f"{folder}/raw{night}")
-            run_increment(spark, raw, folder, as_of=fixtures.FIRST_LOAD, load_ts=load_ts)
+        folder = _first_night(spark, sf_dir)
+        # Run again, a load starts from where it started the first time.
+        load_ts = fixtures.NEXT_LOAD_TS
+        run_increment(
+            spark, f"{folder}/raw1", folder, as_of=fixtures.FIRST_LOAD, load_ts=load_ts
+        )
         return Store(spark, folder).read(table, SCHEMAS[table])
 
     return query
 
 
+def _quarantine(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after staging payments of which some have values that do not fit."""
+    folder = _folder(spark)
+    faulty = fixtures.faulty_payments(_star(spark, sf_dir).raw("payments"))
+    store = Store(spark, folder)
+    load = store.begin("1")
+    checked = staging.check_types(faulty, "payments", fixtures.LOAD_TS)
+    load.append_checked("stg_payments", "rejected_payments", checked, CHECKED["payments"])
+    load.commit()
+    return store
+
+
+def _quarantine_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quarantine(spark, sf_dir).read("stg_payments", STAGING["payments"])
+
+
+def _quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = _quarantine(spark, sf_dir).read("rejected_payments", REJECTED)
+    return rejected.withColumn("reasons", F.array_join("reasons", "; "))
+
+
 def _route_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The versions of routes after the snapshots of three days, merged at once."""
     routes = _star(spark, sf_dir).raw("routes")
@@ -219,10 +256,15 @@ def _stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _footers(spark: SparkSession, stored: DataFrame) -> DataFrame:
+    """A stored table as a scan of its footers."""
+    return footer_scan(spark, *stored.inputFiles())
+
+
 def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
     counted = ["dim_user", "dim_route", "dim_vehicle", "fact_rides"]
-    return quality.row_counts({name: star.table(name) for name in counted})
+    return quality.row_counts({name: _footers(spark, star.table(name)) for name in counted})
 
 
 def _null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +279,8 @@ def _null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = _star(spark, sf_dir).table("fact_rides")
-    return quality.freshness({"fact_rides": (rides, "start_time")}, fixtures.CHECK_TS)
+    newest = (_footers(spark, rides), rides, "date_sk", "start_time")
+    return quality.freshness_of_days({"fact_rides": newest}, fixtures.CHECK_TS)
 
 
 def _duplicate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +292,8 @@ def _duplicate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
             "fact_rides": (star.table("fact_rides"), "ride_id"),
             "redelivered_users": (fixtures.redelivered_users(star.raw("users")), "user_id"),
             "redelivered_rides": (fixtures.redelivered_rides(star.raw("rides")), "ride_id"),
-        }
+        },
+        dense=["dim_user", "redelivered_users"],
     )
 
 
@@ -283,6 +327,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "surrogate_keys_kept": _kept_keys,
         "dim_user_after_broken_load": _after_broken_load,
         "staging_repeated": _staging_repeated,
+        "quarantine_accepted": _quarantine_accepted,
+        "quarantine_rejected": _quarantine_rejected,
         "dim_user": _built("dim_user"),
         "dim_vehicle": _built("dim_vehicle"),
         "dim_date": _built("dim_date"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,12 +55,49 @@ def freshness(
     )
 
 
-def duplicate_checks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows beyond the first of each key value; every null key counts as one."""
+def freshness_of_days(
+    tables: dict[str, tuple[DataFrame, DataFrame, str, str]], now: dt.datetime | None = None
+) -> DataFrame:
+    """``freshness`` of tables with a day for each moment, from their newest day alone.
+
+    For each table: a scan that answers the greatest day from file footers, the table, its
+    day and its moment. The day is found right here; the table's scan skips all others.
+    """
+    newest = {}
+    for name, (footers, df, day, column) in tables.items():
+        last = footers.agg(F.max(day)).first()[0]
+        newest[name] = (df.filter(F.col(day) == F.lit(last)), column)
+    return freshness(newest, now)
+
+
+def duplicate_checks(
+    tables: dict[str, tuple[DataFrame, str]], dense: Iterable[str] = ()
+) -> DataFrame:
+    """Rows beyond the first of each key value; every null key counts as one.
+
+    The tables in ``dense`` have integer keys that lie close together, as numbers given one
+    after another do. Theirs are counted by bitmaps of 32,768 values each, which add up:
+    tasks send a few KB for each such range of values instead of the values.
+    """
+
+    def distinct(name: str, df: DataFrame, key: str) -> DataFrame:
+        if name not in dense:
+            return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("keys"))
+        # Values below zero have ranges of their own.
+        value = F.col(key).cast("bigint") + (1 << 31)
+        ranges = df.groupBy(F.bitmap_bucket_number(value).alias("range")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"),
+        )
+        held = F.when(F.col("range").isNotNull(), F.bitmap_count("bits")).otherwise(0)
+        return ranges.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("keys")
+        )
+
     return _union(
-        df.agg(
-            (F.count(F.lit(1)) - F.count_distinct(F.col(key))).alias("duplicate_count")
-        ).select(F.lit(name).alias("table_name"), "duplicate_count")
+        distinct(name, df, key).select(
+            F.lit(name).alias("table_name"), (F.col("n") - F.col("keys")).alias("duplicate_count")
+        )
         for name, (df, key) in tables.items()
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.dates import moment_or_now
-from farebox.schemas import RAW, conform
+from farebox.schemas import RAW, conform, require
 
 # Business key of each entity to be cleaned, and the column telling its deliveries apart.
 BUSINESS_KEYS = {
@@ -29,6 +29,34 @@ def load_staging(raw: DataFrame, table: str, load_ts: dt.datetime | None = None)
     return conform(raw, RAW[table]).withColumn("load_ts", moment_or_now(load_ts))
 
 
+def check_types(raw: DataFrame, table: str, load_ts: dt.datetime | None = None) -> DataFrame:
+    """``load_staging`` for deliveries whose values may not fit, which are not an error.
+
+    Every row comes out. Where a value does not fit its declared type, ``accepted`` is false,
+    ``reasons`` has the columns and their types, and ``delivered`` the row as JSON, its values
+    as text.
+    """
+    schema = RAW[table]
+    require(raw, schema)
+    fitted = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema}
+    reasons = [
+        F.when(
+            F.col(f.name).isNotNull() & fitted[f.name].isNull(),
+            F.lit(f"{f.name} is no {f.dataType.simpleString()}"),
+        )
+        for f in schema
+    ]
+    texts = F.struct(*[F.col(f.name).cast("string").alias(f.name) for f in schema])
+    checked = raw.select(
+        *[value.alias(name) for name, value in fitted.items()],
+        moment_or_now(load_ts).alias("load_ts"),
+        F.array_compact(F.array(*reasons)).alias("reasons"),
+        F.to_json(texts, {"ignoreNullFields": "false"}).alias("_texts"),
+    ).withColumn("accepted", F.size("reasons") == 0)
+    delivered = F.when(~F.col("accepted"), F.col("_texts"))
+    return checked.withColumn("delivered", delivered).drop("_texts")
+
+
 def bronze_to_silver(df: DataFrame, key: str, event_time: str | None = None) -> DataFrame:
     """One row per non-null ``key``: the latest by ``event_time``.
 

@@ -79,7 +79,7 @@ def _silver(house: Warehouse, entity: str, days: Iterable[int | None] | None = N
     table, load = f"silver_{entity}", house.load
     parts = load.tables.get(table, load.last.parts(table))
     chosen = parts if days is None else {label(day) for day in days} & set(parts)
-    return house.store.read_parts(table, SILVER[entity], [parts[name] for name in chosen])
+    return house.store.read_parts(SILVER[entity], [parts[name] for name in chosen])
 
 
 def _kept_delivery(house: Warehouse, entity: str, rows: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def _kept_delivery(house: Warehouse, entity: str, rows: DataFrame) -> DataFrame:
     if entity in DAY_OF:
         rows = rows.withColumn("date_sk", date_sk(F.col(DAY_OF[entity])))
     _, parts = house.load.write(table, rows, SILVER[entity])
-    return house.store.read_parts(table, SILVER[entity], list(parts.values()))
+    return house.store.read_parts(SILVER[entity], list(parts.values()))
 
 
 def _merged_dimensions(

@@ -15,12 +15,13 @@ from farebox.operators.scd2 import current_rows, merge_route_snapshots
 from farebox.operators.staging import (
     BUSINESS_KEYS,
     DAY_OF,
+    check_types,
     clean,
     cleaning_findings,
     load_staging,
 )
 from farebox.plans.star import SCHEMAS, Star
-from farebox.schemas import INT, KEYS, QUALITY_LOG, RAW, STAGING, conform
+from farebox.schemas import CHECKED, INT, KEYS, QUALITY_LOG, RAW, STAGING, conform
 from farebox.session import apply_settings
 from farebox.sources.raw import read_or_empty, read_raw
 from farebox.sources.store import WHOLE, Load, Store
@@ -74,7 +75,7 @@ class Warehouse:
         """The keys given by loads before this one, and the last of them."""
         before = self.load.before
         parts = list(before.parts(f"keys_{name}").values())
-        known = self.store.read_parts(f"keys_{name}", KEYS[name], parts)
+        known = self.store.read_parts(KEYS[name], parts)
         return known, before.last_keys.get(name, 0)
 
     def keep_keys(self, name: str) -> None:
@@ -105,7 +106,7 @@ class Warehouse:
             closed[f"closed by {self.load.name}"] = parts.pop("is_current=false")
         self.load.tables["dim_route"] = {**closed, **parts}
         # The newest key is that of an open version.
-        newest = self.store.read_parts("dim_route", schema, list(parts.values()))
+        newest = self.store.read_parts(schema, list(parts.values()))
         last = newest.agg(F.max("route_sk")).first()[0]
         self.load.last_keys["dim_route"] = last or before.last_keys.get("dim_route", 0)
         return rows
@@ -149,7 +150,7 @@ class Warehouse:
         parts = self.load.tables.get("fact_rides", self.load.last.parts("fact_rides"))
         days = [label for label in parts if not label.endswith("__HIVE_DEFAULT_PARTITION__")]
         chosen = [parts[max(days)]] if days else []
-        return self.store.read_parts("fact_rides", SCHEMAS["fact_rides"], chosen)
+        return self.store.read_parts(SCHEMAS["fact_rides"], chosen)
 
     def counts(self) -> DataFrame:
         """The rows of the counted tables that were loaded or are stored."""
@@ -192,6 +193,7 @@ def run_pipeline(
     max_lag_seconds: int = MAX_LAG_SECONDS,
     may_be_missing: Iterable[str] = (),
     database: str | None = None,
+    quarantine: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Load ``tables`` and check them; returns row counts and the new log rows.
 
@@ -204,6 +206,10 @@ def run_pipeline(
     entity that is not there is an error, unless it is among those that ``may_be_missing``,
     which then are empty.
 
+    A value that does not fit its declared type fails the load. Under ``quarantine``, which
+    needs staging, its row goes to a table ``rejected_…`` with the reasons instead, the log
+    has how many there were, and the load goes on with the others.
+
     A load is named by ``load_ts``. Run again, it starts from the route history and the keys
     that it found the first time, and replaces what it added to staging and the log. A load
     that broke off is simply run again.
@@ -221,18 +227,27 @@ def run_pipeline(
             return read_or_empty(spark, f"{raw_root}/{entity}", RAW[entity])
         return read_raw(spark, raw_root, entity)
 
-    if stage:
-        for entity in RAW:
-            staged = load_staging(raw(entity), entity, load_ts)
-            house.load.append(f"stg_{entity}", staged, STAGING[entity])
-
+    if quarantine and not stage:
+        raise ValueError("rows are put into quarantine while they are staged")
     silver: dict[str, DataFrame] = {}
     findings: list[tuple[str, str, int]] = []
+    accepted: dict[str, DataFrame] = {}
+    for entity in RAW if stage else ():
+        table, rejected = f"stg_{entity}", f"rejected_{entity}"
+        if quarantine:
+            checked = check_types(raw(entity), entity, load_ts)
+            rows = house.load.append_checked(table, rejected, checked, CHECKED[entity])
+            findings.append((f"raw_{entity}", "values do not fit", rows[rejected]))
+            part = house.load.tables[table].get(house.load.name)
+            accepted[entity] = house.store.read_parts(STAGING[entity], [part] if part else [])
+        else:
+            house.load.append(table, load_staging(raw(entity), entity, load_ts), STAGING[entity])
 
     def cleaned(entity: str) -> DataFrame:
         if entity not in silver:
-            silver[entity] = house.keep_silver(entity, clean(raw(entity), entity))
-            found = cleaning_findings(raw(entity), entity)
+            delivered = accepted[entity] if quarantine else raw(entity)
+            silver[entity] = house.keep_silver(entity, clean(delivered, entity))
+            found = cleaning_findings(delivered, entity)
             dropped, kept = found["nulls"], house.rows[f"silver_{entity}"]
             findings.append((f"raw_{entity}", f"{BUSINESS_KEYS[entity][0]} is null", dropped))
             findings.append((f"raw_{entity}", "duplicates", found["rows"] - dropped - kept))

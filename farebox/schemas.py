@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DataType,
     DateType,
@@ -69,6 +70,17 @@ STAGING: dict[str, StructType] = {
     name: StructType([*schema.fields, StructField("load_ts", TS)]) for name, schema in RAW.items()
 }
 
+# Staged rows whose values were tried: the reasons why a row was rejected, none if it was not,
+# and what a rejected row had, as JSON.
+CHECKED: dict[str, StructType] = {
+    name: StructType(
+        [*schema.fields, StructField("reasons", ArrayType(STR)), StructField("delivered", STR)]
+        + [StructField("accepted", FLAG)]
+    )
+    for name, schema in STAGING.items()
+}
+REJECTED = _table(reasons=ArrayType(STR), delivered=STR, load_ts=TS)
+
 DIM_USER = _table(user_sk=INT, user_id=INT, name=STR, email=STR, city=STR, created_at=TS)
 DIM_ROUTE = _table(
     route_sk=INT,
@@ -164,7 +176,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     columns are dropped. Casts follow the session's ANSI setting, so a value
     that does not fit its declared type fails the job.
     """
+    require(df, schema)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def require(df: DataFrame, schema: StructType) -> None:
+    """An error if ``df`` lacks a column of ``schema``."""
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Counts and extremes come from file footers where a scan can give them (footer_scan).
+    "spark.sql.parquet.aggregatePushdown": "true",
     # Values that do not fit their type are errors.
     "spark.sql.ansi.enabled": "true",
 }

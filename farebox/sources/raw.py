@@ -16,6 +16,22 @@ def read_raw(spark: SparkSession, root: str, table: str, file_format: str = "par
     return spark.read.format(file_format).load(f"{root.rstrip('/')}/{table}")
 
 
+def footer_scan(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet tables as a scan that answers counts and extremes from the file footers.
+
+    Counts of rows, and least and greatest values of numbers, days and flags without a filter
+    but on folders, then read no data pages. Needs ``spark.sql.parquet.aggregatePushdown``.
+    """
+    setting = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(setting)
+    kept = [name for name in before.split(",") if name != "parquet"]
+    spark.conf.set(setting, ",".join(kept))
+    try:
+        return spark.read.parquet(*paths)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, hadoop_path = file_system(spark, path)
     return system.exists(hadoop_path)

@@ -82,14 +82,15 @@ class Store:
         """A committed table, or those parts of it that ``labels`` name; empty without any."""
         parts = (state or self.state()).parts(table)
         chosen = list(parts.values()) if labels is None else [parts[n] for n in labels]
-        return self.read_parts(table, schema, chosen)
+        return self.read_parts(schema, chosen)
 
-    def read_parts(self, table: str, schema: StructType, parts: list[str]) -> DataFrame:
+    def read_parts(self, schema: StructType, parts: list[str]) -> DataFrame:
+        """Some parts of a table, which are in one folder under the root."""
         if not parts:
             return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/{table}"
+        base = f"{self.root}/{parts[0].split('/')[0]}"
         rows = self.spark.read.schema(schema).option("basePath", base)
-        return rows.parquet(*[f"{base}/{part}" for part in parts]).select(*schema.names)
+        return rows.parquet(*[f"{self.root}/{part}" for part in parts]).select(*schema.names)
 
     def begin(self, load: str) -> Load:
         return Load(self, load)
@@ -103,7 +104,7 @@ class Store:
         parts = (state or self.state()).parts(table)
         if set(parts) != {WHOLE}:
             raise ValueError(f"{table} is not a committed table written whole")
-        path = f"{self.root}/{table}/{parts[WHOLE]}"
+        path = f"{self.root}/{parts[WHOLE]}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM parquet.`{path}`"
@@ -116,8 +117,8 @@ class Store:
         """
         named = set()
         for number in self.numbers()[-keep:]:
-            for table, parts in self.commit_of(number).tables.items():
-                named |= {f"{table}/{part.split('/')[0]}" for part in parts.values()}
+            for parts in self.commit_of(number).tables.values():
+                named |= {"/".join(part.split("/")[:2]) for part in parts.values()}
         system, folder = file_system(self.spark, self.root)
         found = []
         for table in system.listStatus(folder):
@@ -167,10 +168,10 @@ class Load:
     def written(self, table: str, folders: bool = False) -> dict[str, str]:
         """What is in the load's version of a table: the whole, or its folders."""
         if not folders:
-            return {WHOLE: self.version}
+            return {WHOLE: f"{table}/{self.version}"}
         system, folder = file_system(self.store.spark, self.path(table))
         names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
-        return {name: f"{self.version}/{name}" for name in names if "=" in name}
+        return {name: f"{table}/{self.version}/{name}" for name in names if "=" in name}
 
     def replace(self, table: str, df: DataFrame, schema: StructType) -> int:
         """Write a table whole."""
@@ -188,6 +189,27 @@ class Load:
         self.tables[table] = {**earlier, self.name: parts[WHOLE]}
         return rows
 
+    def append_checked(
+        self, table: str, rejected: str, df: DataFrame, schema: StructType
+    ) -> dict[str, int]:
+        """As ``append``, of rows with a flag ``accepted``: the others go to a second table.
+
+        Both are written in one pass over ``df``. Returns the number of rows of each.
+        """
+        taken = F.col("accepted")
+        seen = Observation()
+        rows = conform(df, schema).observe(
+            seen, F.count_if(taken).alias(table), F.count_if(~taken).alias(rejected)
+        )
+        rows.write.mode("errorifexists").partitionBy("accepted").parquet(self.path(table))
+        parts = self.written(table, folders=True)
+        for name, flag in ((table, "true"), (rejected, "false")):
+            kept = {n: p for n, p in self.last.parts(name).items() if n != self.name}
+            if f"accepted={flag}" in parts:
+                kept[self.name] = parts[f"accepted={flag}"]
+            self.tables[name] = kept
+        return seen.get
+
     def replace_folders(
         self, table: str, df: DataFrame, schema: StructType, by: str, touched: list[str]
     ) -> int:
@@ -205,7 +227,7 @@ class Load:
     def read(self, table: str, schema: StructType) -> DataFrame:
         """A table as it will be once this load is committed."""
         parts = self.tables.get(table, self.last.parts(table))
-        return self.store.read_parts(table, schema, list(parts.values()))
+        return self.store.read_parts(schema, list(parts.values()))
 
     def has(self, table: str) -> bool:
         return bool(self.tables.get(table, self.last.parts(table)))

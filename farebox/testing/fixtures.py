@@ -173,6 +173,19 @@ def redelivered_copies(once: DataFrame) -> DataFrame:
     return once.unionByName(once)
 
 
+def faulty_payments(once: DataFrame) -> DataFrame:
+    """Payments as text, some with an amount, a moment or a user that is none, or with two."""
+    number = F.col("ride_id").cast("bigint")
+    text = once.select(*[F.col(c).cast("string").alias(c) for c in once.columns])
+    return text.withColumns(
+        {
+            "amount": F.when(number % 10 == 3, "n/a").otherwise(F.col("amount")),
+            "created_at": F.when(number % 15 == 3, "yesterday").otherwise(F.col("created_at")),
+            "user_id": F.when(number % 25 == 5, "99999999999").otherwise(F.col("user_id")),
+        }
+    )
+
+
 def split_deliveries(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
     """What two nights deliver.
 

@@ -97,6 +97,21 @@ _STEPS = {
         SELECT payment_id, ride_id, user_id, amount, payment_method, 'success',
                created_at + INTERVAL 1 MINUTE
         FROM payments WHERE CAST(ride_id AS BIGINT) % 20 = 0""",
+    "faulty_payments": """
+        SELECT payment_id, ride_id,
+               CASE WHEN CAST(ride_id AS BIGINT) % 25 = 5 THEN '99999999999'
+                    ELSE CAST(user_id AS VARCHAR) END AS user_id,
+               CASE WHEN CAST(ride_id AS BIGINT) % 10 = 3 THEN 'n/a'
+                    ELSE CAST(amount AS VARCHAR) END AS amount,
+               payment_method, status,
+               CASE WHEN CAST(ride_id AS BIGINT) % 15 = 3 THEN 'yesterday'
+                    ELSE CAST(created_at AS VARCHAR) END AS created_at
+        FROM payments""",
+    "checked_payments": """
+        SELECT *, TRY_CAST(user_id AS INT) AS user_fits,
+               TRY_CAST(amount AS DECIMAL(10,2)) AS amount_fits,
+               TRY_CAST(created_at AS TIMESTAMP) AS moment_fits
+        FROM faulty_payments""",
     "dim_user": """
         SELECT CAST(row_number() OVER (ORDER BY user_id) AS INT) AS user_sk, * FROM users""",
     "dim_vehicle": """
@@ -328,6 +343,22 @@ ORACLE_SQL = {
     "surrogate_keys_kept": _sql("SELECT * FROM dim_user_kept"),
     "dim_user_after_broken_load": _sql("SELECT * FROM dim_user"),
     "staging_repeated": _staged("users"),
+    "quarantine_accepted": _sql(
+        "SELECT payment_id, ride_id, user_fits AS user_id, amount_fits AS amount, "
+        "payment_method, status, moment_fits AS created_at, "
+        "TIMESTAMP '2024-01-09 02:00:00' AS load_ts FROM checked_payments WHERE user_fits "
+        "IS NOT NULL AND amount_fits IS NOT NULL AND moment_fits IS NOT NULL"
+    ),
+    "quarantine_rejected": _sql(
+        "SELECT concat_ws('; ', CASE WHEN user_fits IS NULL THEN 'user_id is no int' END, "
+        "CASE WHEN amount_fits IS NULL THEN 'amount is no decimal(10,2)' END, "
+        "CASE WHEN moment_fits IS NULL THEN 'created_at is no timestamp_ntz' END) AS reasons, "
+        "CAST(json_object('payment_id', payment_id, 'ride_id', ride_id, 'user_id', user_id, "
+        "'amount', amount, 'payment_method', payment_method, 'status', status, "
+        "'created_at', created_at) AS VARCHAR) AS delivered, "
+        "TIMESTAMP '2024-01-09 02:00:00' AS load_ts FROM checked_payments WHERE user_fits "
+        "IS NULL OR amount_fits IS NULL OR moment_fits IS NULL"
+    ),
     "dim_route_three_snapshots": _sql("SELECT * FROM dim_route_three"),
     "increment_movement": _sql("SELECT * FROM fact_vehicle_movement"),
     "nightly_dashboard": _cleaned_sql("SELECT * FROM dashboard_daily"),

@@ -4,7 +4,12 @@ import pytest
 from helpers import collected
 from pyspark.sql import functions as F
 
-from farebox.operators.keys import BUCKET_WIDTH, assign_surrogate_key, lookup_sk
+from farebox.operators.keys import (
+    BUCKET_WIDTH,
+    assign_surrogate_key,
+    keep_surrogate_keys,
+    lookup_sk,
+)
 
 
 def numbered(values, after=0):
@@ -100,3 +105,32 @@ def test_lookup_refuses_a_repeated_key(spark):
     dimension = spark.createDataFrame([(11, 1), (12, 1)], "sk int, id int")
     with pytest.raises(Exception, match="id occurs in several rows of the dimension"):
         lookup_sk(facts, dimension, "id", "sk").collect()
+
+
+def test_known_keys_stay_and_new_ones_follow(rows):
+    known = rows("user_id int, user_sk int", (10, 1), (30, 2), (50, 3))
+    users = rows("user_id int, name string", (50, "e"), (20, "b"), (10, "a"), (40, "d"))
+    kept = keep_surrogate_keys(users, known, "user_id", "user_sk", after=7)
+    assert collected(kept, "user_id", "user_sk") == [(10, 1), (20, 8), (40, 9), (50, 3)]
+    assert kept.columns == ["user_sk", "user_id", "name"]
+
+
+def test_only_new_keys_are_ranked(spark, rows):
+    users = spark.range(1000).select(F.col("id").cast("int").alias("user_id"), F.lit("x").alias("name"))
+    known = users.filter("user_id % 2 = 0").selectExpr("user_id", "user_id + 1 AS user_sk")
+    plan = keep_surrogate_keys(users, known, "user_id", "user_sk", 1000)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    ranked = text[text.index("row_number()") :]
+    # What is ranked is the anti join's rows, of the key alone.
+    assert "LeftAnti" in ranked and "name" not in ranked
+    assert plan.count() == 1000
+
+
+def test_keys_within_days(rows):
+    versions = rows("day int, route_id int", (2, 1), (1, 9), (1, 200_000), (2, 9))
+    keyed = assign_surrogate_key(versions, "route_id", "sk", 10, unique=True, first="day")
+    assert collected(keyed, "sk", "day", "route_id") == [
+        (11, 1, 9), (12, 1, 200_000), (13, 2, 1), (14, 2, 9),
+    ]
+    with pytest.raises(ValueError, match="unique integer key"):
+        assign_surrogate_key(versions, "route_id", "sk", first="day")

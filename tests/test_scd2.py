@@ -5,7 +5,7 @@ import pytest
 from helpers import collected
 
 from farebox.functions.dates import OPEN_END
-from farebox.operators.scd2 import current_rows, merge_routes
+from farebox.operators.scd2 import current_rows, merge_route_snapshots, merge_routes
 from farebox.schemas import DIM_ROUTE, RAW
 
 JAN, FEB, MAR = (dt.date(2024, month, 1) for month in (1, 2, 3))
@@ -130,3 +130,38 @@ def test_two_current_versions_of_a_key_are_refused(rows, snapshot):
     )
     with pytest.raises(Exception, match="two current versions"):
         merge_routes(doubled, snapshot((10, "A", "bus", "41.00")), FEB).collect()
+
+
+SNAPSHOTS = {
+    FEB: [(10, "A", "bus", "41.00"), (20, "B", "tram", "45.00"), (40, "D", "bus", "9.00")],
+    MAR: [(10, "A", "bus", "40.00"), (30, "C", "bus", "50.00"), (40, "D", "bus", "9.00")],
+    dt.date(2024, 4, 1): [(10, "A", "bus", "40.00"), (5, "E", None, "1.00"), (20, None, "tram", "45.00")],
+}
+
+
+def test_snapshots_at_once_equal_one_after_another(loaded, snapshot):
+    merged = loaded
+    for day, routes in SNAPSHOTS.items():
+        merged = merge_routes(merged, snapshot(*routes), day)
+    # In any order of delivery.
+    frames = {day: snapshot(*SNAPSHOTS[day]) for day in reversed(SNAPSHOTS)}
+    once = merge_route_snapshots(loaded, frames, after=3)
+    assert collected(once) == collected(merged)
+
+
+def test_snapshots_on_the_day_of_a_version_amend_it(loaded, snapshot):
+    frames = {JAN: snapshot((10, "A", "bus", "42.00")), FEB: snapshot((10, "A", "bus", "42.00"))}
+    assert collected(merge_route_snapshots(loaded, frames, after=3).filter("route_id = 10")) == [
+        version(1, 10, "A", "bus", "42.00", JAN)
+    ]
+
+
+def test_bad_snapshots_among_several_fail(loaded, snapshot):
+    good = snapshot((10, "A", "bus", "41.00"))
+    twice = snapshot((20, "B", "bus", "1.00"), (20, "B", "bus", "2.00"))
+    for frames, message in (
+        ({FEB: good, MAR: twice}, "repeats a business key"),
+        ({dt.date(2023, 5, 1): good, MAR: good}, "older than a current version"),
+    ):
+        with pytest.raises(Exception, match=message):
+            merge_route_snapshots(loaded, frames, after=3).collect()

@@ -5,7 +5,7 @@ import pytest
 from helpers import collected
 from pyspark.errors import PySparkException
 
-from farebox.operators.staging import bronze_to_silver, clean, load_staging
+from farebox.operators.staging import bronze_to_silver, check_types, clean, load_staging
 from farebox.schemas import RAW, STAGING, conform
 
 NOON = dt.datetime(2024, 1, 1, 12)
@@ -68,3 +68,30 @@ def test_latest_delivery_wins_and_null_keys_go(rows):
 def test_without_event_time_the_other_columns_decide(rows):
     raw = rows(RAW["vehicles"], (1, 1, "A", 50), (1, 1, "B", 40), (1, 1, "B", 40))
     assert collected(bronze_to_silver(raw, "vehicle_id")) == [(1, 1, "B", 40)]
+
+
+def test_values_that_do_not_fit_are_set_aside(spark, rows):
+    text = "user_id string, name string, email string, city string, created_at string"
+    faulty = rows(
+        text,
+        ("1", "a", "e", "X", "2024-01-01 00:00:00"),
+        ("x", "b", None, "Y", "2024-01-02 00:00:00"),
+        ("99999999999", "c", "e", "Z", "soon"),
+        (None, "d", "e", "X", None),
+    )
+    found = check_types(faulty, "users", dt.datetime(2024, 1, 9))
+    kept = found.filter("accepted")
+    assert collected(kept, "user_id", "name") == [(None, "d"), (1, "a")]
+    assert kept.filter("delivered IS NOT NULL OR size(reasons) > 0").count() == 0
+    assert collected(found.filter("not accepted"), "name", "reasons", "delivered") == [
+        (
+            "b", ["user_id is no int"],
+            '{"user_id":"x","name":"b","email":null,"city":"Y","created_at":"2024-01-02 00:00:00"}',
+        ),
+        (
+            "c", ["user_id is no int", "created_at is no timestamp_ntz"],
+            '{"user_id":"99999999999","name":"c","email":"e","city":"Z","created_at":"soon"}',
+        ),
+    ]
+    with pytest.raises(ValueError, match="missing columns: city"):
+        check_types(faulty.drop("city"), "users")
