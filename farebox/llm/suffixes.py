@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.llm.common import column, mixed, slices, split_words, stored, window_hashes
-from farebox.session import cut_lineage
 
 # A repeated passage has at least this many words.
 MIN_WORDS = 50
@@ -26,9 +24,11 @@ HEAD = MIN_WORDS - SPREAD + 1
 # Words on either side of the head that a row carries for the extension, two bytes each.
 LEFT, RIGHT = SPREAD - 1, MIN_WORDS - HEAD
 
-ROWS = "key long, after binary, before binary, id long, pos int, length int"
+ROWS = "key long, after binary, before binary, id long, mark long, pos int, length int"
 COLUMNS = [field.split()[0] for field in ROWS.split(", ")]
-SPANS = "id long, first int, last int, other_id long"
+SPANS = "id long, mark long, first int, last int, other_id long"
+# Rows of whole heads that are compared at once.
+COMPARED = 1 << 17
 
 
 def minimisers(grams: np.ndarray, spread: int) -> np.ndarray:
@@ -99,6 +99,7 @@ def _rows(batch, tokens, bounds, heads, place, whose) -> pa.RecordBatch:
             _fixed(right),
             _fixed(left),
             batch.column("id").take(pa.array(whose)),
+            batch.column("mark").take(pa.array(whose)),
             pa.array((place - bounds[whose]).astype(np.int32)),
             pa.array((bounds[whose + 1] - bounds[whose]).astype(np.int32)),
         ],
@@ -123,139 +124,154 @@ def _matrix(values: pa.Array, words: int) -> np.ndarray:
     return data.view(np.uint16).reshape(-1, words)
 
 
-def _agree(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """How many leading words two rows share, up to ``most``."""
-    differ = a != b
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
-    return np.minimum(first, most)
+def _prefixes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row's first 0, 1, 2, … words."""
+    out = np.zeros((rows.shape[1] + 1, len(rows)), np.uint64)
+    for n in range(rows.shape[1]):
+        out[n + 1] = mixed((out[n] ^ rows[:, n].astype(np.uint64)) + np.uint64(n + 1))
+    return out
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare each suffix with the nearest one of another document before and after it.
+def _compared(rows: pa.Table) -> pa.RecordBatch:
+    """What each suffix shares with suffixes of other documents, of whole heads in order.
 
-    Rows arrive sorted by key and one side. Carried from one batch to the next are the last
-    rows as far as they are of one document and key, which may meet the next document
-    there, and the row of another document before them.
+    The words that sorted neighbours share cut the order into runs: those between two
+    suffixes are the least of those on the way from one to the other. So for each number of
+    words shared to the right, a run and the words to the left that are missing up to
+    MIN_WORDS name all suffixes that share such a passage, however many lie between them.
     """
-    names = ["id", "first", "last", "other_id"]
-
-    def compared(rows: pa.Table, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        length, pos, ids = (rows.column(c).to_numpy() for c in ("length", "pos", "id"))
-        after, before = _matrix(rows.column("after"), RIGHT), _matrix(rows.column("before"), LEFT)
-        room = np.minimum(length[a] - pos[a], length[b] - pos[b]) - HEAD
-        right = _agree(after[a], after[b], np.clip(room, 0, RIGHT))
-        left = _agree(before[a], before[b], np.minimum(np.minimum(pos[a], pos[b]), LEFT))
-        long = np.flatnonzero(left + HEAD + right >= MIN_WORDS)
-        a, b, left, right = a[long], b[long], left[long], right[long]
-        mine, theirs = np.concatenate((a, b)), np.concatenate((b, a))
-        left, right = np.tile(left, 2), np.tile(right, 2)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids[mine]),
-                pa.array((pos[mine] - left).astype(np.int32)),
-                pa.array((pos[mine] + HEAD + right).astype(np.int32)),
-                pa.array(ids[theirs]),
-            ],
-            names,
-        )
-
-    held: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        fresh_from = 0
-        if held is not None:
-            rows, fresh_from = pa.concat_tables([held, rows]), held.num_rows
-        if not rows.num_rows:
+    key, ids, marks, pos, length = (
+        rows.column(c).to_numpy() for c in ("key", "id", "mark", "pos", "length")
+    )
+    after, before = _matrix(rows.column("after"), RIGHT), _matrix(rows.column("before"), LEFT)
+    begins = np.concatenate(([True], key[1:] != key[:-1]))
+    head = np.cumsum(begins) - 1
+    starts = np.flatnonzero(begins)
+    # Heads of one document have nothing to share.
+    met = (np.minimum.reduceat(ids, starts) < np.maximum.reduceat(ids, starts))[head]
+    key, ids, marks, pos, length, after, before, head = (
+        values[met] for values in (key, ids, marks, pos, length, after, before, head)
+    )
+    differ = after[1:] != after[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), RIGHT)
+    shared = np.where(head[1:] != head[:-1], -1, shared)
+    lefts = _prefixes(before)
+    room = length - pos - HEAD
+    fewest, most = np.full(len(key), LEFT + 1), np.full(len(key), -1)
+    low = np.full(len(key), np.iinfo(np.int64).max)
+    high = np.full(len(key), np.iinfo(np.int64).min)
+    for left in range(LEFT + 1):
+        right = MIN_WORDS - HEAD - left
+        run = np.concatenate((np.zeros(min(1, len(key)), int), np.cumsum(shared < right)))
+        able = np.flatnonzero((pos >= left) & (room >= right))
+        if not len(able):
             continue
-        key, ids = rows.column("key").to_numpy(), rows.column("id").to_numpy()
-        at = np.arange(len(key))
-        # Where the streak of rows of this key and document begins: the row before it,
-        # if of the same key, is the nearest of another document.
-        change = np.concatenate(([True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])))
-        begin = np.maximum.accumulate(np.where(change, at, 0))
-        a = begin - 1
-        good = (a >= 0) & (at >= fresh_from)
-        good[good] = key[a[good]] == key[at[good]]
-        # The first row of a streak is the nearest after for the whole streak before it.
-        earlier, later = a[good], at[good]
-        lead = change & good
-        ends = np.flatnonzero(lead)
-        more_a = [np.arange(begin[e - 1], e - 1) for e in ends if begin[e - 1] < e - 1]
-        more_b = [np.full(e - 1 - begin[e - 1], e) for e in ends if begin[e - 1] < e - 1]
-        earlier = np.concatenate([earlier, *more_a]).astype(np.int64)
-        later = np.concatenate([later, *more_b]).astype(np.int64)
-        yield compared(rows, earlier, later)
-        start = begin[-1]
-        if start > 0 and key[start - 1] == key[start]:
-            start -= 1
-        held = rows.slice(start).combine_chunks()
-
-
-def _nearest(rows: pa.Table, last: bool) -> pa.Table:
-    """The last row, or the first, and that of another document under its key nearest to it."""
-    if not rows.num_rows:
-        return rows
-    key, ids = rows.column("key").to_numpy(), rows.column("id").to_numpy()
-    edge = len(key) - 1 if last else 0
-    others = np.flatnonzero((key == key[edge]) & (ids != ids[edge]))
-    keep = sorted({edge, *others[-1 if last else 0 :][:1].tolist()})
-    return rows.take(pa.array(keep)).combine_chunks()
-
-
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's sorted rows, those that tasks before and after it need: four at most."""
-    first = last = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        first = _nearest(pa.concat_tables([first, rows]) if first else rows, last=False)
-        last = _nearest(pa.concat_tables([last, rows]) if last else rows, last=True)
-    for rows, ends in ((first, False), (last, True)):
-        if rows:
-            marked = rows.append_column("ends", pa.array([ends] * rows.num_rows))
-            yield from marked.combine_chunks().to_batches()
-
+        name = mixed(lefts[left][able] ^ mixed(run[able].astype(np.uint64) + np.uint64(1)))
+        order = np.argsort(name, kind="stable")
+        able, name = able[order], name[order]
+        edges = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        least = np.minimum.reduceat(ids[able], edges)
+        greatest = np.maximum.reduceat(ids[able], edges)
+        group = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(able))))
+        good = (least < greatest)[group]
+        able, group = able[good], group[good]
+        fewest[able] = np.minimum(fewest[able], left)
+        most[able] = np.maximum(most[able], left)
+        low[able] = np.minimum(low[able], least[group])
+        high[able] = np.maximum(high[able], greatest[group])
+    found = np.flatnonzero(most >= 0)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ids[found]),
+            pa.array(marks[found]),
+            # All these passages hold the head, so they are one.
+            pa.array((pos - most)[found].astype(np.int32)),
+            pa.array((pos - fewest + MIN_WORDS)[found].astype(np.int32)),
+            pa.array(np.where(low == ids, high, low)[found]),
+        ],
+        [field.split()[0] for field in SPANS.split(", ")],
+    )
 
-def _spans_over_tasks(rows: DataFrame, side: str) -> DataFrame:
-    """``_spans`` of rows whose heads are too frequent to be sorted in one task each.
 
-    The whole order is dealt out by ranges, which cut a head wherever it is long. The
-    checkpoint fixes the places. At most four rows of a task, the outermost and
-    their nearest of another document, pass through the driver to the tasks beside it.
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_compared`` of rows sorted by key, as many whole keys at a time as COMPARED rows are."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count < COMPARED:
+            continue
+        rows = pa.Table.from_batches(held)
+        keys = rows.column("key").to_numpy()
+        # The last key may go on.
+        whole = int(np.flatnonzero(keys != keys[-1])[-1:].sum()) + 1 if keys[0] != keys[-1] else 0
+        if whole:
+            yield _compared(rows.slice(0, whole))
+        held = rows.slice(whole).combine_chunks().to_batches()
+        count = rows.num_rows - whole if whole else 0
+    if held:
+        yield _compared(pa.Table.from_batches(held))
+
+
+def _frequent_spans(rows: DataFrame) -> DataFrame:
+    """The same for heads too frequent to be held by one task.
+
+    Rows that have the same words around them, as most of a frequent head have, become one
+    context. Each context names the passages of MIN_WORDS words around its head, by its
+    words to the right and to the left; those of several documents are what is shared.
     """
-    order = ["key", side, "id", "pos"]
-    placed = cut_lineage(
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("part", F.spark_partition_id())
+    context = ["key", "after", "before", "left", "right"]
+    around = rows.withColumns(
+        {
+            "left": F.least("pos", F.lit(LEFT)),
+            "right": F.least(F.col("length") - F.col("pos") - HEAD, F.lit(RIGHT)),
+        }
+    )
+    contexts = stored(
+        around.groupBy(*context).agg(F.min("id").alias("low"), F.max("id").alias("high")),
+        "contexts",
+    )
+    fewest, words = F.lit(RIGHT) - F.col("right"), F.col("k")
+    sides = (
+        F.substring("after", F.lit(1), 2 * (RIGHT - words)),
+        F.substring("before", F.lit(1), 2 * words),
+    )
+    passages = (
+        contexts.filter(fewest <= F.col("left"))
+        .withColumn("k", F.explode(F.sequence(fewest, "left")))
+        .withColumns(
+            {
+                "one": F.xxhash64("key", "k", *sides),
+                "two": F.xxhash64(F.lit(1), *sides, "k", "key"),
+            }
+        )
+    )
+    shared = (
+        passages.groupBy("one", "two")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .filter(F.col("low") < F.col("high"))
+    )
+    found = (
+        passages.drop("low", "high")
+        .join(shared, ["one", "two"])
+        .groupBy(*context)
+        .agg(
+            F.min("k").alias("fewest"),
+            F.max("k").alias("most"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+    )
+    return around.join(found, context).select(
+        "id",
+        "mark",
+        (F.col("pos") - F.col("most")).cast("int").alias("first"),
+        (F.col("pos") - F.col("fewest") + MIN_WORDS).cast("int").alias("last"),
+        F.when(F.col("low") == F.col("id"), F.col("high")).otherwise(F.col("low")).alias("other_id"),
     )
-    edges = placed.mapInArrow(_edges, f"{ROWS}, part int, ends boolean").toArrow()
-    whose = 2 * edges.column("part").to_numpy() + edges.column("ends").to_numpy()
-    edges = edges.select(COLUMNS).take(pa.array(np.argsort(whose, kind="stable")))
-    whose = np.sort(whose)
-    parts = np.unique(whose // 2).tolist()
-
-    def outer(part: int, last: bool) -> pa.Table:
-        lo, hi = np.searchsorted(whose, [2 * part + last, 2 * part + last + 1])
-        return edges.slice(lo, hi - lo)
-
-    before, after = {}, {}
-    reached = edges.slice(0, 0)
-    for part in parts:
-        before[part] = reached
-        reached = _nearest(pa.concat_tables([reached, outer(part, True)]), last=True)
-    reached = edges.slice(0, 0)
-    for part in reversed(parts):
-        after[part] = reached
-        reached = _nearest(pa.concat_tables([outer(part, False), reached]), last=False)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = (batch for batch in batches if batch.num_rows)
-        for batch in full:
-            part = batch.column("part")[0].as_py()
-            own = (b.select(COLUMNS) for b in chain([batch], full))
-            yield from _spans(chain(before[part].to_batches(), own, after[part].to_batches()))
-
-    return placed.mapInArrow(work, SPANS)
 
 
 def repeated_passages(
@@ -267,14 +283,19 @@ def repeated_passages(
     """(id, first, last, n_words, other_id): passages that another document has as well.
 
     A word is a run of characters other than space and the controls 9 to 13; ``first``
-    and ``last`` count words, the end exclusive. A passage has at least 50 words;
-    passages that overlap or touch are one. ``other_id`` is the smallest id it was found in.
-    Suffixes at minimisers are sorted by what follows them, and once more by what
-    precedes them, neighbours of different documents compared, and matches extended word
-    by word to both sides. A head with more than one in ``tasks`` of all suffixes (default:
-    one in the session's shuffle partitions) is sorted over many tasks, any other in one;
-    the same rows are compared either way. Rows with one id are one document,
-    rows without an id another; null and short texts have no passage.
+    and ``last`` count words, the end exclusive. A passage has at least 50 words, all of
+    which another document has in a row; passages that overlap or touch are one. ``other_id``
+    is an id it was found in, the smallest of those its suffixes name. Suffixes at minimisers
+    are sorted by what follows them, neighbours compared, and matches extended to both sides:
+    every passage is found, whatever else shares its head. Words beside the head are compared
+    by 16 bits, so that a passage may be a word too long, with a chance of 1 in 65,536.
+
+    A head with more than one in ``tasks`` of all suffixes (default: one in the session's
+    shuffle partitions) is compared by many tasks, any other by one; the result is the same.
+    Rows with one id are one document, and rows without an id another; rows of one document
+    that differ have passages, and places, of their own. Null and short texts have no passage,
+    an empty table none at all. A text of any length is held whole, with some 60 bytes for
+    each of its words.
     """
     rows = docs.select(
         column(docs, id_column).cast("long").alias("id"),
@@ -282,20 +303,17 @@ def repeated_passages(
     )
     # A number for rows without an id, put back below; ids are not that small.
     none = -(1 << 63)
-    numbered = rows.withColumn("id", F.coalesce("id", F.lit(none)))
+    numbered = rows.withColumn("id", F.coalesce("id", F.lit(none))).withColumn(
+        "mark", F.xxhash64("text")
+    )
     hot = _frequent_heads(
         numbered, tasks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     )
-    # One shuffle serves both orders.
     dealt = numbered.mapInArrow(_suffixes(hot, chosen=False), ROWS).repartition("key")
-    sides = ("after", "before")
-    spans = [
-        dealt.sortWithinPartitions("key", side, "id", "pos").mapInArrow(_spans, SPANS)
-        for side in sides
-    ]
+    spans = [dealt.sortWithinPartitions("key", "after").mapInArrow(_spans, SPANS)]
     if len(hot):
         frequent = stored(numbered.mapInArrow(_suffixes(hot, chosen=True), ROWS), "heads")
-        spans += [_spans_over_tasks(frequent, side) for side in sides]
+        spans.append(_frequent_spans(frequent))
     return _merged(reduce(DataFrame.unionByName, spans)).select(
         F.nullif("id", F.lit(none)).alias(id_column),
         "first",
@@ -315,15 +333,15 @@ def _frequent_heads(numbered: DataFrame, tasks: int) -> np.ndarray:
 
 
 def _merged(spans: DataFrame) -> DataFrame:
-    """The union of the spans of each document as separate passages.
+    """The union of the spans of each text as separate passages.
 
     Spans are first reduced to the longest from each start, so that a document that
     many others repeat has no more rows than it has words.
     """
-    reduced = spans.groupBy("id", "first").agg(
+    reduced = spans.groupBy("id", "mark", "first").agg(
         F.max("last").alias("last"), F.min("other_id").alias("other_id")
     )
-    order = Window.partitionBy("id").orderBy("first")
+    order = Window.partitionBy("id", "mark").orderBy("first")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     opened = reduced.withColumn(
         "opens", F.coalesce(F.col("first") > F.max("last").over(before), F.lit(True))
@@ -331,7 +349,7 @@ def _merged(spans: DataFrame) -> DataFrame:
     passage = F.sum(F.col("opens").cast("int")).over(order)
     return (
         opened.withColumn("passage", passage)
-        .groupBy("id", "passage")
+        .groupBy("id", "mark", "passage")
         .agg(
             F.min("first").alias("first"),
             F.max("last").alias("last"),

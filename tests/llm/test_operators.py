@@ -238,15 +238,18 @@ def test_novel_strings():
     text = f"send the credential {value} over"
     spans = secrets.scan(text)[1]
     assert [(text[a:b], secrets.KINDS[k]) for a, k, b in spans] == [(value, "novel")]
-    # The same string without the context, or repeated in it, is not reported.
+    # The same string without the context is not reported.
     assert secrets.scan(f"send the parcel {value} over")[1] == []
-    assert secrets.scan(f"{value} and {value}, credential {value}")[1][1:] == []
+    # Its own copies do not explain it.
+    text = f"{value} and {value}, credential {value}"
+    assert [text[a:b] for a, _, b in secrets.scan(text)[1]] == [value] * 3
 
 
 def test_secrets_query(spark, documents, odd, empty):
     found = by_id(queries.QUERIES["op6_secret_novelty"](spark, SF_DIR), "doc_id", "base_sha256", "spans")
+    known = secrets.identifiers(documents)
     for row in documents.collect():
-        base, spans = secrets.scan(row.text or "")
+        base, spans = secrets.scan(row.text or "", known)
         digest = hashlib.sha256(secrets.joined(base).encode()).hexdigest()
         assert found[row.doc_id] == (digest, secrets.joined(spans))
     assert secrets.secrets(odd).count() == odd.count()
@@ -453,10 +456,7 @@ def covered(df):
 def test_suffix_query(spark, documents):
     expected = plain_repeats([(r.doc_id, r.text) for r in documents.collect()])
     found = covered(queries.QUERIES["op8_sparse_suffixes"](spark, SF_DIR))
-    # Neighbours in two orders: a few words may only be shared with a row further away.
-    assert found <= expected
-    assert len(expected - found) <= 0.001 * len(expected)
-    assert {d for d, _ in found} == {d for d, _ in expected}
+    assert found == expected
 
 
 def test_suffix_heads_over_tasks(spark, documents):
@@ -519,6 +519,91 @@ def test_suffix_passages(spark, odd, empty):
     assert suffixes.repeated_passages(empty).count() == 0
 
 
+def made_text(pick, n):
+    return " ".join(f"w{x}" for x in pick.integers(0, 10**9, n))
+
+
+def anchored_passage(pick):
+    """A passage of 50 words, and the place of the only anchor that lies in it."""
+    while True:
+        passage = made_text(pick, 50)
+        around = " ".join([made_text(pick, 80), passage, made_text(pick, 80)]).split(" ")
+        tokens = suffixes.pd.util.hash_array(np.array(around, dtype=object), categorize=False)
+        grams = suffixes.window_hashes(tokens, suffixes.GRAM)
+        places = [p - 80 for p in suffixes.minimisers(grams, suffixes.SPREAD).tolist()]
+        inside = [p for p in places if 0 <= p <= 29]
+        if len(inside) == 1 and 8 <= inside[0] <= 20:
+            return passage.split(" "), inside[0]
+
+
+@pytest.mark.parametrize("tasks", [1, 10**9])
+def test_decoys_do_not_hide_a_passage(spark, tasks):
+    """Many texts share the anchor and more on one side than the copy does."""
+    pick = np.random.default_rng(11)
+    passage, anchor = anchored_passage(pick)
+    docs = [(n, " ".join([made_text(pick, 80), *passage, made_text(pick, 80)])) for n in (1, 2)]
+    for n in range(80):
+        after = passage[anchor : anchor + 21 + 20]
+        before = passage[max(0, anchor - 20) : anchor + 21]
+        docs.append((100 + n, " ".join([made_text(pick, 60), *after, made_text(pick, 60)])))
+        docs.append((200 + n, " ".join([made_text(pick, 60), *before, made_text(pick, 60)])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = covered(suffixes.repeated_passages(frame, tasks=tasks))
+    assert found == plain_repeats(docs) == {(d, 80 + k) for d in (1, 2) for k in range(50)}
+
+
+@pytest.mark.parametrize("tasks", [1, 10**9])
+def test_rows_of_one_id_have_places_of_their_own(spark, tasks):
+    pick = np.random.default_rng(12)
+    one, two = made_text(pick, 60), made_text(pick, 60)
+    for name in (None, 7):
+        docs = [
+            (name, f"{made_text(pick, 10)} {one} {made_text(pick, 80)}"),
+            (name, f"{made_text(pick, 40)} {two} {made_text(pick, 50)}"),
+            (8, one), (9, two), (name, None),
+        ]
+        frame = spark.createDataFrame(docs, "doc_id long, text string")
+        found = sorted(
+            (tuple(r)[:4] for r in suffixes.repeated_passages(frame, tasks=tasks).collect()), key=str
+        )
+        assert found == sorted(
+            [(8, 0, 60, 60), (9, 0, 60, 60), (name, 10, 70, 60), (name, 40, 100, 60)], key=str
+        )
+
+
+@pytest.mark.parametrize("tasks", [1, 40, 10**9])
+def test_frequent_heads_are_exact(spark, tasks):
+    """Passages with a common middle and many different ends, against brute force."""
+    pick = np.random.default_rng(13)
+    middle = made_text(pick, 30).split(" ")
+    lefts = [made_text(pick, 30).split(" ") for _ in range(3)]
+    rights = [made_text(pick, 30).split(" ") for _ in range(3)]
+    docs = []
+    for n in range(120):
+        a, b = (int(x) for x in pick.integers(0, 31, 2))
+        left = lefts[int(pick.integers(3))][30 - a :]
+        right = rights[int(pick.integers(3))][:b]
+        parts = [made_text(pick, int(pick.integers(0, 40))), *left, *middle, *right]
+        docs.append((n // 2 if n % 10 else None, " ".join([*parts, made_text(pick, 30)]).strip()))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = suffixes.repeated_passages(frame, tasks=tasks).collect()
+    # By row, since documents of several rows have several places.
+    seen = collections.defaultdict(set)
+    for name, text in docs:
+        found = words(text)
+        for n in range(len(found) - 49):
+            seen[tuple(found[n : n + 50])].add(name)
+    expected = collections.Counter()
+    for name, text in docs:
+        found, places = words(text), set()
+        for n in range(len(found) - 49):
+            if len(seen[tuple(found[n : n + 50])]) > 1:
+                places |= set(range(n, n + 50))
+        expected.update((name, p) for p in places)
+    assert collections.Counter((r.doc_id, p) for r in rows for p in range(r.first, r.last)) == expected
+    assert all(r.other_id != r.doc_id for r in rows)
+
+
 # ---- Tokens ----------------------------------------------------------------------------
 
 
