@@ -85,7 +85,8 @@ def ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return secrets.secrets(docs, secrets.identifiers(docs))
 
 
 def pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
