@@ -13,16 +13,15 @@ from pyspark.sql import DataFrame
 
 from farebox.llm.common import column, slices
 
-# A comment, an element whose content is no text, a declaration, or a tag; at the end of a
-# page also one that was cut off.
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<svg\b[^>]*/>"
-    r"|<(script|style|noscript|template|iframe|object|svg|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
-)
+# Elements whose content is no text of the page, and where that content ends.
+SKIPPED = {
+    name: re.compile(rf"</{name}\s*>", re.IGNORECASE)
+    for name in (
+        "script style noscript template iframe object svg textarea select title".split()
+    )
+}
+OPENING = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+STOP = re.compile(r"[<>\"']")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 BLOCKS = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
@@ -45,6 +44,22 @@ MARKERS = set(
     "newsletter notice pagination popup promo promoted promotion related replies search share "
     "sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that say what shape a part has, or where it is, beside a marker.
+SHAPES = set(
+    "aside area bar block bottom box btn button card center column container content cta item inline "
+    "inner js label large left link links list main mobile module outer overlay panel placeholder "
+    "post posts articles article primary right row rss section secondary site slot small sticky "
+    "story stories text title top under unit wrap wrapper page global has is in of the no native "
+    "form global head html id leaderboard rectangle sticky tags skyscraper".split()
+)
+# Elements that hold text of their own. In an article only markers of what is not the
+# article's own make them foreign: a paragraph called menu is one of a recipe.
+TEXTS = set("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+ALIEN = set(
+    "ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs consent cookie "
+    "cookies disqus newsletter pagination promo promoted promotion share sharing social sponsor "
+    "sponsored subscribe toolbar".split()
+)
 
 
 @dataclass
@@ -64,6 +79,78 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
+@dataclass
+class Token:
+    """A part of a page that is no text: a tag, a comment, or an element that is left out."""
+
+    start: int
+    end: int
+    # Empty but for tags.
+    name: str = ""
+    leaving: bool = False
+    attributes: str = ""
+    # An element that is left out parts the text around it.
+    parts: bool = False
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """The tokens of a page in order, in one pass.
+
+    A tag ends at the first > outside quotes, a broken one at the next < outside them or at
+    the end of the page; a quote that nothing closes is no quote. Comments, declarations and
+    elements that are left out reach to their end, or to the end of the page. Nothing is
+    looked at twice, but for a search for each kind of quote that finds none any more.
+    """
+    unclosed = {"'": False, '"': False}
+
+    def tag_end(at: int) -> int:
+        while (stop := STOP.search(page, at)) is not None:
+            char, at = stop[0], stop.end()
+            if char == ">":
+                return at
+            if char == "<":
+                return at - 1
+            close = -1 if unclosed[char] else page.find(char, at)
+            if close >= 0:
+                at = close + 1
+            else:
+                unclosed[char] = True
+        return len(page)
+
+    def until(end: re.Match | None) -> int:
+        return end.end() if end else len(page)
+
+    at = 0
+    while (match := OPENING.search(page, at)) is not None:
+        start = match.start()
+        if match[2] is None:
+            mark = "-->" if match[0] == "<!--" else ">"
+            found = page.find(mark, match.end())
+            at = found + len(mark) if found >= 0 else len(page)
+            yield Token(start, at)
+            continue
+        at = tag_end(match.end())
+        name, leaving = match[2].lower(), bool(match[1])
+        closed = page[at - 1] == ">"
+        attributes = page[match.end() : at - closed]
+        if name in SKIPPED and not leaving and closed:
+            if not (name == "svg" and attributes.endswith("/")):
+                at = until(SKIPPED[name].search(page, at))
+            yield Token(start, at, parts=name != "svg" or not attributes.endswith("/"))
+        else:
+            yield Token(start, at, name, leaving, attributes)
+
+
+def _marks(names: str) -> set[str]:
+    """The markers among class names: those that say nothing else of what the part holds."""
+    found = set()
+    for name in names.split():
+        words = re.findall(r"[a-z]+", name)
+        if all(word in MARKERS or word in SHAPES for word in words):
+            found.update(MARKERS.intersection(words))
+    return found
+
+
 def _place(name: str, attributes: str, around: int, ignored: bool = False) -> int:
     """Where the content of an element is, given where the element is."""
     if around < 0:
@@ -71,10 +158,12 @@ def _place(name: str, attributes: str, around: int, ignored: bool = False) -> in
     if ignored or name in WHOLE:
         attributes = ""
     named = " ".join(filter(None, (part for m in NAMED.findall(attributes) for part in m)))
-    marks = MARKERS.intersection(re.findall(r"[a-z]+", named.lower())) if named else set()
+    marks = _marks(named.lower()) if named else set()
     if around > 0:
         # The heading of an article is part of it.
         marks = marks - {"header"}
+        if name in TEXTS:
+            marks &= ALIEN
         return -1 if marks or name in BOILERPLATE - {"header"} else around
     if marks or name in BOILERPLATE:
         return -1
@@ -114,15 +203,14 @@ def blocks(page: str, ignored: frozenset[int] = frozenset()) -> list[Block]:
         linked = 0
 
     end = 0
-    for token in TOKEN.finditer(page):
-        text(page[end : token.start()])
-        end = token.end()
-        name = (token[3] or "").lower()
+    for token in tokens(page):
+        text(page[end : token.start])
+        end = token.end
+        name, leaving = token.name, token.leaving
         if not name:
-            if token[1]:
+            if token.parts:
                 close()
             continue
-        leaving = bool(token[2])
         if name == "a":
             in_link = not leaving
         elif name == "br":
@@ -131,9 +219,9 @@ def blocks(page: str, ignored: frozenset[int] = frozenset()) -> list[Block]:
             close()
             in_link = False
             if not leaving:
-                inner = _place(name, token[4], place, token.start() in ignored)
+                inner = _place(name, token.attributes, place, token.start in ignored)
                 by_marker = inner < 0 == place and name not in BOILERPLATE
-                own_marked = token.start() if by_marker else marked
+                own_marked = token.start if by_marker else marked
                 if name in CONTAINERS:
                     stack.append((name, place, marked))
                     open_names[name] = open_names.get(name, 0) + 1
@@ -196,12 +284,25 @@ LABELLED = np.array(
         (0, 0, 2, 1, 2, 1, 2, 1, 0), (0, 0, 1, 1, 0, 0, 1, 1, 0), (0, 0, 4, 0.9, 3, 1, 50, 0, 0),
         (0, 0, 5, 0.5, 2, 1, 3, 1, 0), (0, 0, 10, 0.8, 60, 0, 8, 0.9, 0), (0, 0, 30, 0.7, 10, 0.9, 12, 0.8, 0),
         (0, 0, 4, 0, 2, 1, 2, 1, 0), (0, 0, 5, 0, 3, 1, 0, 0, 0), (0, 0, 6, 0, 3, 0, 2, 1, 0),
-        (0, 0, 8, 0, 0, 0, 3, 1, 0), (0, 0, 7, 0, 4, 0, 0, 0, 0), (0, 0, 12, 0.6, 30, 0, 20, 0, 0),
+        (0, 0, 8, 0, 0, 0, 3, 1, 0), (0, 0, 12, 0.6, 30, 0, 20, 0, 0), (0, 0, 3, 0, 2, 1, 2, 1, 0),
+        (0, 0, 2, 0, 1, 1, 1, 1, 0), (0, 0, 8, 0, 3, 1, 2, 1, 0), (0, 0, 7, 0, 1, 1, 0, 0, 0),
         (0, 0, 60, 0, 8, 0, 70, 0, 1), (0, 0, 45, 0.1, 50, 0, 6, 1, 1), (0, 0, 30, 0, 2, 1, 40, 0, 1),
         (0, 0, 18, 0, 60, 0, 50, 0.1, 1), (0, 0, 6, 0, 60, 0, 55, 0, 1), (0, 0, 3, 0, 40, 0, 90, 0, 1),
         (0, 0, 7, 0, 2, 1, 60, 0, 1), (0, 0, 120, 0.2, 3, 1, 3, 1, 1), (0, 0, 25, 0.3, 40, 0, 35, 0, 1),
         (0, 0, 22, 0, 0, 0, 0, 0, 1), (0, 0, 9, 0, 45, 0, 2, 1, 1), (0, 0, 200, 0, 0, 0, 0, 0, 1),
         (0, 0, 8, 0, 0, 0, 40, 0, 1), (0, 0, 16, 0.2, 20, 0, 18, 0, 1),
+        # Short lines among lines without links: speech, lists, verse, headings, last words.
+        (0, 0, 1, 0, 6, 0, 5, 0, 1), (0, 0, 2, 0, 12, 0, 10, 0, 1), (0, 0, 2, 0, 3, 0, 2, 0, 1),
+        (0, 0, 3, 0, 9, 0, 0, 0, 1), (0, 0, 2, 0, 21, 0, 0, 0, 1), (0, 0, 5, 0, 0, 0, 12, 0, 1),
+        (0, 0, 8, 0, 4, 0, 3, 0, 1), (0, 0, 4, 0, 7, 0, 0, 0, 1), (0, 0, 6, 0, 2, 0, 8, 0, 1),
+        (0, 0, 1, 0, 1, 0, 1, 0, 1), (0, 0, 7, 0, 4, 0, 0, 0, 1), (0, 0, 3, 0, 0, 0, 4, 0, 1),
+        # A heading after a menu, and the last line before one.
+        (0, 0, 5, 0, 2, 1, 12, 0, 1), (0, 0, 4, 0, 3, 1, 25, 0, 1), (0, 0, 3, 0, 20, 0, 2, 1, 1),
+        (0, 0, 8, 0, 12, 0, 1, 1, 1), (0, 0, 2, 0, 14, 0, 4, 1, 1),
+        # Paragraphs before links.
+        (0, 0, 16, 0, 5, 0, 2, 1, 1), (0, 0, 25, 0, 3, 0, 1, 1, 1), (0, 0, 40, 0, 6, 0, 2, 1, 1),
+        (0, 0, 60, 0, 1, 1, 2, 1, 1), (0, 0, 18, 0, 8, 0, 3, 1, 1), (0, 0, 14, 0, 4, 0, 1, 1, 1),
+        (0, 0, 30, 0, 0, 0, 2, 1, 1), (0, 0, 12, 0, 2, 0, 1, 1, 1), (0, 0, 22, 0, 3, 1, 4, 1, 1),
     ]
 )
 
