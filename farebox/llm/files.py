@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 def opened(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder, and the folder's path there.
 
-    Folders are given as Spark has them: a URI, or a path on the shared file system.
+    Folders are given as Spark has them: a URI, or a path on the shared file system. Schemes
+    that only Hadoop knows are opened as what they stand for: s3a and s3n as s3, and dbfs as the
+    folder it is mounted on.
     """
     folder = re.sub(r"^file:/+", "/", folder)
+    folder = re.sub(r"^s3[an]://", "s3://", folder)
+    folder = re.sub(r"^dbfs:/+", "/dbfs/", folder)
     return fs.FileSystem.from_uri(folder)
 
 

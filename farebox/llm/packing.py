@@ -29,6 +29,7 @@ END_ID = 1
 # A group is made for each so many documents or bytes of text, whichever are more.
 GROUP = 4096
 GROUP_BYTES = 24 << 20
+TASK_GROUPS = 8
 # The free share of a sequence's tokens from which on its pieces are packed again.
 LOOSE = 0.02
 ROUNDS = 3
@@ -180,8 +181,10 @@ def packed(
     for number in range(ROUNDS):
         # Each round deals anew, and in numbers of sequences no other round uses.
         dealt = F.pmod(F.xxhash64("row", "piece", F.lit(number)), F.lit(groups))
-        # Groups of few bytes still go to as many tasks as the cluster's shuffles have.
-        tasks = min(groups, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # Groups of few bytes still go to as many tasks as the cluster's shuffles have, and no
+        # task gets more than a few groups.
+        usual = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(min(groups, usual), math.ceil(groups / TASK_GROUPS))
         made = stored(
             pieces.withColumn("group", dealt + F.lit(number << 32))
             .repartition(tasks, "group")
