@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from farebox.functions.checks import must
+from farebox.functions.checks import must, repeated
 from farebox.session import cut_lineage
 
 # A bucket holds this many consecutive key values. 32-bit keys fall into at most
@@ -130,14 +130,12 @@ def lookup_sk(
     from its measured size, and otherwise adaptive execution splits the partitions of hot
     keys.
     """
-    keys = dimension.filter(F.col(key).isNotNull()).select(key, sk)
+    keys = dimension.select(key, sk)
     if not unique:
-        # Grouped by the join's own key: the dimension is read and shuffled once.
-        once = F.count(F.lit(1)) == 1
-        keys = (
-            keys.groupBy(key)
-            .agg(F.first(sk).alias(sk), once.alias("_once"))
-            .filter(must(F.col("_once"), f"{key} occurs in several rows of the dimension"))
-            .drop("_once")
+        # One number, found beside the join: a grouping inside it would leave the join to the
+        # dimension's own partitions, which adaptive execution cannot split for a hot key.
+        named = dimension.filter(F.col(key).isNotNull())
+        keys = keys.filter(
+            must(repeated(named, key) == 0, f"{key} occurs in several rows of the dimension")
         )
     return facts.join(keys, key, "left")

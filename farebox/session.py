@@ -52,11 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir``. Where that is unset, it is a folder within the
-    session's warehouse, which every executor can reach as well.
+    session's warehouse. On a cluster that must not be a folder of the driver's machine,
+    which executors cannot reach: without a shared one there, this is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if not local and (folder.startswith("file:") or "://" not in folder):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
     return folder
 
 

@@ -10,7 +10,9 @@ import __spark_entry__ as entry
 from farebox.operators.keys import lookup_sk
 from farebox.operators.marts import dashboard_daily, user_behavior_rides
 from farebox.operators.staging import bronze_to_silver
+from farebox.plans.nightly import Warehouse
 from farebox.schemas import DIM_DATE, DIM_ROUTE, DIM_USER, DIM_VEHICLE
+from farebox.sources.store import Store
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -66,6 +68,8 @@ def test_a_hot_key_is_split(spark, without_broadcast):
     users = spark.range(5000).select(
         F.col("id").cast("int").alias("user_id"), (F.col("id") + 1).cast("int").alias("user_sk")
     )
+    # With the check of the dimension's keys, and without.
+    assert "skew=true" in final_plan(lookup_sk(facts, users, "user_id", "user_sk", unique=True))
     keyed = lookup_sk(facts, users, "user_id", "user_sk")
     assert "skew=true" in final_plan(keyed)
     found = keyed.agg(
@@ -161,8 +165,40 @@ def test_hourly_mart_shuffles_rides_once_when_users_are_broadcast(spark, tmp_pat
 
 
 def test_history_and_snapshot_are_joined_once(spark):
-    """The join is stored; all that is left to join are the offsets of key buckets."""
+    """The merged versions are stored; all that is left to join are the offsets of key buckets."""
     plan = final_plan(entry.queries()["dim_route_scd2"](spark, SF_DIR))
     assert "FullOuter" not in plan and "SortMergeJoin" not in plan
     assert "SortAggregate" not in plan
-    assert "_new_" in plan and "Scan ExistingRDD" in plan
+    assert "Scan ExistingRDD" in plan and "lag(" not in plan and "lead(" not in plan
+
+
+def test_a_vouched_lookup_reads_the_dimension_once(spark):
+    users = spark.range(5000).selectExpr("CAST(id AS INT) AS user_id", "CAST(id + 1 AS INT) AS user_sk")
+    facts = spark.range(10).selectExpr("CAST(id AS INT) AS user_id")
+    checked = plan_of(lookup_sk(facts, users, "user_id", "user_sk"))
+    vouched = plan_of(lookup_sk(facts, users, "user_id", "user_sk", unique=True))
+    assert "Aggregate" in checked and "Aggregate" not in vouched and "Subquery" not in vouched
+
+
+def test_closed_versions_are_not_scanned(spark, tmp_path):
+    """A merge of routes reads the open versions alone."""
+    root = str(tmp_path)
+    routes = spark.createDataFrame(
+        [(1, "A", "bus", 40), (2, "B", "tram", 45)],
+        "route_id int, route_number string, vehicle_type string, base_fare int",
+    )
+    for day in (1, 2, 3):
+        moment = dt.datetime(2024, 1, day)
+        house = Warehouse(spark, root, moment, moment.date())
+        read = []
+        kept = house.store.read_parts
+        house.store.read_parts = lambda schema, parts: read.append(parts) or kept(schema, parts)
+        raised = F.col("base_fare") + day * (F.col("route_id") == 1).cast("int")
+        snapshot = routes.withColumn("base_fare", raised)
+        versions = house.route_versions(snapshot)
+        assert all("is_current=true" in part for parts in read for part in parts)
+        house.keep_routes(versions)
+        house.load.commit()
+    stored = Store(spark, root).read("dim_route", DIM_ROUTE)
+    assert stored.count() == 4 and stored.filter("is_current").count() == 2
+    assert len(Store(spark, root).state().parts("dim_route")) == 3

@@ -146,3 +146,22 @@ def test_bucketed_facts_join_without_a_shuffle(spark, rows, tmp_path):
     finally:
         spark.sql("DROP TABLE b_rides")
         spark.sql("DROP TABLE b_payments")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        """A session's settings, and nothing behind them."""
+
+        def __init__(self, master, **settings):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = settings
+
+    local = {"spark.sql.warehouse.dir": "file:/tmp/spark-warehouse"}
+    remote = {"spark.sql.warehouse.dir": "hdfs://host/warehouse/"}
+    named = {**local, "spark.checkpoint.dir": "/mnt/shared"}
+    assert shared_folder(Session("local[8]", **local)) == "file:/tmp/spark-warehouse/_intermediate"
+    assert shared_folder(Session("yarn", **remote)) == "hdfs://host/warehouse/_intermediate"
+    assert shared_folder(Session("spark://host:7077", **named)) == "/mnt/shared"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="all executors reach"):
+            shared_folder(Session(master, **local))
