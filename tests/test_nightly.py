@@ -8,7 +8,7 @@ from farebox.__main__ import main
 from farebox.operators.scd2 import current_rows
 from farebox.plans.nightly import TABLES, run_pipeline
 from farebox.plans.star import SCHEMAS, Star
-from farebox.schemas import QUALITY_LOG, STAGING
+from farebox.schemas import QUALITY_LOG, REJECTED, STAGING
 from farebox.sources.store import Load, Store
 from farebox.testing import fixtures
 
@@ -238,6 +238,27 @@ def test_a_doubled_key_fails_the_load(spark, raw, tmp_path, monkeypatch):
         )
 
 
+def test_quarantine_lets_the_load_go_on(spark, raw, tmp_path):
+    for entity in fixtures.ENTITIES:
+        rows = spark.read.parquet(f"{raw}/first/{entity}")
+        if entity == "users":
+            wrong = F.when(F.col("user_id") == 7, "seven").otherwise(F.col("user_id").cast("string"))
+            rows = rows.withColumn("user_id", wrong)
+        rows.write.parquet(f"{tmp_path}/raw/{entity}")
+    load = dict(load_ts=FIRST, tables=["dim_user"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_pipeline(spark, f"{tmp_path}/raw", f"{tmp_path}/w", **load)
+    for _ in range(2):
+        _, log = run_pipeline(spark, f"{tmp_path}/raw", f"{tmp_path}/w", quarantine=True, **load)
+        assert contents(spark, tmp_path / "w", "dim_user").count() == 149
+        rejected = Store(spark, f"{tmp_path}/w").read("rejected_users", REJECTED)
+        assert [row.reasons for row in rejected.collect()] == [["user_id is no int"]]
+        found = log.filter("check_type = 'values do not fit' AND status = 'FAIL'")
+        assert collected(found, "table_name", "result_value") == [("raw_users", "1")]
+    with pytest.raises(ValueError, match="while they are staged"):
+        run_pipeline(spark, raw, f"{tmp_path}/w", quarantine=True, stage=False)
+
+
 def test_settings_are_applied(spark, raw, tmp_path):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     run_pipeline(

@@ -106,7 +106,7 @@ def test_unreferenced_folders_are_named(store, pairs):
     store_load(store, "3", pairs((3, "c")))
     left = store.unreferenced(keep=2)
     assert len(left) == 1 and "/t/version=2-" in left[0]
-    assert f"{store.root}/t/{one.parts('t')['whole']}" in store.unreferenced()
+    assert f"{store.root}/{one.parts('t')['whole']}" in store.unreferenced()
 
 
 def test_empty_tables_keep_their_columns(store, rows):
