@@ -22,6 +22,8 @@ def main(arguments: list[str] | None = None) -> None:
         "--may-be-missing", nargs="*", default=[], help="raw entities taken for empty if absent"
     )
     parser.add_argument("--no-staging", dest="stage", action="store_false")
+    parser.add_argument("--quarantine", action="store_true", help="set aside rows that do not fit")
+    parser.add_argument("--database", help="catalog database for tables written whole")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("farebox").getOrCreate()
@@ -34,6 +36,8 @@ def main(arguments: list[str] | None = None) -> None:
         tables=options.tables,
         stage=options.stage,
         may_be_missing=options.may_be_missing,
+        database=options.database,
+        quarantine=options.quarantine,
     )
     counts.show(truncate=False)
     failed_checks(log).show(truncate=False)
