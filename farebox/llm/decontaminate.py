@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from farebox.llm.common import (
     column,
@@ -28,7 +29,10 @@ from farebox.llm.common import (
 # for as they are, with the values in their slots.
 WINDOW = 8
 MIN_LITERALS = 4
-# The share of an item's windows that a document must have.
+# What a whole short text with two numbers or more and no name needs instead.
+MIN_BESIDE_NUMBERS = 3
+# The share of an item's windows that a document must have; if only windows with slots are
+# counted, the share of its words under them too.
 MIN_SHARE = 0.5
 # Windows of documents are looked up in a bitmap of the benchmark's windows first. It has
 # this many bits (8 MB) whatever the size of the benchmark: the more windows there are, the
@@ -96,8 +100,10 @@ class Templates:
         self.bounds = before[bounds]
         self.codes, self.values = codes[real], trimmed
         self.kinds = kind[self.codes]
-        after_number = np.concatenate(([False], self.kinds[:-1] == NUMERIC))
-        loose = (self.kinds == UNIT) & ~after_number[: len(self.kinds)]
+        after_number = np.zeros(len(self.kinds) + 1, bool)
+        after_number[1:] = self.kinds == NUMERIC
+        after_number[self.bounds] = False
+        loose = (self.kinds == UNIT) & ~after_number[:-1]
         self.kinds[loose] = np.where(title[self.codes[loose]], TITLE, WORD)
         self.maybe = (self.kinds == TITLE) & first[real]
         self.kinds[self.maybe] = WORD
@@ -108,17 +114,27 @@ class Templates:
         """Places, forms and hashes of the windows inside one text with enough plain words.
 
         A form has a bit for each word of the window that begins a sentence and is taken
-        for a name; a window comes in all forms that leave it enough plain words.
+        for a name; a window comes in all forms that leave it enough plain words. One
+        shorter than ``WINDOW``, which stands for a whole text, needs fewer of them beside
+        two numbers or more, but then no word of it is taken for a name.
         """
         count, need = len(self.tokens) - size + 1, min(size, MIN_LITERALS)
         if count <= 0:
             return
         whose = owners(self.bounds)
         inside = whose[:count] == whose[size - 1 :]
-        known = np.concatenate(([0], np.cumsum(self.kinds == WORD)))
-        known = known[size:] - known[:count]
+
+        def number_of(kind: int) -> np.ndarray:
+            sums = np.concatenate(([0], np.cumsum(self.kinds == kind)))
+            return sums[size:] - sums[:count]
+
+        known = number_of(WORD)
+        enough = known >= need
+        if size < WINDOW:
+            sums = (number_of(NUMERIC) >= 2) & (number_of(TITLE) == 0)
+            enough |= sums & (known >= MIN_BESIDE_NUMBERS)
         factors = mixed(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
-        every = np.flatnonzero(inside & (known >= need))
+        every = np.flatnonzero(inside & enough)
         for start in range(0, len(every), FORMED):
             places = every[start : start + FORMED]
             forms, plain = np.zeros(len(places), np.uint8), known[places]
@@ -171,7 +187,9 @@ WINDOWS = (
     "slots array<string>, offsets array<int>, literal boolean"
 )
 
-JOINED = ("mark", "length", "template", "literal")
+HASHED = ("mark", "length", "literal")
+JOINED = (*HASHED, "template")
+ITEM = ("item_id", "item_hash")
 
 
 def _rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
@@ -250,8 +268,8 @@ def bitmap(windows: DataFrame) -> tuple[np.ndarray, list[tuple[int, bool]]]:
     return bits, [tuple(row) for row in windows.select("length", "literal").distinct().collect()]
 
 
-def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """The windows of ``docs`` (id, row_hash, text) whose template the benchmark has."""
+def known_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """The windows of ``docs`` (id, row_hash, text) whose hash the bitmap of the benchmark has."""
     bits, kinds = bitmap(windows)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -281,16 +299,79 @@ def shared_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
                         found.append((owner, size, pos, mark, *spelled))
             yield _rows(batch, found)
 
-    mine = docs.mapInArrow(work, WINDOWS)
+    return docs.mapInArrow(work, WINDOWS)
+
+
+def _item_names() -> list[Column]:
+    return [F.col("id").alias("item_id"), F.col("row_hash").alias("item_hash")]
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A join in which null keys meet, with one column of each key."""
+    other = right.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        *[F.col(c) for c in right.columns if c not in keys],
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, on, how).drop(*[f"_{k}" for k in keys])
+
+
+def _rarest(order: str, within: WindowSpec, min_share: float) -> Column:
+    """Whether a row is one of the rarest, of which some must be among any ``min_share`` of all."""
+    total = F.count(F.lit(1)).over(within)
+    need = F.greatest(F.lit(1), F.ceil(total * F.lit(min_share) - F.lit(1e-6)))
+    return F.row_number().over(within.orderBy(order, "pos")) <= total - need + 1
+
+
+def candidates(mine: DataFrame, windows: DataFrame, min_share: float) -> DataFrame:
+    """(id, row_hash, item_id, item_hash): the documents that may hold an item, and the item.
+
+    Of an item's T windows a document must have ``need``, hence one at least of any
+    T - need + 1, and likewise of those with slots. These are taken to be the ones that
+    documents have least often, so that what many items and documents share, such as an
+    instruction before each question, brings nobody together unless it is most of the item.
+    """
+    met = mine.groupBy(*HASHED).agg(F.count(F.lit(1)).alias("n"))
+    theirs = windows.select(*_item_names(), "pos", *HASHED).distinct()
+    typed = ~F.col("literal")
+    places = (
+        theirs.join(met, [*HASHED], "left")
+        .fillna(0, "n")
+        .groupBy(*ITEM, "pos")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.when(typed, F.col("n"))).alias("typed_n"),
+            F.bool_or(typed).alias("typed"),
+            F.collect_list(F.struct(*HASHED)).alias("forms"),
+        )
+    )
+    every, alike = Window.partitionBy(*ITEM), Window.partitionBy(*ITEM, "typed")
+    rare = places.select(
+        *ITEM,
+        "forms",
+        _rarest("n", every, min_share).alias("rare"),
+        (F.col("typed") & _rarest("typed_n", alike, min_share)).alias("rare_typed"),
+    )
+    forms = rare.filter("rare OR rare_typed").select("*", F.explode("forms").alias("form"))
+    sought = forms.select(*ITEM, "rare", "form.*").filter(F.col("rare") | typed)
+    sought = sought.select(*ITEM, *HASHED).distinct()
+    return mine.join(sought, [*HASHED]).select("id", "row_hash", *ITEM).distinct()
+
+
+def shared_windows(mine: DataFrame, windows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The windows of documents and items of ``pairs`` that have one template.
+
+    Items bring their windows to their documents, so that a document's windows meet
+    those of its own items only.
+    """
     theirs = windows.select(
-        F.col("id").alias("item_id"),
-        F.col("row_hash").alias("item_hash"),
+        *_item_names(),
         F.col("pos").alias("item_pos"),
         F.col("slots").alias("item_slots"),
-        *[F.col(c).alias(f"b_{c}") for c in JOINED],
+        *JOINED,
     )
-    same = [F.col(c) == F.col(f"b_{c}") for c in JOINED]
-    return mine.join(theirs, same).select(
+    wanted = null_safe(pairs, theirs, ITEM, "inner")
+    return null_safe(mine, wanted, ["id", "row_hash", *JOINED], "inner").select(
         *("id", "row_hash", "pos", "slots", "offsets", "literal"),
         *("item_id", "item_hash", "item_pos", "item_slots"),
     )
@@ -311,29 +392,26 @@ def matches(
     value of the item stands for the value of the document that it meets at most
     places; windows in which it meets another one are left out, and if no value is ahead
     all windows with it. Two values of the item may meet the same one. A document
-    holds an item if the windows left of its alignments are at least ``min_share`` of all,
-    or those that are templates of all such windows, so that values may differ in the others;
-    it is re-parameterised if any slot of theirs differs. Rows without text hold nothing; rows
-    that are equal in every column appear once, rows without an id with a null id.
+    holds an item if the windows left of its alignments are at least ``min_share`` of all;
+    or if those that are templates are that share of all such windows, so that values may
+    differ in the others, and that share of the item's words is under them. ``share`` is
+    the larger of the two that count. It is re-parameterised if any slot of theirs differs.
+    Rows without text hold nothing, nor does any row if one of the tables is empty; rows
+    that are equal in every column appear once, rows without an id with a null id. Texts
+    longer than a slice are held one at a time, with some arrays of a few numbers a word.
     """
     windows = stored(benchmark_windows(benchmark, item_id_column, item_text_column), "windows")
-    shared = stored(shared_windows(_texts(docs, id_column, text_column), windows), "shared")
-    one = ["id", "row_hash", "item_id", "item_hash"]
+    mine = stored(known_windows(_texts(docs, id_column, text_column), windows), "known")
+    pairs = candidates(mine, windows, min_share)
+    shared = stored(shared_windows(mine, windows, pairs), "shared")
+    one = ["id", "row_hash", *ITEM]
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
     here = [*one, "shift"]
 
-    def safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-        other = right.select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            *[F.col(c) for c in right.columns if c not in keys],
-        )
-        on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        return left.join(other, on, how).drop(*[f"_{k}" for k in keys])
-
     lowered = [F.transform(c, F.lower).alias(c) for c in ("item_slots", "slots")]
     aligned = shared.select(*one, shift, "item_pos", *lowered, "offsets", "literal")
-    pairs = F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("slot")
-    slots = aligned.select(*here, "item_pos", pairs).select(
+    slot = F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("slot")
+    slots = aligned.select(*here, "item_pos", slot).select(
         *here,
         "item_pos",
         (F.col("item_pos") + F.col("slot.offsets")).alias("at"),
@@ -347,23 +425,31 @@ def matches(
     stands = votes.groupBy(*here, "theirs").agg(
         F.when(first["mine"] == last["mine"], last["mine"]).alias("meant")
     )
-    clashes = safe(slots, stands, [*here, "theirs"], "inner")
+    clashes = null_safe(slots, stands, [*here, "theirs"], "inner")
     clashes = clashes.filter("meant IS NULL OR mine != meant").select(*here, "item_pos").distinct()
-    sound = safe(aligned, clashes, [*here, "item_pos"], "left_anti")
+    sound = null_safe(aligned, clashes, [*here, "item_pos"], "left_anti")
+    typed = F.when(~F.col("literal"), F.col("item_pos"))
     covered = sound.groupBy(*one).agg(
         F.count_distinct("item_pos").alias("covered"),
-        F.count_distinct(F.when(~F.col("literal"), F.col("item_pos"))).alias("typed"),
+        F.array_sort(F.collect_set(typed)).alias("typed"),
         F.bool_or(F.col("item_slots") != F.col("slots")).alias("reparameterised"),
     )
-    totals = windows.groupBy(
-        F.col("id").alias("item_id"), F.col("row_hash").alias("item_hash")
-    ).agg(
+    totals = windows.groupBy(*_item_names()).agg(
         F.count_distinct("pos").alias("total"),
         F.count_distinct(F.when(~F.col("literal"), F.col("pos"))).alias("templates"),
+        F.max("length").alias("length"),
+    )
+    held = null_safe(covered, totals, ITEM, "inner")
+    # From each window with slots to the next, but no further than the window goes.
+    under = F.expr(
+        "aggregate(zip_with(typed, slice(typed, 2, greatest(size(typed) - 1, 0)), (here, next) -> "
+        "least(length, coalesce(next - here, length))), 0, (sum, n) -> sum + n)"
+    )
+    words = F.col("total") + F.col("length") - 1
+    slots_share = F.when(
+        under / words >= min_share, F.try_divide(F.size("typed"), F.col("templates"))
     )
-    held = safe(covered, totals, ["item_id", "item_hash"], "inner")
-    shares = F.col("covered") / F.col("total"), F.try_divide("typed", "templates")
-    held = held.withColumn("share", F.greatest(*shares))
+    held = held.withColumn("share", F.greatest(F.col("covered") / F.col("total"), slots_share))
     return held.filter(F.col("share") >= min_share).select(
         "id", "row_hash", "item_id", "share", "reparameterised"
     )

@@ -3,7 +3,9 @@
 import base64
 import collections
 import hashlib
+import itertools
 import math
+import random
 import re
 import zlib
 
@@ -11,6 +13,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -410,7 +413,170 @@ def test_windows_of_few_words(spark):
         [(7, sums), (8, table), (9, "Name that river.")], "item_id long, text string"
     )
     found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "share")
-    assert found == {1: ([7], 1.0), 2: ([8], 1.0), 3: ([9], 1.0)}
+    # The fourth asks for other numbers.
+    assert found == {1: ([7], 1.0), 2: ([8], 1.0), 3: ([9], 1.0), 4: ([7], 1.0)}
+
+
+def test_short_sums(spark):
+    """Short questions with other numbers are found, those with other names are not."""
+    asked = ["What is 15 plus 27?", "Evaluate 12 times 5 minus 9.", "Where is Paris located?"]
+    docs = spark.createDataFrame(
+        [(1, "He asked. What is 31 plus 12? Nobody knew."), (2, "Evaluate 7 times 8 minus 30."),
+         (3, "Where is Rome located?"), (4, "What is 31 minus 12?"), (5, "it is 31 plus 12"),
+         (6, "Evaluate 7 times eight minus 30.")], "doc_id long, text string",
+    )
+    items = spark.createDataFrame(enumerate(asked), "item_id long, text string")
+    found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "reparameterised")
+    assert found == {1: ([0], True), 2: ([1], True)}
+
+
+def test_items_of_mostly_numbers(spark):
+    """Their few windows with slots do not stand for the whole item."""
+    row = " ".join(str(n) for n in range(3, 21))
+    item = f"Compute the sum of the numbers {row}"
+    docs = spark.createDataFrame(
+        [(1, "We then compute the sum of the numbers 1 2 3 and go on with our work for the day."),
+         (2, f"We then compute the sum of the numbers {row} and go on."),
+         (3, item.replace(" 20", " 21"))], "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert set(by_id(decontaminate.contaminated(docs, items), "doc_id")) == {2, 3}
+
+
+def test_shared_instructions_bring_nobody_together(spark):
+    """An instruction that items and documents share joins no rows; the items are still found."""
+    ask = "Read the text below with care and then answer the question that follows it."
+    names = [chr(97 + n // 26) + chr(97 + n % 26) for n in range(300)]
+
+    def body(kind, name):
+        return f"{ask} " + " ".join(f"{kind}{name}{chr(97 + k)}" for k in range(12))
+
+    items = spark.createDataFrame(
+        [(n, body("q", name)) for n, name in enumerate(names)], "item_id long, text string"
+    )
+    docs = spark.createDataFrame(
+        [(n, body("q" if n % 10 == 0 else "d", name)) for n, name in enumerate(names)],
+        "doc_id long, text string",
+    )
+    windows = decontaminate.benchmark_windows(items, "item_id", "text").cache()
+    mine = decontaminate.known_windows(decontaminate._texts(docs, "doc_id", "text"), windows).cache()
+    assert mine.select("id").distinct().count() == 300
+    pairs = decontaminate.candidates(mine, windows, decontaminate.MIN_SHARE).collect()
+    assert sorted((r.id, r.item_id) for r in pairs) == [(n, n) for n in range(0, 300, 10)]
+    found = by_id(decontaminate.contaminated(docs, items), "doc_id", "items", "share")
+    assert found == {n: ([n], 1.0) for n in range(0, 300, 10)}
+
+
+def plain_kinds(text):
+    """(word, kind, whether it may be a name) of a text, word by word."""
+    out, first, after_number = [], True, False
+    for part in words(re.sub(r"[\n\v\f\r]", f" {decontaminate.BREAK} ", text)):
+        value = part.strip(decontaminate.EDGES + decontaminate.BREAK)
+        if value:
+            low, title = value.lower(), regex.search(decontaminate.NAME, value)
+            if regex.search(decontaminate.NUMBER, low):
+                kind = "number"
+            elif low in decontaminate.UNITS and after_number:
+                kind = "unit"
+            else:
+                kind = "name" if title else "word"
+            maybe = kind == "name" and first
+            out.append((low, "word" if maybe else kind, maybe))
+            after_number = out[-1][1] == "number"
+        first = bool(regex.search(decontaminate.SENTENCE_END, part))
+    return out
+
+
+def plain_forms(window):
+    """The templates of a window, as tuples, with whether they are the words as they are."""
+    kinds = [kind for _, kind, _ in window]
+    need, plain = min(len(window), 4), kinds.count("word")
+    numeric = kinds.count("number") >= 2 and "name" not in kinds and len(window) < 8
+    forms = []
+    if plain >= need or (numeric and plain >= 3):
+        choices = [n for n, (_, _, maybe) in enumerate(window) if maybe]
+        for size in range(max(0, min(plain - need, len(choices))) + 1):
+            for names in itertools.combinations(choices, size):
+                forms.append((False, tuple(
+                    low if kind == "word" and n not in names else (kind if kind != "word" else "name",)
+                    for n, (low, kind, _) in enumerate(window)
+                )))
+    if sum(kind == "word" and not maybe for _, kind, maybe in window) < need:
+        forms.append((True, tuple(low for low, _, _ in window)))
+    return forms
+
+
+def plain_share(doc, item):
+    """The share of an item a document holds, by comparing all windows at all distances."""
+    size = min(8, len(item))
+    places = range(len(item) - size + 1) if item else ()
+    theirs = [plain_forms(item[n : n + size]) for n in places]
+    kept = set()
+    for shift in range(-len(item), len(doc) + 1):
+        met = []
+        for n in places:
+            at = n + shift
+            if at < 0 or at + size > len(doc):
+                continue
+            for form in set(plain_forms(doc[at : at + size])) & set(theirs[n]):
+                slots = [k for k in range(size) if isinstance(form[1][k], tuple)]
+                met.append((n, form[0], [(n + k, item[n + k][0], doc[at + k][0]) for k in slots]))
+        votes = collections.defaultdict(collections.Counter)
+        for _, mine, other in {slot for _, _, slots in met for slot in slots}:
+            votes[mine][other] += 1
+        meant = {}
+        for mine, counts in votes.items():
+            best = [v for v, n in counts.items() if n == max(counts.values())]
+            meant[mine] = best[0] if len(best) == 1 else None
+        bad = {n for n, _, slots in met if any(meant[a] != b for _, a, b in slots)}
+        kept |= {(n, literal, all(a == b for _, a, b in slots)) for n, literal, slots in met if n not in bad}
+    typed = {n for n, literal, _ in kept if not literal}
+    templates = [n for n in places if any(not form[0] for form in theirs[n])]
+    share = len({n for n, _, _ in kept}) / len(places) if places else 0
+    under = {n + k for n in typed for k in range(size)}
+    if templates and 2 * len(under) >= len(item):
+        share = max(share, len(typed) / len(templates))
+    return share, not all(same for _, _, same in kept)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_against_plain_form(spark, seed):
+    """Windows, slots and shares of random texts, half of them cut from items and changed."""
+    rng = random.Random(seed)
+    vocabulary = "the of a mill sold bag red is what plus Anna Bob. Oslo 3 5 km 12 7kg And\n end. x".split(" ")
+
+    def made(low, high):
+        return [rng.choice(vocabulary) for _ in range(rng.randint(low, high))]
+
+    asked = [made(1, 7) for _ in range(8)] + [made(8, 24) for _ in range(12)]
+    texts = [made(0, 40) for _ in range(20)]
+    swap = {"3": "5", "12": "3", "Anna": "Oslo", "Oslo": "Bob.", "mill": "bag"}
+    for _ in range(120):
+        item = list(rng.choice(asked))
+        if rng.random() < 0.6:
+            old = rng.choice(list(swap))
+            once = rng.random() < 0.4
+            for n, word in enumerate(item):
+                if word == old:
+                    item[n] = swap[old]
+                    if once:
+                        break
+        cut = rng.randint(0, len(item) // 3)
+        texts.append(made(0, 6) + item[cut:] + made(0, 6))
+    asked, texts = [[" ".join(x) for x in part] for part in (asked, texts)]
+    expected = {}
+    for n, text in enumerate(texts):
+        for m, item in enumerate(asked):
+            share, changed = plain_share(plain_kinds(text), plain_kinds(item))
+            if share >= 0.5:
+                expected[n, m] = (round(share, 9), changed)
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    items = spark.createDataFrame(enumerate(asked), "item_id long, text string")
+    found = {
+        (r.id, r.item_id): (round(r.share, 9), r.reparameterised)
+        for r in decontaminate.matches(docs, items).collect()
+    }
+    assert found == expected and len(found) > 40
 
 
 def test_decontamination_query(spark):
