@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.common import column, fresh, identity, numbered, stored
@@ -16,10 +17,10 @@ from farebox.llm.components import LINKS, components
 
 BITS = 64
 SEED = 42
-# Reference fingerprints whose Hamming distances make up the pivot table.
-PIVOTS = np.array(
-    [xxhash.xxh64_intdigest(f"pivot {n}", seed=SEED) for n in range(32)], dtype=np.uint64
-)
+# Reference fingerprints whose Hamming distances make up the pivot table. A fingerprint's
+# row of it is as many bytes, in long columns of eight.
+PIVOTS = [xxhash.xxh64_intdigest(f"pivot {n}", seed=SEED) for n in range(16)]
+TABLE = [f"distances_{n}" for n in range(len(PIVOTS) // 8)]
 # Fingerprints that agree in a key are compared by one task up to this many; beyond
 # it they are dealt out again by finer keys, under which no group can be larger.
 GROUP_ROWS = 4096
@@ -105,24 +106,44 @@ def fine_masks(mask: int, max_bits: int) -> list[int]:
     return [mask | sum(kept) for kept in combinations(parts, len(parts) - max_bits)]
 
 
+def signed(value: int) -> int:
+    """The signed number with the bits of an unsigned one of 64."""
+    return value - (1 << BITS) if value >> (BITS - 1) else value
+
+
+def with_distances(marks: DataFrame) -> DataFrame:
+    """Add the pivot table: the Hamming distance of ``fingerprint`` to each reference."""
+
+    def distance(place: int) -> Column:
+        apart = F.bit_count(F.col("fingerprint").bitwiseXOR(F.lit(signed(PIVOTS[place]))))
+        return F.shiftleft(apart.cast("long"), 8 * (place % 8))
+
+    packed = {
+        name: reduce(Column.bitwiseOR, map(distance, range(8 * n, 8 * n + 8)))
+        for n, name in enumerate(TABLE)
+    }
+    return marks.withColumns(packed)
+
+
 def popcount(values: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values)
 
 
-def group_links(marks: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+def group_links(marks: np.ndarray, packed: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that join the fingerprints of one group as all close pairs would.
 
-    The pivot table has the distance of each fingerprint to each reference. Two
+    ``packed`` has the rows of the pivot table that belong to ``marks``. Two
     fingerprints within ``max_bits`` differ by no more than that in every coordinate,
     so pairs whose largest coordinate difference is greater are discarded. Rows are
     sorted by the first coordinate, so that only a window of them is looked at. The
     pairs that survive are verified by their Hamming distance.
     """
     values = marks.view(np.uint64)
+    table = packed.view(np.uint8).astype(np.int16)
     if len(values) == 2:
-        near = int(popcount(values[0] ^ values[1])) <= max_bits
+        near = np.abs(table[0] - table[1]).max() <= max_bits
+        near = near and int(popcount(values[0] ^ values[1])) <= max_bits
         return [(int(marks[0]), int(marks[1]))] if near else []
-    table = popcount(values[:, None] ^ PIVOTS[None, :]).astype(np.int16)
     order = np.argsort(table[:, 0], kind="stable")
     table, values = table[order], values[order]
     first = table[:, 0]
@@ -147,52 +168,59 @@ def group_links(marks: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _runs(max_bits: int, limit: int):
-    """Links within runs of equal (slot, key); members of longer runs as (mark, null)."""
+    """Links within runs of equal (slot, key); members of longer runs with a null for ``b``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = keys = marks = np.zeros(0, np.int64)
+        table = np.zeros((0, len(TABLE)), np.int64)
         large = False
 
-        def result(links, members, slot):
-            a = [x for x, _ in links] + [int(m) for m in members]
-            b = [y for _, y in links] + [None] * len(members)
-            at = [None] * len(links) + [int(s) for s in slot]
+        def result(links, members):
+            """``members`` are pieces of (marks, slots, rows of the table)."""
+            of_runs = [np.concatenate(part) for part in zip(*members, strict=True)]
+            left, at, rows = of_runs or (marks[:0], slots[:0], table[:0])
+            a, b = np.array(links, np.int64).reshape(-1, 2).T
+            none = pa.nulls(len(links), pa.int64())
+            columns = [
+                (pa.array(a), pa.array(left)),
+                (pa.array(b), pa.nulls(len(left), pa.int64())),
+                (none, pa.array(at)),
+                *((none, pa.array(rows[:, n])) for n in range(len(TABLE))),
+            ]
             return pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(at, pa.int64())],
-                ["a", "b", "slot"],
+                [pa.concat_arrays(parts) for parts in columns], ["a", "b", "slot", *TABLE]
             )
 
         def finish(lo, hi):
             if hi - lo > limit or large and lo == 0:
-                return [], marks[lo:hi], slots[lo:hi]
-            return (group_links(marks[lo:hi], max_bits) if hi - lo > 1 else []), [], []
+                return [], [(marks[lo:hi], slots[lo:hi], table[lo:hi])]
+            return (group_links(marks[lo:hi], table[lo:hi], max_bits) if hi - lo > 1 else []), []
 
         for batch in batches:
             new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             slots, keys, marks = (
-                np.concatenate((old, n)) for old, n in zip((slots, keys, marks), new, strict=True)
+                np.concatenate((old, n)) for old, n in zip((slots, keys, marks), new[:3], strict=True)
             )
+            table = np.concatenate((table, np.stack(new[3:], axis=1)))
             if not len(marks):
                 continue
             change = np.flatnonzero((np.diff(slots) != 0) | (np.diff(keys) != 0)) + 1
             edges = np.concatenate(([0], change))
             sizes = np.diff(edges)
-            links, members, at = [], [], []
+            links, members = [], []
             for place in np.flatnonzero((sizes > 1) | ((edges[:-1] == 0) & large)):
                 found = finish(edges[place], edges[place + 1])
                 links += found[0]
-                members += list(found[1])
-                at += list(found[2])
+                members += found[1]
             tail = edges[-1]
             large = large and tail == 0
-            slots, keys, marks = slots[tail:], keys[tail:], marks[tail:]
+            slots, keys, marks, table = slots[tail:], keys[tail:], marks[tail:], table[tail:]
             if len(marks) > limit or large:
                 # The run goes on; its members leave now, but one that marks the place.
                 large = True
-                members += list(marks[:-1])
-                at += list(slots[:-1])
-                slots, keys, marks = slots[-1:], keys[-1:], marks[-1:]
-            yield result(links, members, at)
+                members.append((marks[:-1], slots[:-1], table[:-1]))
+                slots, keys, marks, table = slots[-1:], keys[-1:], marks[-1:], table[-1:]
+            yield result(links, members)
         if len(marks):
             yield result(*finish(0, len(marks)))
 
@@ -202,21 +230,20 @@ def _runs(max_bits: int, limit: int):
 def close_links(marks: DataFrame, max_bits: int = 3, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Links (a, b) under which distinct fingerprints hang together as by all close pairs.
 
-    ``marks`` has one column ``fingerprint`` without repeats. No more than one link
-    leaves a group for each of its members, however close they all are.
+    ``marks`` has one column ``fingerprint`` without repeats. Their pivot table is made
+    once and goes with them into their groups, where it discards pairs. No more than one
+    link leaves a group for each of its members, however close they all are.
     """
     coarse = key_masks(max_bits)
 
-    def signed(mask: int) -> int:
-        return mask - (1 << BITS) if mask >> (BITS - 1) else mask
-
     def dealt(rows: DataFrame, masks) -> DataFrame:
-        keyed = rows.select("fingerprint", F.explode(masks).alias("m"))
+        keyed = rows.select("fingerprint", *TABLE, F.explode(masks).alias("m"))
         return (
             keyed.select(
                 F.col("m.slot").cast("long").alias("slot"),
                 F.col("fingerprint").bitwiseAND(F.col("m.mask")).alias("key"),
                 "fingerprint",
+                *TABLE,
             )
             .repartition("slot", "key")
             .sortWithinPartitions("slot", "key", "fingerprint")
@@ -230,12 +257,12 @@ def close_links(marks: DataFrame, max_bits: int = 3, group_rows: int = GROUP_ROW
             ]
         )
 
-    schema = f"{LINKS}, slot long"
+    schema = ", ".join([LINKS, "slot long", *(f"{name} long" for name in TABLE)])
     first = stored(
-        dealt(marks, listed(coarse)).mapInArrow(_runs(max_bits, group_rows), schema), "links"
+        dealt(with_distances(marks), listed(coarse)).mapInArrow(_runs(max_bits, group_rows), schema), "links"
     )
     links = first.filter("b IS NOT NULL").select("a", "b")
-    large = first.filter("b IS NULL").select(F.col("a").alias("fingerprint"), "slot").distinct()
+    large = first.filter("b IS NULL").select(F.col("a").alias("fingerprint"), "slot", *TABLE)
     # One row for each coarse mask: 20 for three bits.
     spark = marks.sparkSession
     finer = spark.createDataFrame(
@@ -251,7 +278,7 @@ def close_links(marks: DataFrame, max_bits: int = 3, group_rows: int = GROUP_ROW
         ],
         "slot long, masks array<struct<slot: long, mask: long>>",
     )
-    fine = large.join(F.broadcast(finer), "slot").select("fingerprint", "masks")
+    fine = large.distinct().join(F.broadcast(finer), "slot").select("fingerprint", *TABLE, "masks")
     again = dealt(fine, F.col("masks")).mapInArrow(_runs(max_bits, 1 << BITS - 1), schema)
     return links.unionByName(again.select("a", "b"))
 

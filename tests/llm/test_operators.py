@@ -117,6 +117,24 @@ def test_close_fingerprints_in_large_groups(spark):
         assert [roots.get(m, m) for m in marks] == expected
 
 
+def test_pivot_table_is_made_once(spark):
+    """Distances are columns made before the groups, and bound what links a group has."""
+    pick = np.random.default_rng(5)
+    marks = [int(m) for m in pick.integers(-(1 << 62), 1 << 62, 20)] + [0, -1, 1]
+    frame = spark.createDataFrame([(m,) for m in marks], "fingerprint long")
+    table = np.array(simhash.with_distances(frame).select(*simhash.TABLE).collect(), np.int64)
+    plain = [[(m % 2**64 ^ p).bit_count() for p in simhash.PIVOTS] for m in marks]
+    assert table.view(np.uint8).tolist() == plain
+    near = np.array([5, 4], np.int64)
+    rows = np.array(simhash.with_distances(spark.createDataFrame([(5,), (4,)], "fingerprint long"))
+                    .select(*simhash.TABLE).collect(), np.int64)
+    assert simhash.group_links(near, rows, 3) == [(5, 4)]
+    # A pair that the table keeps apart is not looked at further.
+    assert simhash.group_links(near, rows + np.array([[0, 0], [8, 0]]), 3) == []
+    plan = simhash.close_links(frame, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_count" not in plan
+
+
 def test_components_of_a_long_chain(spark):
     links = [(n, n + 1) for n in range(200)] + [(500, 501), (501, 500), (7, 7), (None, 3)]
     found = components.components(spark.createDataFrame(links, "a long, b long"))
