@@ -34,10 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vocabulary() -> str:
-    """Where this machine has the public tokenizer's file."""
+    """Where this machine has the public tokenizer's file, which Spark sends to all others."""
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    path = public_tokenizers.path(VOCABULARY)
+    SparkSession.active().sparkContext.addFile(path)
+    return path
 
 
 def warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

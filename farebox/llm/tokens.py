@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
@@ -39,8 +41,10 @@ BLOCK_IDS = 1024
 # Ids that are coded at once, and the places after a block that its last word may reach.
 CODED_IDS = 1 << 19
 PAD = 240
-# A file is closed after this many ids.
-FILE_IDS = 2 << 20
+# A file is closed after this many ids, about 128 MB of words; a task has one at least.
+FILE_IDS = 64 << 20
+# Tasks whose files are placed together.
+PARTS = 1000
 READ_BYTES = 32 << 20
 MAGIC = b"S8BT0001"
 HEADER = struct.Struct("<8sIQQQ")
@@ -287,45 +291,120 @@ _tokenizers: dict[str, WordTokens] = {}
 
 
 def tokenizer(path: str) -> WordTokens:
-    """The tokenizer of a file, kept by the process for its later tasks."""
+    """The tokenizer of a file, kept by the process for its later tasks.
+
+    Where a machine does not have the path, the file of that name that Spark has sent it.
+    """
     if path not in _tokenizers:
-        _tokenizers[path] = WordTokens(path)
+        there = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+        _tokenizers[path] = WordTokens(there)
     return _tokenizers[path]
 
 
 # ---- Files ----------------------------------------------------------------------------
 
 
-def file_bytes(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    """A file: header, the documents and their numbers of ids, block offsets, and words.
+class TokenFile:
+    """A file while it is filled: whole blocks as words, the ids of an open block as they are.
 
+    The file has a header, the documents and their numbers of ids, block offsets, and words.
     All numbers are little-endian. A document without an id has the flag 1.
     """
-    words, offsets = packed(ids)
-    flags = np.array([doc is None for doc in doc_ids], "<u1")
-    docs = np.array([doc or 0 for doc in doc_ids], "<i8")
-    head = HEADER.pack(MAGIC, BLOCK_IDS, len(docs), len(ids), len(words))
-    parts = (docs, flags, sizes.astype("<i8"), offsets.astype("<i8"), words.astype("<u8"))
-    return b"".join([head, *(part.tobytes() for part in parts)])
-
 
-def file_content(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """The documents of a file, their numbers of ids, and all ids."""
-    magic, block_ids, documents, count, words = HEADER.unpack_from(data)
-    if magic != MAGIC:
-        raise ValueError("not a token file")
-    at = HEADER.size
+    def __init__(self):
+        self.doc_ids: list[int | None] = []
+        self.sizes = [np.zeros(0, np.int64)]
+        self.words = [np.zeros(0, np.uint64)]
+        self.block_words = [np.zeros(1, np.int64)]
+        self.open = np.zeros(0, np.uint64)
+        self.count = 0
+
+    def add(self, doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.doc_ids += doc_ids
+        self.sizes.append(sizes)
+        self.count += len(ids)
+        ids = np.concatenate((self.open, ids)) if len(self.open) else ids
+        whole = len(ids) // BLOCK_IDS * BLOCK_IDS
+        self._pack(ids[:whole])
+        self.open = ids[whole:].copy()
+
+    def _pack(self, ids: np.ndarray) -> None:
+        words, offsets = packed(ids)
+        self.words.append(words)
+        self.block_words.append(np.diff(offsets))
+
+    def parts(self) -> Iterator[bytes]:
+        """The bytes of the file, which ends the open block."""
+        self._pack(self.open)
+        self.open = self.open[:0]
+        offsets = np.cumsum(np.concatenate(self.block_words))
+        yield HEADER.pack(MAGIC, BLOCK_IDS, len(self.doc_ids), self.count, int(offsets[-1]))
+        yield np.array([doc or 0 for doc in self.doc_ids], "<i8").tobytes()
+        yield np.array([doc is None for doc in self.doc_ids], "<u1").tobytes()
+        yield np.concatenate(self.sizes).astype("<i8").tobytes()
+        yield offsets.astype("<i8").tobytes()
+        for words in self.words:
+            yield words.astype("<u8").tobytes()
+
+
+def file_parts(stream) -> tuple[list[int | None], np.ndarray, Iterator[np.ndarray]]:
+    """The documents of a file, their numbers of ids, and all ids in runs of some blocks."""
 
     def read(kind: str, number: int) -> np.ndarray:
-        nonlocal at
-        values = np.frombuffer(data, kind, number, at)
-        at += values.nbytes
-        return values
+        data = stream.read(number * np.dtype(kind).itemsize)
+        if len(data) != number * np.dtype(kind).itemsize:
+            raise ValueError("a token file is cut off")
+        return np.frombuffer(data, kind)
 
+    magic, block_ids, documents, count, _ = HEADER.unpack(read("<u1", HEADER.size).tobytes())
+    if magic != MAGIC:
+        raise ValueError("not a token file")
     docs, flags, sizes = read("<i8", documents), read("<u1", documents), read("<i8", documents)
     offsets = read("<i8", -(-count // block_ids) + 1)
-    ids = unpacked(read("<u8", words), offsets, count, block_ids)
-    return [None if f else int(d) for d, f in zip(docs, flags, strict=True)], sizes, ids
+
+    def runs() -> Iterator[np.ndarray]:
+        at_once = max(1, CODED_IDS // block_ids)
+        for first in range(0, len(offsets) - 1, at_once):
+            cuts = offsets[first : first + at_once + 1]
+            left = min(at_once * block_ids, count - first * block_ids)
+            words = read("<u8", int(cuts[-1] - cuts[0]))
+            yield unpacked(words, cuts - cuts[0], left, block_ids)
+
+    return [None if f else int(d) for d, f in zip(docs, flags, strict=True)], sizes, runs()
+
+
+def file_bytes(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    """A whole file."""
+    file = TokenFile()
+    file.add(doc_ids, sizes, ids)
+    return b"".join(file.parts())
+
+
+def file_content(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """The documents of a whole file, their numbers of ids, and all ids."""
+    docs, sizes, runs = file_parts(io.BytesIO(data))
+    return docs, sizes, np.concatenate([np.zeros(0, np.uint64), *runs])
+
+
+def file_documents(stream) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray, list[bytes]]]:
+    """Some documents of a file after the others: names, starts, sizes, ids in 32 bits.
+
+    Held at a time are the ids of one run, and those of a document that goes on after it.
+    """
+    docs, sizes, runs = file_parts(stream)
+    cuts = np.concatenate(([0], np.cumsum(sizes)))
+    low = got = 0
+    held: list[np.ndarray] = []
+    for run in chain(runs, [np.zeros(0, np.uint64)]):
+        held.append(run.astype("<u4"))
+        got += len(run)
+        high = int(np.searchsorted(cuts, got, side="right")) - 1
+        if high > low:
+            ids, first = np.concatenate(held), cuts[low]
+            ends = cuts[low : high + 1] - first
+            values = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield docs[low:high], cuts[low:high], sizes[low:high], values
+            held, low = [ids[ends[-1] :].copy()], high
 
 
 MANIFEST = "file string, part int, number int, documents long, ids long, bytes long"
@@ -341,7 +420,8 @@ def write_tokens(
     """Encode every document and write the ids to files in ascending order of document ids.
 
     Rows without an id come last; rows with one id are ordered by a hash of the text, and
-    equal ones in any order. Returns the manifest: the files, ordered by part and number.
+    equal ones in any order. Files are coded as texts arrive, so that a task holds no more
+    than the words of one file. Returns the manifest: the files, ordered by part and number.
     """
     rows = docs.select(
         column(docs, id_column).cast("long").alias("id"),
@@ -361,30 +441,27 @@ def write_tokens(
         system.create_dir(base)
         name, coder = output_name(".s8b"), tokenizer(tokenizer_path)
         part, done = TaskContext.get().partitionId(), []
-        doc_ids: list[int | None] = []
-        sizes: list[np.ndarray] = []
-        held: list[np.ndarray] = []
+        file = TokenFile()
 
         def close() -> None:
-            file, ids = name(), np.concatenate(held)
-            data = file_bytes(doc_ids, np.concatenate(sizes), ids)
-            with system.open_output_stream(f"{base}/{file}") as out:
-                out.write(data)
-            done.append((f"{folder}/{file}", part, len(done), len(doc_ids), len(ids), len(data)))
-            doc_ids.clear(), sizes.clear(), held.clear()
-
-        count = 0
+            path, size = name(), 0
+            with system.open_output_stream(f"{base}/{path}") as out:
+                for data in file.parts():
+                    out.write(data)
+                    size += len(data)
+            done.append(
+                (f"{folder}/{path}", part, len(done), len(file.doc_ids), file.count, size)
+            )
+
         for batch in slices(batches, "text", 3 << 20):
             ids, cuts = coder.encode(batch.column("text"))
-            doc_ids += batch.column("id").to_pylist()
-            sizes.append(np.diff(cuts))
-            held.append(ids)
-            count += len(ids)
-            if count >= FILE_IDS:
+            file.add(batch.column("id").to_pylist(), np.diff(cuts), ids)
+            if file.count >= FILE_IDS:
                 close()
-                count = 0
-        if held:
+                file = TokenFile()
+        if file.doc_ids:
             close()
+        file = None
         # The process stays for other tasks, of other operators too.
         pa.default_memory_pool().release_unused()
         names = [field.split()[0] for field in MANIFEST.split(", ")]
@@ -402,10 +479,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
     ``start`` is the number of ids of all documents before it.
     """
-    # One row per file.
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
-    files = spread(placed.select("file", "base", "bytes"), "bytes", READ_BYTES)
+    placed = _placed(manifest).select("file", "base", "bytes")
+    files = spread(placed, "bytes", READ_BYTES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,23 +489,36 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
             ):
                 system, path = opened(file)
                 with system.open_input_stream(path) as stream:
-                    docs, sizes, ids = file_content(stream.read())
-                cuts = np.concatenate(([0], np.cumsum(sizes)))
-                small = ids.astype("<u4")
-                step = 2000
-                for lo in range(0, len(docs), step):
-                    hi = min(lo + step, len(docs))
-                    values = [small[cuts[n] : cuts[n + 1]].tobytes() for n in range(lo, hi)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(docs[lo:hi], pa.int64()),
-                            pa.array(cuts[lo:hi] + base),
-                            pa.array(sizes[lo:hi]),
-                            pa.array(values, pa.binary()),
-                        ],
-                        ["id", "start", "n_tokens", "ids"],
-                    )
+                    for docs, starts, sizes, values in file_documents(stream):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(docs, pa.int64()),
+                                pa.array(starts + base),
+                                pa.array(sizes),
+                                pa.array(values, pa.binary()),
+                            ],
+                            ["id", "start", "n_tokens", "ids"],
+                        )
 
     return files.select("file", "base").mapInArrow(
         read, "id long, start long, n_tokens long, ids binary"
     )
+
+
+def _placed(manifest: DataFrame) -> DataFrame:
+    """The manifest with the number of ids in all files before each.
+
+    Files are added up within the tasks of PARTS consecutive numbers, and only the sums of
+    these over all.
+    """
+    rows = manifest.withColumn("parts", F.expr(f"part div {PARTS}"))
+    sums = rows.groupBy("parts").agg(F.sum("ids").alias("sum"))
+    earlier = Window.orderBy("parts").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("parts", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("low"))
+    before = (
+        Window.partitionBy("parts")
+        .orderBy("part", "number")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = rows.withColumn("inside", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    return inside.join(sums, "parts").withColumn("base", F.col("low") + F.col("inside"))

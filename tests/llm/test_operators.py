@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import io
 import itertools
 import math
 import random
@@ -806,6 +807,46 @@ def test_simple8b():
             assert docs == [5, None] and sizes.tolist() == [count, 0] and (read == ids).all()
 
 
+def test_token_file_streams(monkeypatch):
+    """Files coded and read in runs shorter than a document, or than none."""
+    monkeypatch.setattr(tokens, "CODED_IDS", 2 * tokens.BLOCK_IDS)
+    pick = np.random.default_rng(3)
+    for lengths in ([], [0, 0], [1] * 3000, [0, 9000, 0, 1, 2048, 1024, 0, 7000, 0]):
+        ids = pick.integers(0, 49_000, sum(lengths)).astype(np.uint32)
+        names = [None if n % 4 == 1 else n for n in range(len(lengths))]
+        cuts = np.concatenate(([0], np.cumsum(lengths))).astype(int)
+        file, step = tokens.TokenFile(), 2
+        for low in range(0, len(lengths), step):
+            high = min(low + step, len(lengths))
+            file.add(names[low:high], np.array(lengths[low:high]), ids[cuts[low] : cuts[high]])
+        data = b"".join(file.parts())
+        assert data == tokens.file_bytes(names, np.array(lengths, np.int64), ids)
+        rows = [
+            row
+            for part in tokens.file_documents(io.BytesIO(data))
+            for row in zip(part[0], part[1].tolist(), part[2].tolist(), part[3], strict=True)
+        ]
+        plain = [
+            (names[n], int(cuts[n]), lengths[n], ids[cuts[n] : cuts[n + 1]].tobytes())
+            for n in range(len(lengths))
+        ]
+        assert rows == plain
+        if len(ids):
+            with pytest.raises(ValueError, match="cut off"):
+                list(tokens.file_documents(io.BytesIO(data[:-8])))
+
+
+def test_token_file_places(spark):
+    """The ids before each file, over more tasks than are added up at once."""
+    files = [(f"f{p}-{n}", p, n, 1, 10 * p + n, 5) for p in range(0, 3500, 7) for n in range(2)]
+    manifest = spark.createDataFrame(files[::-1], tokens.MANIFEST)
+    found = {r.file: r.base for r in tokens._placed(manifest).collect()}
+    before = 0
+    for name, _, _, _, ids, _ in files:
+        assert found[name] == before
+        before += ids
+
+
 def plain_tokens(docs):
     coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     start, out = 0, []
