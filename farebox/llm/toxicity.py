@@ -16,8 +16,11 @@ from farebox.llm.common import column, mixed
 SIZES = (4, 5)
 FEATURES = 1 << 20
 # The model is fitted on at most so many labelled texts of class 0 and of class 1, those
-# whose ids hash lowest. The table of labels may be of any size.
+# whose ids hash lowest. The table of labels may be of any size: all labels are counted, and
+# the offset is moved by the shares of the classes that were left out.
 SAMPLE = (3000, 1500)
+# Characters of a text whose n-grams are held at a time.
+PIECE = 1 << 18
 # A feature counts if it occurs in so many texts of the sample, and is at least e**1.5
 # times as frequent in one class as in the other: long texts have thousands of features
 # that say little, and their small weights would add up.
@@ -30,18 +33,27 @@ STEP = 0.03
 DECAY = 1e-3
 
 
+def _hashed(text: str | None) -> Iterator[np.ndarray]:
+    """The hashed n-grams of a whole text, lower-cased, with repeats, from overlapping pieces."""
+    low = f" {(text or '').lower()} "
+    for start in range(0, len(low), PIECE):
+        piece = low[start : start + PIECE + max(SIZES) - 1]
+        units = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)
+        for size in SIZES:
+            count = len(units) - size + 1
+            if count > 0:
+                total = np.full(count, size, np.uint64)
+                for place in range(size):
+                    total = total * np.uint64(0x100000001B3) + units[place : place + count]
+                yield (mixed(total) % np.uint64(FEATURES)).astype(np.int64)
+
+
 def features(text: str | None) -> np.ndarray:
-    """The hashed n-grams of a whole text, lower-cased, with repeats."""
-    units = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    found = [np.zeros(0, np.int64)]
-    for size in SIZES:
-        count = len(units) - size + 1
-        if count > 0:
-            total = np.full(count, size, np.uint64)
-            for place in range(size):
-                total = total * np.uint64(0x100000001B3) + units[place : place + count]
-            found.append((mixed(total) % np.uint64(FEATURES)).astype(np.int64))
-    return np.concatenate(found)
+    """The different hashed n-grams of a whole text, ascending."""
+    seen = np.zeros(FEATURES, bool)
+    for found in _hashed(text):
+        seen[found] = True
+    return np.flatnonzero(seen)
 
 
 @dataclass
@@ -53,9 +65,9 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """The chance that a text is of class 1; of one without n-grams, that of the offset."""
-        found = features(text)
-        found = np.unique(found[self.weights[found] != 0])
-        total = self.offset + float(self.weights[found].sum())
+        found = [np.unique(part[self.weights[part] != 0]) for part in _hashed(text)]
+        used = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        total = self.offset + float(self.weights[used].sum())
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
@@ -102,8 +114,8 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> Model:
     return Model(weights, float(offset))
 
 
-def sample(labels: DataFrame, id_column: str, label_column: str, rows=SAMPLE) -> DataFrame:
-    """(id, label) of at most ``rows[c]`` texts of each class c, whose ids hash lowest.
+def known_labels(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
+    """(id, label) of every id that has a label.
 
     An id labelled more than once counts as 1 if any of its labels is 1; rows without an
     id or label do not count.
@@ -112,7 +124,11 @@ def sample(labels: DataFrame, id_column: str, label_column: str, rows=SAMPLE) ->
         column(labels, id_column).alias("id"),
         column(labels, label_column).cast("int").alias("label"),
     ).filter("id IS NOT NULL AND label IN (0, 1)")
-    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    return known.groupBy("id").agg(F.max("label").alias("label"))
+
+
+def sample(known: DataFrame, rows=SAMPLE) -> DataFrame:
+    """At most ``rows[c]`` of the labels of each class c, of the ids that hash lowest."""
     parts = [
         known.filter(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(rows[c])
         for c in (0, 1)
@@ -120,6 +136,16 @@ def sample(labels: DataFrame, id_column: str, label_column: str, rows=SAMPLE) ->
     return parts[0].unionByName(parts[1])
 
 
+def prior_shift(counts: dict[int, int], rows=SAMPLE) -> float:
+    """What the log odds of class 1 gain by taking the classes as often as they are labelled.
+
+    A sample that takes one class at another rate than the other moves the offset of a
+    logistic regression, and only that, by the log of the rates' quotient.
+    """
+    zero, one = (min(1.0, rows[c] / counts[c]) if counts.get(c) else 1.0 for c in (0, 1))
+    return float(np.log(zero / one))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -131,9 +157,11 @@ def train(
     """Fit a model on the labelled texts, in one task that gets their features only.
 
     Returns with no more than FEATURES weights. Of different texts with one id, that
-    with the largest hash is used.
+    with the largest hash is used. Without labels the offset is 0.
     """
-    chosen = sample(labels, id_column, label_column, rows)
+    known = known_labels(labels, id_column, label_column)
+    counts = dict(known.groupBy("label").count().collect())
+    chosen = sample(known, rows)
     texts = docs.select(
         column(docs, id_column).alias("id"), column(docs, text_column).cast("string").alias("text")
     )
@@ -149,7 +177,7 @@ def train(
         for batch in batches:
             for place in range(batch.num_rows):
                 row = batch.slice(place, 1)
-                found = np.unique(features(row.column("text")[0].as_py())).astype(np.int32)
+                found = features(row.column("text")[0].as_py()).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*row.columns[:3], pa.array([found.tobytes()], pa.binary())],
                     ["id", "label", "mark", "found"],
@@ -182,7 +210,7 @@ def train(
             offset = weight
         else:
             weights[feature] = weight
-    return Model(weights, offset)
+    return Model(weights, offset + prior_shift(counts, rows))
 
 
 def scored(
@@ -191,7 +219,8 @@ def scored(
     """(id, score) of every document; null and empty texts get the score of the offset.
 
     Scores depend on the text alone. Repeated rows and rows without an id are scored
-    like any other.
+    like any other; an empty table gives no rows. Of a long text a task holds its
+    characters, and the n-grams of PIECE of them.
     """
     rows = docs.select(
         column(docs, id_column).alias("id"), column(docs, text_column).cast("string").alias("text")

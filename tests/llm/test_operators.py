@@ -225,6 +225,85 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted for r in held if not r.toxic) <= 2
 
 
+def plain_grams(text):
+    low = f" {(text or '').lower()} "
+    return {low[n : n + size] for size in (4, 5) for n in range(len(low) - size + 1)}
+
+
+def plain_scores(texts, labels, asked):
+    """Scores by dictionaries and loops: counts, log-count ratios, then the regression."""
+    rows = [plain_grams(text) for text in texts]
+    ones, zeros = sum(labels), len(labels) - sum(labels)
+    ratio = {}
+    for gram in set().union(*rows):
+        p = sum(label for row, label in zip(rows, labels, strict=True) if gram in row)
+        q = sum(1 - label for row, label in zip(rows, labels, strict=True) if gram in row)
+        value = math.log((p + 1) / (ones + 2) / ((q + 1) / (zeros + 2)))
+        if p + q >= 3 and abs(value) >= 1.5:
+            ratio[gram] = value
+    theta, mean, square = ({gram: 0.0 for gram in ratio} for _ in range(3))
+    offset = math.log((ones + 0.5) / (zeros + 0.5))
+
+    def linear(row):
+        return offset + sum(theta[gram] * ratio[gram] for gram in row if gram in ratio)
+
+    for step in range(1, 61):
+        errors = [
+            (1 / (1 + math.exp(-linear(row))) - label) / len(rows)
+            for row, label in zip(rows, labels, strict=True)
+        ]
+        for gram, value in ratio.items():
+            slope = sum(e for row, e in zip(rows, errors, strict=True) if gram in row) * value
+            slope += 1e-3 * theta[gram]
+            mean[gram] = 0.9 * mean[gram] + 0.1 * slope
+            square[gram] = 0.99 * square[gram] + 0.01 * slope**2
+            first, second = mean[gram] / (1 - 0.9**step), square[gram] / (1 - 0.99**step)
+            theta[gram] -= 0.03 * first / (math.sqrt(second) + 1e-8)
+        offset -= sum(errors)
+    return [1 / (1 + math.exp(-linear(plain_grams(text)))) for text in asked], offset
+
+
+def toxic_table(pick, count):
+    good, bad, both = (
+        ["".join(pick.choice(list("abcdefghij"), 6)) for _ in range(n)] for n in (6, 4, 12)
+    )
+    rows = []
+    for n in range(count):
+        own = list(pick.choice(bad if n % 4 == 0 else good, 3))
+        rows.append((n, " ".join([*own, *pick.choice(both, 5)]).title(), int(n % 4 == 0)))
+    return rows
+
+
+def test_toxicity_by_hand(spark, monkeypatch):
+    """Ratios, weights and scores against loops, with pieces shorter than a text."""
+    monkeypatch.setattr(toxicity, "PIECE", 16)
+    rows = toxic_table(np.random.default_rng(5), 40)
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    asked = [text for _, text, _ in rows] + ["", None, "x", rows[0][1] + " " + rows[1][1]]
+    scores, _ = plain_scores([r[1] for r in rows], [r[2] for r in rows], asked)
+    assert np.allclose([model.score(text) for text in asked], scores, atol=1e-5)
+
+
+def test_toxicity_prior(spark):
+    """A sample that takes the classes at other rates gives the odds of all labels."""
+    rows = toxic_table(np.random.default_rng(6), 200)
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, rows=(30, 25))
+    chosen = toxicity.sample(toxicity.known_labels(labels, "doc_id", "toxic"), (30, 25))
+    taken = {r.id: r.label for r in chosen.collect()}
+    assert collections.Counter(taken.values()) == {0: 30, 1: 25}
+    ids = sorted(taken, key=str)
+    (empty,), offset = plain_scores([rows[n][1] for n in ids], [taken[n] for n in ids], [""])
+    assert math.isclose(model.offset, offset + math.log((25 / 50) ** -1 * (30 / 150)), abs_tol=1e-5)
+    assert model.score(None) == model.score("") < empty
+    # A sample that holds every label moves nothing, nor does one class alone.
+    assert toxicity.prior_shift({0: 30, 1: 25}, (30, 25)) == 0
+    assert toxicity.prior_shift({}, (30, 25)) == 0
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)
