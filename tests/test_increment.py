@@ -7,7 +7,7 @@ from helpers import collected
 
 from farebox.plans import increment
 from farebox.plans.increment import run_increment
-from farebox.plans.nightly import run_pipeline
+from farebox.plans.nightly import Warehouse, run_pipeline
 from farebox.plans.star import SCHEMAS
 from farebox.schemas import RAW
 from farebox.sources.store import Store
@@ -206,3 +206,37 @@ def test_only_touched_days_are_scanned(spark, house):
     warehouse = increment.Warehouse(spark, house.root, NIGHTS[1], NIGHTS[1].date())
     files = increment._silver(warehouse, "rides", {20240102}).inputFiles()
     assert files and all("date_sk=20240102" in file for file in files)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_the_first_delivery_is_stored_as_it_was_cleaned(house):
+    assert sorted(n for n in os.listdir(house.root) if n.startswith("delivered_")) == [
+        "delivered_routes", "delivered_users", "delivered_vehicles",
+    ]
+
+
+def test_a_merge_brings_rows_together_by_day_and_a_fact_not_at_all(spark, house):
+    warehouse = Warehouse(spark, house.root, NIGHTS[1], NIGHTS[1].date())
+    stored = increment._silver(warehouse, "rides")
+    plan = _plan(increment._latest_of_days(stored.unionByName(stored), "rides", None))
+    assert "hashpartitioning(ride_id" not in plan and "REBALANCE" not in plan
+    for fact, entity in (("fact_rides", "rides"), ("fact_payments", "payments")):
+        plan = _plan(increment._fact_of(warehouse, fact, increment._silver(warehouse, entity)))
+        assert "hashpartitioning" not in plan and "REBALANCE" not in plan
+
+
+def test_moves_and_corrections_in_many_groups(house, monkeypatch):
+    monkeypatch.setattr(increment, "GROUP_ROWS", 1)
+    monkeypatch.setattr(increment, "SENT_KEYS", 0)
+    stale = ("r3", 10, 2, 7, at(5), at(2), Decimal("1.00"))
+    found = house.night(
+        rides=[ride("r1", 10, 1, 7, 1, 20), ride("r2", 20, 2, 7, 4), stale,
+               ride("r0", 30, 1, 7, 2), ride("r9", 10, 2, 7, 4)],
+        payments=[payment("p1", "r1", 10, 1, "failed"), payment("p2", "r2", 20, 6)],
+    )
+    assert found["fact_rides"] == [20240101, 20240102, 20240103, 20240104, 20240105, None]
+    for name in ("fact_rides", "fact_payments"):
+        assert house.named(name) == house.whole(name)
