@@ -222,6 +222,10 @@ def _frequent_spans(rows: DataFrame) -> DataFrame:
     Rows that have the same words around them, as most of a frequent head have, become one
     context. Each context names the passages of MIN_WORDS words around its head, by its
     words to the right and to the left; those of several documents are what is shared.
+
+    Both joins sort: Spark would take the few bytes that alike rows have in a file, which it
+    does not even multiply by the passages of each, for their size, and send them all through
+    the driver.
     """
     context = ["key", "after", "before", "left", "right"]
     around = rows.withColumns(
@@ -256,7 +260,7 @@ def _frequent_spans(rows: DataFrame) -> DataFrame:
     )
     found = (
         passages.drop("low", "high")
-        .join(shared, ["one", "two"])
+        .join(shared.hint("merge"), ["one", "two"])
         .groupBy(*context)
         .agg(
             F.min("k").alias("fewest"),
@@ -265,7 +269,7 @@ def _frequent_spans(rows: DataFrame) -> DataFrame:
             F.max("high").alias("high"),
         )
     )
-    return around.join(found, context).select(
+    return around.join(found.hint("merge"), context).select(
         "id",
         "mark",
         (F.col("pos") - F.col("most")).cast("int").alias("first"),

@@ -835,6 +835,19 @@ def test_rows_of_one_id_have_places_of_their_own(spark, tasks):
         )
 
 
+def test_frequent_heads_are_not_sent_to_all_tasks(spark):
+    """Alike rows have few bytes in the files that Spark would judge them by."""
+    pick = np.random.default_rng(14)
+    passage = made_text(pick, 60)
+    docs = [(n, f"{made_text(pick, 20)} {passage} {made_text(pick, 20)}") for n in range(30)]
+    found = suffixes.repeated_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), tasks=10**9
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+    assert covered(found) == {(n, 20 + k) for n in range(30) for k in range(60)}
+
+
 @pytest.mark.parametrize("tasks", [1, 40, 10**9])
 def test_frequent_heads_are_exact(spark, tasks):
     """Passages with a common middle and many different ends, against brute force."""
