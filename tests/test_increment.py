@@ -228,6 +228,23 @@ def test_a_merge_brings_rows_together_by_day_and_a_fact_not_at_all(spark, house)
         assert "hashpartitioning" not in plan and "REBALANCE" not in plan
 
 
+def test_dimensions_of_many_keys_are_sent_in_runs(spark, house, monkeypatch):
+    monkeypatch.setattr(increment, "SENT_ROWS", 1)
+    warehouse = Warehouse(spark, house.root, NIGHTS[1], NIGHTS[1].date())
+    dim = increment._sent(warehouse, "dim_user")
+    assert dim.runs.columns == ["_run", "_held"] and dim.runs.count() == 1
+    plan = _plan(increment._fact_of(warehouse, "fact_payments", increment._silver(warehouse, "payments")))
+    assert "try_element_at" in plan or "_held" in plan
+    monkeypatch.setattr(increment, "SENT_MOVED", 0)
+    house.night(
+        users=[user(20)],
+        rides=[ride("r1", 10, 1, 7, 1, 20), ride("r2", 20, 2, 7, 4), ride("r9", 10, 2, 7, 4)],
+        payments=[payment("p1", "r1", 10, 1, "failed"), payment("p2", "r2", 20, 6)],
+    )
+    for name in ("fact_rides", "fact_payments"):
+        assert house.named(name) == house.whole(name)
+
+
 def test_moves_and_corrections_in_many_groups(house, monkeypatch):
     monkeypatch.setattr(increment, "GROUP_ROWS", 1)
     monkeypatch.setattr(increment, "SENT_KEYS", 0)

@@ -4,6 +4,7 @@ import pytest
 from helpers import collected
 from pyspark.sql import functions as F
 
+from farebox.operators import keys
 from farebox.operators.keys import (
     BUCKET_WIDTH,
     assign_surrogate_key,
@@ -107,6 +108,55 @@ def test_lookup_refuses_a_repeated_key(spark):
         lookup_sk(facts, dimension, "id", "sk").collect()
 
 
+def test_keys_sent_in_runs(spark):
+    """Negative, sparse, missing and null keys, and one whose value is null."""
+    table = spark.createDataFrame(
+        [(-65, 1), (-64, 2), (-1, 3), (0, 4), (63, 5), (64, 6), (2**31 - 1, 7), (9, None), (None, 8)],
+        "id int, sk int",
+    )
+    facts = spark.createDataFrame(
+        [(-65,), (-64,), (-1,), (0,), (63,), (64,), (2**31 - 1,), (9,), (None,), (1,), (500,), (0,)],
+        "id int",
+    )
+    sent = keys.sent_keys(table, "id", "sk")
+    assert sent.runs.count() == 5
+    assert collected(lookup_sk(facts, sent, "id", "sk"), "id", "sk") == collected(
+        lookup_sk(facts, table, "id", "sk", unique=True), "id", "sk"
+    )
+
+
+def test_keys_repeated_or_in_too_many_runs_are_not_sent(spark, monkeypatch):
+    once = spark.createDataFrame([(1, 1), (200, 2), (None, 3), (None, 4)], "id int, sk int")
+    assert keys.sent_keys(once, "id", "sk") is not None
+    assert keys.sent_keys(once.unionByName(once.limit(1)), "id", "sk") is None
+    monkeypatch.setattr(keys, "SENT_RUNS", 1)
+    assert keys.sent_keys(once, "id", "sk") is None
+
+
+@pytest.mark.parametrize("sent_rows", [0, 1 << 17])
+def test_a_bounded_lookup_is_a_left_join(spark, monkeypatch, sent_rows):
+    monkeypatch.setattr(keys, "SENT_ROWS", sent_rows)
+    facts = spark.createDataFrame([("a", 1), ("b", 9), ("c", None)], "fact string, id long")
+    once = spark.createDataFrame([(1, 11), (None, 12)], "id long, sk int")
+    for table, found in ((once, [("a", 11)]), (once.unionByName(once), [("a", 11), ("a", 11)])):
+        looked_up = keys.lookup_bounded(facts, table, "id", "sk")
+        assert collected(looked_up, "fact", "sk") == [*found, ("b", None), ("c", None)]
+
+
+def test_stored_keys_are_not_sent_for_their_few_bytes(spark, tmp_path):
+    path = str(tmp_path / "known")
+    spark.range(50_000).selectExpr(
+        "CAST(id AS int) AS user_id", "CAST(id + 1 AS int) AS user_sk"
+    ).write.parquet(path, compression="zstd")
+    known = spark.read.parquet(path)
+    users = spark.range(60_000).selectExpr("CAST(id AS int) AS user_id", "'x' AS name")
+    kept = keep_surrogate_keys(users, known, "user_id", "user_sk", 50_000)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # But for the offsets of buckets.
+    assert plan.count("BroadcastHashJoin") == 1 and "LeftAnti" in plan
+    assert kept.filter("user_sk = user_id + 1").count() == 60_000
+
+
 def test_known_keys_stay_and_new_ones_follow(rows):
     known = rows("user_id int, user_sk int", (10, 1), (30, 2), (50, 3))
     users = rows("user_id int, name string", (50, "e"), (20, "b"), (10, "a"), (40, "d"))

@@ -13,6 +13,7 @@ from farebox.operators.staging import bronze_to_silver
 from farebox.plans.nightly import Warehouse
 from farebox.schemas import DIM_DATE, DIM_ROUTE, DIM_USER, DIM_VEHICLE
 from farebox.sources.store import Store
+from farebox.testing import fixtures
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -107,6 +108,39 @@ def _shuffled_rows(df):
     return metrics
 
 
+def _sent_bytes(df):
+    """Bytes of the largest table that an executed plan sent to all tasks."""
+    most, stack = 0, [df._jdf.queryExecution().executedPlan().finalPhysicalPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "BroadcastExchange":
+            most = max(most, node.metrics().apply("dataSize").value())
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+        if "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+    return most
+
+
+def test_rides_do_not_send_a_row_for_each_of_many_parts(spark, tmp_path):
+    """200,000 parts, at some 40 bytes each, are few bytes in a file."""
+    parts = spark.range(200_000).selectExpr("id AS p_partkey", "concat('Brand#', id % 25 + 1) AS p_brand")
+    orders = spark.range(300).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "1.5D AS o_totalprice",
+        "timestamp_ntz'1995-01-02 00:00:00' AS o_orderdate",
+    )
+    lines = spark.range(299).selectExpr(
+        "id AS l_orderkey", "1 AS l_linenumber", "id * 601 AS l_partkey", "id AS l_suppkey"
+    )
+    for name, rows in (("part", parts), ("orders", orders), ("lineitem", lines)):
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    rides = fixtures.rides(spark, str(tmp_path))
+    final_plan(rides)
+    assert 0 < _sent_bytes(rides) < 3_000_000
+    found = {int(r.ride_id): r.route_id for r in rides.collect()}
+    assert found == {n: n * 601 % 25 + 1 for n in range(299)} | {299: None}
+
+
 def write_star(spark, folder):
     moment = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
     rides = spark.range(1000).select(
